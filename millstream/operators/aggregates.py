@@ -76,12 +76,21 @@ def unpivot(df: DataFrame, ids, cols: Sequence[str], name: str = "field_name", v
     return texts.unpivot(ids, list(cols), name, value)
 
 
+READING = "decimal(18,6)"
+
+
+def decimal_mean(c: str, digits: int) -> Column:
+    """Mean of exact decimals, rounded half up; sums do not depend on the order of rows."""
+    exact = F.col(c).cast(READING)
+    return F.round(F.sum(exact) / F.count(exact), digits).cast("double")
+
+
 def hourly_sensor_stats(
     df: DataFrame, entity: str, ts: str, metrics: Sequence[str], exclude: Sequence = (), digits: int = 2
 ) -> DataFrame:
     """max, min and rounded avg of each metric per (ymd, hour, sensor); text metrics are read as numbers and
     rows without any valid reading are dropped."""
-    numeric = df.withColumns({m: F.nullif(F.trim(F.col(m).cast("string")), F.lit("")).try_cast("double") for m in metrics})
+    numeric = df.withColumns({m: F.nullif(F.trim(F.col(m).cast("string")), F.lit("")).try_cast(READING) for m in metrics})
     valid = reduce(lambda a, b: a | b, [F.col(m).isNotNull() for m in metrics])
     numeric = numeric.filter(valid)
     if exclude:
@@ -89,9 +98,9 @@ def hourly_sensor_stats(
     aggs = []
     for m in metrics:
         aggs += [
-            F.round(F.max(m), digits).alias(f"{m}_max"),
-            F.round(F.min(m), digits).alias(f"{m}_min"),
-            F.round(F.avg(m), digits).alias(f"{m}_avg"),
+            F.round(F.max(m), digits).cast("double").alias(f"{m}_max"),
+            F.round(F.min(m), digits).cast("double").alias(f"{m}_min"),
+            decimal_mean(m, digits).alias(f"{m}_avg"),
         ]
     return numeric.groupBy(
         F.date_format(ts, "yyyyMMdd").alias("ymd"), F.hour(ts).alias("hour"), F.col(entity)
@@ -109,7 +118,7 @@ def tumbling_avg(
     return (
         df.withColumn("__at", at)
         .groupBy(*names(entity), bucket_start("__at", width).alias("bucket_ts"))
-        .agg(*[F.round(F.avg(m), digits).alias(f"{m}_avg") for m in metrics])
+        .agg(*[decimal_mean(m, digits).alias(f"{m}_avg") for m in metrics])
     )
 
 
@@ -170,7 +179,7 @@ def multi_level_time_agg(
         aggs += [
             F.max(f"{m}_max").alias(f"{m}_max"),
             F.min(f"{m}_min").alias(f"{m}_min"),
-            F.round(F.avg(f"{m}_avg"), 2).alias(f"{m}_avg"),
+            decimal_mean(f"{m}_avg", 2).alias(f"{m}_avg"),
         ]
     return rows.groupBy(*when, *LEVELS[level]).agg(*aggs)
 

@@ -23,13 +23,18 @@ def exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
+def by_partition(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Bring rows of one folder together, split again where a folder is large: few files and no hot task."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    by_partition(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
 def replace_slice(df: DataFrame, path: str, slice_cols: Sequence[str]) -> None:
     """Overwrite only the partitions that occur in `df`."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", DYNAMIC).partitionBy(*slice_cols).parquet(path)
+    by_partition(df, slice_cols).write.mode("overwrite").option("partitionOverwriteMode", DYNAMIC).partitionBy(*slice_cols).parquet(path)
 
 
 full_refresh_dim = replace_table
@@ -42,7 +47,7 @@ def sanitized(df: DataFrame, replacement: str = " ") -> DataFrame:
 
 
 def bulk_append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    sanitized(df).write.mode("append").partitionBy(*partition_by).parquet(path)
+    by_partition(sanitized(df), partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def _merge(spark, path, new, keys, partition_by, combine: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
@@ -94,7 +99,7 @@ def csv_sink_partitioned(df: DataFrame, path: str, by: Sequence[str], delimiter:
     clean = sanitized(df)
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in by]
     clean = clean.withColumns({c: F.translate(c, f'{delimiter}"', "  ") for c in text}) if text else clean
-    clean.write.mode("overwrite").partitionBy(*by).option("header", True).option("sep", delimiter).option(
+    by_partition(clean, by).write.mode("overwrite").partitionBy(*by).option("header", True).option("sep", delimiter).option(
         "ignoreLeadingWhiteSpace", False
     ).option("ignoreTrailingWhiteSpace", False).csv(path)
 
