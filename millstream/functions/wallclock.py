@@ -60,6 +60,9 @@ def seconds_between(earlier: str | Column, later: str | Column) -> Column:
 
 def bucket_no(ts: str | Column, width: str) -> Column:
     """Number of the fixed-width time bucket that holds `ts`."""
+    seconds = width_seconds(width)
+    if seconds == int(seconds):
+        return F.floor(wall_seconds(ts) / F.lit(int(seconds))).cast("long")
     return F.floor(wall_us(ts) / F.lit(width_us(width))).cast("long")
 
 

@@ -431,7 +431,7 @@ OEE_SQL = """WITH ev AS (SELECT event_id, user_id AS equip_id, event_type, ts, v
 
 @query(
     "oee_kpi",
-    f"""{OEE_SQL} SELECT equip_id, CAST(s AS BIGINT) AS shift_id, st AS shift_start, round(av, 6) AS availability, round(pf, 6) AS performance, round(ql, 6) AS quality, round(av * pf * ql, 6) AS oee,
+    f"""{OEE_SQL} SELECT equip_id, CAST(s AS BIGINT) AS shift_id, st AS shift_start, round(av, 6) AS availability, round(pf, 6) AS performance, round(ql, 6) AS quality, round(av * pf * ql, 8) AS oee,
         round(CASE WHEN repair_cnt > 0 THEN repair_sec / 60.0 / repair_cnt ELSE 0 END, 3) AS mttr, round(CASE WHEN failure_cnt > 0 THEN run_sec / 3600.0 / failure_cnt ELSE 0 END, 3) AS mtbf FROM r""",
 )
 def oee_kpi(spark, sf):
@@ -458,7 +458,7 @@ def oee_kpi(spark, sf):
     repairs = status.filter("event_type = 'error'").select("equip_id", "start_time", "end_time")
     config = equipment.select("equip_id", ((F.col("equip_id") % 5 + 1) * 20.0).alias("std_cycle_time"))
     kpi = marts.oee_kpi(shifts, status.select("equip_id", "status_code", "start_time", "end_time"), made, alarms, repairs, config)
-    digits = {"availability": R, "performance": R, "quality": R, "oee": R, "mttr": 3, "mtbf": 3}
+    digits = {"availability": R, "performance": R, "quality": R, "oee": 8, "mttr": 3, "mtbf": 3}
     return kpi.select("equip_id", "shift_id", "shift_start", *[F.round(x, n).alias(x) for x, n in digits.items()])
 
 
