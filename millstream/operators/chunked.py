@@ -57,12 +57,22 @@ def carry(
     keys: Sequence[str],
     parts: dict[str, Column],
     scan: Callable[[WindowSpec], dict[str, Column]],
+    then: Callable[[WindowSpec], dict[str, Column]] | None = None,
 ) -> DataFrame:
-    """Aggregate `parts` per (key, chunk), scan them in chunk order, join the result to every row."""
+    """Aggregate `parts` per (key, chunk), scan them in chunk order, join the result to every row.
+
+    `then` is a second scan that may use the columns of the first. `df` is evaluated twice, so operators put all
+    they need into one call.
+    """
     summary = df.groupBy(*keys, CHUNK).agg(*[c.alias(n) for n, c in parts.items()])
     w = Window.partitionBy(*keys).orderBy(CHUNK)
-    summary = summary.select(*keys, CHUNK, *[c.alias(n) for n, c in scan(w).items()])
-    return join_null_safe(df, summary, [*keys, CHUNK])
+    outs = scan(w)
+    summary = summary.withColumns(outs)
+    if then is not None:
+        more = then(w)
+        summary = summary.withColumns(more)
+        outs = outs | more
+    return join_null_safe(df, summary.select(*keys, CHUNK, *outs), [*keys, CHUNK])
 
 
 def previous(df: DataFrame, keys, order, cols, out: str) -> DataFrame:

@@ -81,7 +81,7 @@ def _variable_chart(df, keys, ts, c, n, tiebreak, spread: Column, charts) -> Dat
             for name, (v, u, m, l) in rows.items()
         ]
     )
-    return points.select(*keys, "idx", F.explode(stacked).alias("__p")).select(*keys, "__p.chart", "idx", "__p.*").select(
+    return points.select(*keys, "idx", F.explode(stacked).alias("__p")).select(*keys, "idx", "__p.*").select(
         *keys, "chart", "idx", "value", "ucl", "cl", "lcl"
     )
 
@@ -114,11 +114,9 @@ def spc_imr(df: DataFrame, keys, ts: str, c: str, tiebreak=()) -> DataFrame:
     """Individual values and moving ranges of two; the range chart starts with the second row."""
     keys, k = names(keys), spc_coefficients(2)
     order = [ts, *tiebreak]
-    df = chunked.with_time_chunk(df.select(*keys, *order, c), ts)
-    df = chunked.previous(df, keys, order, [c], "__prev")
-    df = df.withColumn("__mr", F.abs(F.col(c) - F.col("__prev").getField(c)))
-    df = _numbered_with_means(df, keys, order, {"__mean": c, "__mrbar": "__mr"}, "idx")
-    mean, mr = F.col("__mean"), F.col("__mrbar")
+    df = _with_ranges(df.select(*keys, *order, c), keys, ts, order, {"v": c}, "idx")
+    df = df.withColumn("__mr", F.abs("mr_sign_v"))
+    mean, mr = F.col("xbar_v"), F.col("mr_bar_v")
     rows = {
         "i": (F.col(c).cast("double"), mean + SIGMAS * mr / k.d2, mean, mean - SIGMAS * mr / k.d2),
         "mr": (F.col("__mr").cast("double"), mr * k.d4_limit, mr, mr * k.d3_limit),
@@ -137,23 +135,44 @@ def spc_imr(df: DataFrame, keys, ts: str, c: str, tiebreak=()) -> DataFrame:
     )
 
 
-def _numbered_with_means(df: DataFrame, keys, order, means: dict[str, str], rn: str) -> DataFrame:
-    """Row number per key and the key's mean of some columns, from one scan of the chunks."""
-    parts = {"__n": F.count(F.lit(1))}
-    for out, c in means.items():
-        parts[f"{out}_s"] = F.sum(c)
-        parts[f"{out}_n"] = F.count(c)
+def _with_ranges(df: DataFrame, keys, ts: str, order, series: dict[str, str], rn: str) -> DataFrame:
+    """Row number `rn`, and per series n: signed moving range mr_sign_n, mean xbar_n, mean moving range mr_bar_n.
+
+    One scan: a chunk contributes its sums, its inner ranges and its first and last value; the ranges across chunk
+    edges are added while scanning.
+    """
+    df = chunked.with_time_chunk(df, ts)
+    local = chunked.local_window(keys, order)
+    df = df.withColumns({f"__near_{n}": F.col(c) - F.lag(c).over(local) for n, c in series.items()})
+    parts = {"__rows": F.count(F.lit(1))}
+    for n, c in series.items():
+        parts |= {
+            f"__s_{n}": F.sum(c),
+            f"__k_{n}": F.count(c),
+            f"__r_{n}": F.coalesce(F.sum(F.abs(f"__near_{n}")), F.lit(0.0)),
+            f"__first_{n}": F.min_by(c, chunked.order_struct(order)),
+            f"__last_{n}": F.max_by(c, chunked.order_struct(order)),
+        }
 
     def scan(w):
+        found = {"__base": F.sum("__rows").over(w.rowsBetween(Window.unboundedPreceding, -1))}
+        return found | {f"__before_{n}": F.lag(f"__last_{n}").over(w) for n in series}
+
+    def means(w):
         whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        found = {"__before": F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1))}
-        for out in means:
-            found[out] = F.sum(f"{out}_s").over(whole) / F.sum(f"{out}_n").over(whole)
+        found = {}
+        for n in series:
+            edge = F.coalesce(F.abs(F.col(f"__first_{n}") - F.col(f"__before_{n}")), F.lit(0.0))
+            ranges = F.sum("__rows").over(whole) - 1
+            found[f"xbar_{n}"] = F.sum(f"__s_{n}").over(whole) / F.sum(f"__k_{n}").over(whole)
+            found[f"mr_bar_{n}"] = F.try_divide(F.sum(F.col(f"__r_{n}") + edge).over(whole), ranges)
         return found
 
-    df = chunked.carry(df, keys, parts, scan)
-    near = F.row_number().over(chunked.local_window(keys, order)).cast("long")
-    return df.withColumn(rn, near + F.coalesce(F.col("__before"), F.lit(0))).drop("__before", CHUNK)
+    df = chunked.carry(df, keys, parts, scan, means)
+    signed = {f"mr_sign_{n}": F.coalesce(f"__near_{n}", F.col(c) - F.col(f"__before_{n}")) for n, c in series.items()}
+    number = F.row_number().over(local).cast("long") + F.coalesce(F.col("__base"), F.lit(0))
+    helpers = ["__base", CHUNK, *[f"__{x}_{n}" for n in series for x in ("near", "before")]]
+    return df.withColumns({**signed, rn: number}).drop(*helpers)
 
 
 def nelson_flags(points: DataFrame, keys, idx: str = "idx", rules: Sequence[int] = (1, 2, 3, 4)) -> DataFrame:
@@ -225,15 +244,11 @@ def imr_series(df: DataFrame, keys, ts: str, tmax: str, tmin: str, tiebreak=())
     keys, k = names(keys), spc_coefficients(2)
     order = [ts, *tiebreak]
     df = df.withColumn("diff", F.col(tmax) - F.col(tmin))
-    df = chunked.with_time_chunk(df, ts)
-    df = chunked.previous(df, keys, order, [tmax, "diff"], "__prev")
-    sign = {"max": F.col(tmax) - F.col("__prev").getField(tmax), "diff": F.col("diff") - F.col("__prev.diff")}
-    df = df.withColumns({f"mr_sign_{n}": s for n, s in sign.items()})
-    df = df.withColumns({f"mr_{n}": F.abs(F.col(f"mr_sign_{n}")) for n in sign})
-    means = {"xbar_max": tmax, "mr_bar_max": "mr_max", "xbar_diff": "diff", "mr_bar_diff": "mr_diff"}
-    df = _numbered_with_means(df, keys, order, means, "rn").drop("__prev")
+    series = {"max": tmax, "diff": "diff"}
+    df = _with_ranges(df, keys, ts, order, series, "rn")
+    df = df.withColumns({f"mr_{n}": F.abs(F.col(f"mr_sign_{n}")) for n in series})
     limits = {}
-    for n in sign:
+    for n in series:
         mean, mr = F.col(f"xbar_{n}"), F.col(f"mr_bar_{n}")
         limits[f"ucl_i_{n}"] = mean + SIGMAS * mr / k.d2
         limits[f"lcl_i_{n}"] = mean - SIGMAS * mr / k.d2

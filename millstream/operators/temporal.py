@@ -303,25 +303,73 @@ def fill_series(df: DataFrame, keys, ts: str, cols, tiebreak=(), backward=False,
 
 
 def ffill_bfill(df: DataFrame, keys, ts: str, cols, tiebreak=(), width=DEFAULT_WIDTH) -> DataFrame:
-    """Forward fill, then fill what leads the first valid value; rows with no signal at all are dropped first."""
-    signal = F.coalesce(*[F.col(c) for c in cols]).isNotNull()
-    df = fill_series(df.filter(signal), keys, ts, cols, tiebreak, False, width)
-    return fill_series(df, keys, ts, cols, tiebreak, True, width)
+    """Forward fill, then fill what leads the first valid value; rows with no signal at all are dropped first.
+
+    A row without a valid value up to it takes the first valid value of its key, which is a total of the key.
+    """
+    keys, order = names(keys), [ts, *tiebreak]
+    df = df.filter(F.coalesce(*[F.col(c) for c in cols]).isNotNull())
+    df = chunked.with_time_chunk(df, ts, width)
+    parts = {}
+    for i, c in enumerate(cols):
+        at = F.when(F.col(c).isNotNull(), chunked.order_struct(order))
+        parts |= {f"__v{i}": F.max_by(c, at), f"__f{i}": F.min_by(c, at)}
+
+    def scan(w):
+        before = w.rowsBetween(Window.unboundedPreceding, -1)
+        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        found = {f"__c{i}": F.last(f"__v{i}", ignorenulls=True).over(before) for i in range(len(cols))}
+        return found | {f"__e{i}": F.first(f"__f{i}", ignorenulls=True).over(whole) for i in range(len(cols))}
+
+    df = chunked.carry(df, keys, parts, scan)
+    frame = chunked.local_window(keys, order).rowsBetween(Window.unboundedPreceding, 0)
+    filled = {
+        c: F.coalesce(F.last(c, ignorenulls=True).over(frame), F.col(f"__c{i}"), F.col(f"__e{i}"))
+        for i, c in enumerate(cols)
+    }
+    return df.withColumns(filled).drop(CHUNK, *[f"__{x}{i}" for i in range(len(cols)) for x in "ce"])
 
 
 def interpolate_linear(df: DataFrame, keys, ts: str, c: str, out: str, tiebreak=(), width=DEFAULT_WIDTH) -> DataFrame:
     """Fill nulls on the line between the neighbours by row position; leading nulls stay, trailing repeat."""
     keys, order = names(keys), [ts, *tiebreak]
     df = chunked.with_time_chunk(df, ts, width)
-    df = chunked.numbered(df, keys, order, "__rn")
-    known = F.when(F.col(c).isNotNull(), F.struct(F.col("__rn").alias("rn"), F.col(c).alias("v")))
-    df = df.withColumns({"__before": known, "__after": known})
-    df = chunked.fill(df, keys, order, ["__before"])
-    df = chunked.fill(df, keys, order, ["__after"], backward=True)
-    step = (F.col("__rn") - F.col("__before.rn")) / (F.col("__after.rn") - F.col("__before.rn"))
-    line = F.col("__before.v") + (F.col("__after.v") - F.col("__before.v")) * step
-    value = F.when(F.col(c).isNotNull(), F.col(c)).when(F.col("__before").isNotNull(), F.coalesce(line, F.col("__before.v")))
-    return df.withColumn(out, value).drop("__rn", "__before", "__after", CHUNK)
+    local = chunked.local_window(keys, order)
+    df = df.withColumn("__rn", F.row_number().over(local).cast("long"))
+    df = df.withColumn("__known", F.when(F.col(c).isNotNull(), F.struct(F.col("__rn").alias("rn"), F.col(c).alias("v"))))
+    known_rn = F.when(F.col(c).isNotNull(), F.col("__rn"))
+    parts = {
+        "__n": F.count(F.lit(1)),
+        "__last": F.max_by("__known", known_rn),
+        "__first": F.min_by("__known", known_rn),
+    }
+
+    def base(w):
+        so_far = F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1))
+        return {"__base": F.coalesce(so_far, F.lit(0))}
+
+    def placed(x: Column) -> Column:
+        return F.when(x.isNotNull(), F.struct((F.col("__base") + x["rn"]).alias("rn"), x["v"].alias("v")))
+
+    def neighbours(w):
+        before = w.rowsBetween(Window.unboundedPreceding, -1)
+        after = w.rowsBetween(1, Window.unboundedFollowing)
+        return {
+            "__far_before": F.last(placed(F.col("__last")), ignorenulls=True).over(before),
+            "__far_after": F.first(placed(F.col("__first")), ignorenulls=True).over(after),
+        }
+
+    df = chunked.carry(df, keys, parts, base, neighbours)
+    near_before = F.last("__known", ignorenulls=True).over(local.rowsBetween(Window.unboundedPreceding, 0))
+    near_after = F.first("__known", ignorenulls=True).over(local.rowsBetween(0, Window.unboundedFollowing))
+    df = df.withColumns({"__near_before": near_before, "__near_after": near_after})
+    before = F.coalesce(placed(F.col("__near_before")), F.col("__far_before"))
+    after = F.coalesce(placed(F.col("__near_after")), F.col("__far_after"))
+    step = (F.col("__base") + F.col("__rn") - before["rn"]) / (after["rn"] - before["rn"])
+    line = before["v"] + (after["v"] - before["v"]) * step
+    value = F.when(F.col(c).isNotNull(), F.col(c)).when(before.isNotNull(), F.coalesce(line, before["v"]))
+    helpers = ["__rn", "__known", "__base", "__far_before", "__far_after", "__near_before", "__near_after", CHUNK]
+    return df.withColumn(out, value).drop(*helpers)
 
 
 def resample_linear(df: DataFrame, keys, ts: str, cols: Sequence[str], n: int, tiebreak=(), width=DEFAULT_WIDTH):
@@ -331,8 +379,25 @@ def resample_linear(df: DataFrame, keys, ts: str, cols: Sequence[str], n: int, t
     """
     keys, order = names(keys), [ts, *tiebreak]
     df = chunked.with_time_chunk(df.select(*keys, *order, *cols), ts, width)
-    df = chunked.numbered(df, keys, order, "__rn", "__total")
-    df = chunked.following(df, keys, order, cols, "__next")
+    value = F.struct(*cols)
+
+    def scan(w):
+        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        return {
+            "__base": F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)),
+            "__total": F.sum("__n").over(whole),
+            "__after": F.lead("__first").over(w),
+        }
+
+    parts = {"__n": F.count(F.lit(1)), "__first": F.min_by(value, chunked.order_struct(order))}
+    df = chunked.carry(df, keys, parts, scan)
+    local = chunked.local_window(keys, order)
+    df = df.withColumns(
+        {
+            "__rn": F.row_number().over(local).cast("long") + F.coalesce(F.col("__base"), F.lit(0)),
+            "__next": F.coalesce(F.lead(value).over(local), F.col("__after")),
+        }
+    )
     index, last = F.col("__rn") - 1, F.col("__total") - 1
     only = F.col("__total") == 1
     first_point = F.when(only, F.lit(0)).otherwise(F.ceil(index * (n - 1) / last)).cast("long")

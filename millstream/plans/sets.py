@@ -43,7 +43,7 @@ def union_relations(spark, sf):
     t = Tables(spark, sf)
     frames = {
         "customer": t.customer.selectExpr("c_custkey as id", "c_name as name", "c_mktsegment as segment", "c_acctbal as balance"),
-        "part": t.part.selectExpr("p_partkey as id", "p_name as name", "long(p_size) as size"),
+        "part": t.part.selectExpr("p_partkey as id", "p_name as name", "bigint(p_size) as size"),
     }
     return sets.union_relations(frames, exclude=["balance"])
 

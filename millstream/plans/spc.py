@@ -49,18 +49,18 @@ def spc_u_chart(spark, sf):
 def variable_sql(spread: str, chart: str, upper: str, lower: str, width: float) -> str:
     return f"""WITH g AS (SELECT user_id, idx, avg(value) AS m, {spread} AS s, sum(value) AS sm, count(*) AS n FROM ({GROUPS}) GROUP BY 1, 2),
         t AS (SELECT user_id, sum(sm) / sum(n) AS mm, avg(s) FILTER (n = {N}) AS sb FROM g GROUP BY 1), x AS (SELECT * FROM g JOIN t USING (user_id) WHERE g.n = {N})
-        SELECT user_id, 'xbar' AS chart, idx, round(m, 6) AS value, round(mm + {width} * sb, 6) AS ucl, round(mm, 6) AS cl, round(mm - {width} * sb, 6) AS lcl FROM x
-        UNION ALL SELECT user_id, '{chart}', idx, round(s, 6), round({upper} * sb, 6), round(sb, 6), round({lower} * sb, 6) FROM x"""
+        SELECT user_id, 'xbar' AS chart, idx, round(m, 8) AS value, round(mm + {width} * sb, 8) AS ucl, round(mm, 8) AS cl, round(mm - {width} * sb, 8) AS lcl FROM x
+        UNION ALL SELECT user_id, '{chart}', idx, round(s, 8), round({upper} * sb, 8), round(sb, 8), round({lower} * sb, 8) FROM x"""
 
 
 @query("spc_xbar_r", variable_sql("max(value) - min(value)", "r", str(K5.d4_limit), str(K5.d3_limit), K5.a2))
 def spc_xbar_r(spark, sf):
-    return rounded(spc.spc_xbar_r(events(spark, sf), "user_id", "ts", "value", N, ["event_id"]))
+    return rounded(spc.spc_xbar_r(events(spark, sf), "user_id", "ts", "value", N, ["event_id"]), 8)
 
 
 @query("spc_xbar_s", variable_sql("stddev_pop(value)", "s", str(K5.b4), str(K5.b3), K5.a3))
 def spc_xbar_s(spark, sf):
-    return rounded(spc.spc_xbar_s(events(spark, sf), "user_id", "ts", "value", N, ["event_id"]))
+    return rounded(spc.spc_xbar_s(events(spark, sf), "user_id", "ts", "value", N, ["event_id"]), 8)
 
 
 IMR = f"""x AS (SELECT user_id, rn, value, abs(value - lag(value) OVER (PARTITION BY user_id ORDER BY rn)) AS mr FROM ({SERIES})),
@@ -69,11 +69,11 @@ IMR = f"""x AS (SELECT user_id, rn, value, abs(value - lag(value) OVER (PARTITIO
 
 @query(
     "spc_imr",
-    f"""WITH {IMR} SELECT user_id, 'i' AS chart, rn AS idx, round(value, 6) AS value, round(m + 3 * b / {K2.d2}, 6) AS ucl, round(m, 6) AS cl, round(m - 3 * b / {K2.d2}, 6) AS lcl FROM x JOIN t USING (user_id)
-        UNION ALL SELECT user_id, 'mr', rn - 1, round(mr, 6), round(b * {K2.d4_limit}, 6), round(b, 6), round(b * {K2.d3_limit}, 6) FROM x JOIN t USING (user_id) WHERE rn > 1""",
+    f"""WITH {IMR} SELECT user_id, 'i' AS chart, rn AS idx, round(value, 8) AS value, round(m + 3 * b / {K2.d2}, 8) AS ucl, round(m, 8) AS cl, round(m - 3 * b / {K2.d2}, 8) AS lcl FROM x JOIN t USING (user_id)
+        UNION ALL SELECT user_id, 'mr', rn - 1, round(mr, 8), round(b * {K2.d4_limit}, 8), round(b, 8), round(b * {K2.d3_limit}, 8) FROM x JOIN t USING (user_id) WHERE rn > 1""",
 )
 def spc_imr(spark, sf):
-    return rounded(spc.spc_imr(events(spark, sf), "user_id", "ts", "value", ["event_id"]))
+    return rounded(spc.spc_imr(events(spark, sf), "user_id", "ts", "value", ["event_id"]), 8)
 
 
 @query(
@@ -143,7 +143,7 @@ def nelson_tail_violation(spark, sf):
 IMR_SERIES = f"""WITH s AS (SELECT user_id, event_id, ts, value AS tmax, value - (event_id % 20) AS tmin, value - (value - (event_id % 20)) AS diff FROM events),
    x AS (SELECT *, tmax - lag(tmax) OVER w AS sm, diff - lag(diff) OVER w AS sd, row_number() OVER w AS rn FROM s WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
    t AS (SELECT user_id, avg(tmax) AS xm, avg(abs(sm)) AS bm, avg(diff) AS xd, avg(abs(sd)) AS bd FROM x GROUP BY 1)"""
-IMR_COLS = """round(abs(sm), 6) AS mr_max, round(sm, 6) AS mr_sign_max, round(abs(sd), 6) AS mr_diff, round(sd, 6) AS mr_sign_diff, round(xm, 6) AS xbar_max, round(bm, 6) AS mr_bar_max, round(xd, 6) AS xbar_diff, round(bd, 6) AS mr_bar_diff"""
+IMR_COLS = """round(abs(sm), 8) AS mr_max, round(sm, 8) AS mr_sign_max, round(abs(sd), 8) AS mr_diff, round(sd, 8) AS mr_sign_diff, round(xm, 8) AS xbar_max, round(bm, 8) AS mr_bar_max, round(xd, 8) AS xbar_diff, round(bd, 8) AS mr_bar_diff"""
 
 
 def imr(spark, sf):
@@ -153,13 +153,13 @@ def imr(spark, sf):
 
 @query(
     "imr_series",
-    f"""{IMR_SERIES} SELECT user_id, event_id, {IMR_COLS}, round(xm + 3 * bm / {K2.d2}, 6) AS ucl_i_max, round(xm - 3 * bm / {K2.d2}, 6) AS lcl_i_max, round(bm * {K2.d4_limit}, 6) AS ucl_mr_max,
-        round(xd + 3 * bd / {K2.d2}, 6) AS ucl_i_diff, round(xd - 3 * bd / {K2.d2}, 6) AS lcl_i_diff, round(bd * {K2.d4_limit}, 6) AS ucl_mr_diff FROM x JOIN t USING (user_id)""",
+    f"""{IMR_SERIES} SELECT user_id, event_id, {IMR_COLS}, round(xm + 3 * bm / {K2.d2}, 8) AS ucl_i_max, round(xm - 3 * bm / {K2.d2}, 8) AS lcl_i_max, round(bm * {K2.d4_limit}, 8) AS ucl_mr_max,
+        round(xd + 3 * bd / {K2.d2}, 8) AS ucl_i_diff, round(xd - 3 * bd / {K2.d2}, 8) AS lcl_i_diff, round(bd * {K2.d4_limit}, 8) AS ucl_mr_diff FROM x JOIN t USING (user_id)""",
 )
 def imr_series(spark, sf):
     cols = ["mr_max", "mr_sign_max", "mr_diff", "mr_sign_diff", "xbar_max", "mr_bar_max", "xbar_diff", "mr_bar_diff",
             "ucl_i_max", "lcl_i_max", "ucl_mr_max", "ucl_i_diff", "lcl_i_diff", "ucl_mr_diff"]
-    return rounded(imr(spark, sf), 6, cols).select("user_id", "event_id", *cols)
+    return rounded(imr(spark, sf), 8, cols).select("user_id", "event_id", *cols)
 
 
 @query(
