@@ -211,21 +211,23 @@ def do_anomaly_range(points: DataFrame, group: Sequence[str] = (), **scoring) ->
 
 
 def backfill_from(
-    history: DataFrame, metric: str, first_bucket: Column, last_bucket: Column, backfill_buckets: int,
-    bucket: str = "1 day", stale_buckets: int | None = None,
+    history: DataFrame, metric: str, span: DataFrame, backfill_buckets: int, bucket: str = "1 day",
+    stale_buckets: int | None = None,
 ) -> DataFrame:
-    """One row: the first bucket to recompute. Nothing stored: all. Usually the last `backfill_buckets`; further back
-    when the stored history ends earlier; all again when it ended more than `stale_buckets` ago."""
+    """One row: the first bucket to recompute, given the first and last bucket of the data (`span`, one row).
+
+    Nothing stored: all. Usually the last `backfill_buckets`; further back when the stored history ends earlier; all
+    again when it ended more than `stale_buckets` ago.
+    """
     step = F.lit(width_us(bucket))
     known = history.filter(F.col("metric") == metric).agg(F.max("bucket").alias("stored"))
-    last_stored = wall_us("stored")
-    usual = wall_us(last_bucket) - step * (backfill_buckets - 1)
-    after_gap = last_stored + step
-    begin = F.least(usual, after_gap)
+    known = known.crossJoin(F.broadcast(span))  # one row each
+    first, last, stored = wall_us("first"), wall_us("last"), wall_us("stored")
+    begin = F.least(last - step * (backfill_buckets - 1), stored + step)
     if stale_buckets is not None:
-        begin = F.when(wall_us(last_bucket) - last_stored > step * stale_buckets, wall_us(first_bucket)).otherwise(begin)
-    begin = F.when(F.col("stored").isNull(), wall_us(first_bucket)).otherwise(begin)
-    return known.select(us_to_ntz(F.greatest(begin, wall_us(first_bucket))).alias("recompute_from"))
+        begin = F.when(last - stored > step * stale_buckets, first).otherwise(begin)
+    begin = F.when(F.col("stored").isNull(), first).otherwise(begin)
+    return known.select(us_to_ntz(F.greatest(begin, first)).alias("recompute_from"))
 
 
 def do_metric_backfill(history: DataFrame, fresh: DataFrame, keys: Sequence[str] = ("bucket", "metric")) -> DataFrame:
@@ -240,6 +242,15 @@ def schema_rows(df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "column_name string, data_type string")
 
 
+def observed_schema(df: DataFrame, c: str) -> DataFrame:
+    """(column_name, data_type) of the fields that occur in JSON text, over all rows; the most frequent type counts."""
+    fields = F.explode(F.map_keys(F.from_json(F.col(c), "map<string,string>"))).alias("column_name")
+    rows = df.select(F.try_parse_json(c).alias("__v"), fields)
+    value = F.try_variant_get(F.col("__v"), F.concat(F.lit("$['"), F.col("column_name"), F.lit("']")), "variant")
+    counted = rows.groupBy("column_name", F.schema_of_variant(value).alias("data_type")).agg(F.count(F.lit(1)).alias("n"))
+    return counted.groupBy("column_name").agg(F.max_by("data_type", F.struct("n", "data_type")).alias("data_type"))
+
+
 def do_schema_changes(before: DataFrame, after: DataFrame) -> DataFrame:
     """Columns added, removed or with another type, from two `schema_rows` snapshots."""
     old = before.select("column_name", F.col("data_type").alias("pre_data_type"))

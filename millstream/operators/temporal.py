@@ -413,9 +413,8 @@ def resample_linear(df: DataFrame, keys, ts: str, cols: Sequence[str], n: int, t
 
 def point_vectors(points: DataFrame, keys, cols: Sequence[str], out: str = "vector") -> DataFrame:
     """Array per key: all points of the first signal, then of the next one. Bounded by the point count."""
-    parts = [
-        F.transform(F.array_sort(F.collect_list(F.struct("point", c))), lambda x, c=c: x.getField(c)) for c in cols
-    ]
+    parts = [F.array_sort(F.collect_list(F.struct("point", F.col(c).alias("v")))) for c in cols]
+    parts = [F.transform(p, lambda x: x["v"]) for p in parts]
     return points.groupBy(*names(keys)).agg(F.concat(*parts).alias(out))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millstream.operators import cycles, sequences, temporal
 from millstream.operators.cycles import peak_count as count_peaks
 from millstream.plans.registry import Tables, query
+from millstream.session import settle
 
 DOOR = {"click": "open", "view": "close"}
 MIXER = {"signup": "RUN", "error": "STOP"}
@@ -98,12 +99,13 @@ def cycle_summary(spark, sf):
         g AS (SELECT DISTINCT user_id, st, n, unnest(range(20)) AS point FROM n),
         v AS (SELECT g.user_id, g.st, a.motor + (COALESCE(b.motor, a.motor) - a.motor) * (point * (g.n - 1) / 19.0 - a.i) AS y FROM g JOIN n a ON a.user_id = g.user_id AND a.st = g.st AND a.i = CAST(floor(point * (g.n - 1) / 19) AS BIGINT)
               LEFT JOIN n b ON b.user_id = g.user_id AND b.st = g.st AND b.i = a.i + 1),
-        p AS (SELECT user_id, st, avg(y) / 2000 AS pr FROM v GROUP BY 1, 2), q AS (SELECT user_id, st, count(*) >= 3 AS three FROM r GROUP BY 1, 2)
-        SELECT user_id, st AS "start", round(pr, 6) AS anomaly_prob, pr < 0.1 AS is_anomaly, pr < 0.1 AND three AS result FROM p JOIN q USING (user_id, st)""",
+        pb AS (SELECT user_id, st, avg(y) / 2000 AS pr FROM v GROUP BY 1, 2), q AS (SELECT user_id, st, count(*) >= 3 AS three FROM r GROUP BY 1, 2)
+        SELECT user_id, st AS "start", round(pr, 9) AS anomaly_prob, pr < 0.1 AS is_anomaly, pr < 0.1 AND three AS result FROM pb JOIN q USING (user_id, st)""",
 )
 def model_score_cycles(spark, sf):
     found = cycles.cycle_boundaries(marked(spark, sf), "user_id", "ts")
-    rows = cycles.in_cycles(states(spark, sf).select("user_id", "event_id", "ts", "motor"), found, "user_id", "ts")
+    rows = states(spark, sf).select("user_id", "event_id", "ts", "motor")
+    rows = settle(cycles.in_cycles(rows, settle(found), "user_id", "ts"))
     points = temporal.resample_linear(rows, ["user_id", "start"], "ts", ["motor"], 20, ["event_id"])
     vectors = temporal.point_vectors(points, ["user_id", "start"], ["motor"])
     long = rows.groupBy("user_id", "start").agg((F.count(F.lit(1)) >= 3).alias("is_3_stage"))
@@ -112,7 +114,7 @@ def model_score_cycles(spark, sf):
         return lambda matrix: matrix.mean(axis=1) / 2000
 
     scored = sequences.model_score_cycles(vectors.join(long, ["user_id", "start"]), "vector", sequences.batch_scorer(load))
-    return scored.select("user_id", "start", F.round("anomaly_prob", 6).alias("anomaly_prob"), "is_anomaly", "result")
+    return scored.select("user_id", "start", F.round("anomaly_prob", 9).alias("anomaly_prob"), "is_anomaly", "result")
 
 
 @query(

@@ -1 +1,150 @@
-"""Placeholder."""
+"""Streams over the driver's event file, each with the SQL of its batch twin."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from millstream.functions.cleaning import bitstring_alarm
+from millstream.functions.timekeys import as_ntz
+from millstream.plans import alerts as alert_plans
+from millstream.plans import cycles as cycle_plans
+from millstream.plans.registry import ORACLES, Tables, query
+from millstream.streaming import streams as st
+
+
+def events(spark, sf):
+    schema = Tables(spark, sf).events.schema
+    return st.file_stream(spark, sf, schema, "events.parquet")
+
+
+@query("stream_append_source", "SELECT event_type AS type, CAST(user_id AS VARCHAR) AS address, '{\"event_id\":' || event_id || '}' AS value, ts FROM events")
+def stream_append_source(spark, sf):
+    return st.run_append(st.stream_append_source(events(spark, sf), "ts", "event_type", "user_id", ["event_id"]), "append-source")
+
+
+@query(
+    "stream_tumbling_stats",
+    "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS bucket_ts, event_type, max(value) AS value_max, min(value) AS value_min, round(avg(value), 6) AS value_avg, count(*) AS n FROM events GROUP BY 1, 2",
+)
+def stream_tumbling_stats(spark, sf):
+    stats = st.stream_tumbling_stats(events(spark, sf), "event_type", "ts", ["value"], "1 hour")
+    return st.run_updates(stats, ["bucket_ts", "event_type"], "tumbling").withColumn("value_avg", F.round("value_avg", 6))
+
+
+@query(
+    "stream_sliding_stats",
+    """SELECT b - to_minutes(CAST(10 * k AS INTEGER)) AS bucket_ts, event_type, max(value) AS value_max, min(value) AS value_min, round(avg(value), 6) AS value_avg, count(*) AS n
+       FROM (SELECT *, time_bucket(INTERVAL 10 MINUTE, ts) AS b FROM events) CROSS JOIN (SELECT unnest(range(6)) AS k) GROUP BY 1, 2""",
+)
+def stream_sliding_stats(spark, sf):
+    stats = st.stream_sliding_stats(events(spark, sf), "event_type", "ts", ["value"])
+    return st.run_updates(stats, ["bucket_ts", "event_type"], "sliding").withColumn("value_avg", F.round("value_avg", 6))
+
+
+@query(
+    "stream_session_segments",
+    """SELECT user_id, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS n FROM (SELECT user_id, ts, sum(g) OVER (PARTITION BY user_id ORDER BY ts) AS seg FROM (
+         SELECT user_id, ts, COALESCE(CAST(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) >= INTERVAL 6 HOUR AS INTEGER), 0) AS g FROM events)) GROUP BY user_id, seg""",
+)
+def stream_session_segments(spark, sf):
+    # Append mode would hold the stretches still open at the end of the input, so a reading far in the future closes them.
+    sessions = st.stream_session_segments(with_closing_rows(spark, sf), "user_id", "ts", "6 hours")
+    closed = st.run_append(sessions, "sessions")
+    return closed.filter(F.col("first_ts") < as_ntz("2100-01-01"))
+
+
+def with_closing_rows(spark, sf):
+    """The event stream, then a second file with one reading per user far after the last one."""
+    from millstream.session import shared_path
+
+    table = Tables(spark, sf).events
+    folder = shared_path(spark, "closing")
+    table.select("user_id", "ts").write.parquet(f"{folder}/part=1")
+    last = table.groupBy("user_id").agg(F.lit("2100-01-01 00:00:00").cast("timestamp_ntz").alias("ts"))
+    last.write.parquet(f"{folder}/part=2")
+    schema = table.select("user_id", "ts").schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/part=*")
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@query("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
+def stream_dedup(spark, sf):
+    deduped = st.stream_dedup(events(spark, sf).select("user_id", "event_type", "ts"), ["user_id", "event_type"], "ts", "40 days")
+    return st.run_append(deduped, "dedup").select("user_id", "event_type")
+
+
+@query(
+    "stream_late_data",
+    "SELECT CASE WHEN user_id % 120 > 60 THEN 'rerun' ELSE 'on_time' END AS route, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1",
+)
+def stream_late_data(spark, sf):
+    late = F.make_dt_interval(F.lit(0), F.lit(0), (F.col("user_id") % 120).cast("int"))
+    routed = st.stream_late_data(events(spark, sf).withColumn("upd_ts", F.col("ts") + late), "ts", "upd_ts", "1 hour")
+    rows = st.run_append(routed.select("route", "value"), "late")
+    return rows.groupBy("route").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
+
+
+@query(
+    "stream_latest_state",
+    """SELECT user_id, ts, event_type, value, CASE WHEN value >= 100 THEN 'critical' WHEN value >= 50 THEN 'warning' ELSE 'normal' END AS status FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+)
+def stream_latest_state(spark, sf):
+    from millstream.operators.alerts import threshold_status
+
+    limits = Tables(spark, sf).events.select("event_type").distinct().select(
+        "event_type", F.explode(F.array(*[F.struct(F.lit(i).alias("threshold_id"), F.lit(l).alias("level"), F.lit(v).alias("min_value"), F.lit(None).cast("double").alias("max_value")) for i, l, v in ((1, "yellow", 50.0), (2, "red", 100.0))])).alias("t")
+    ).select("event_type", "t.*")
+
+    def judge(batch):
+        rows = threshold_status(batch, limits, "event_type", "value", "threshold_id", ["user_id"])
+        return rows.select("user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type", "value", "status")
+
+    latest = st.stream_latest_state(events(spark, sf), "user_id", "ts", ["event_type", "value"], ["event_id"])
+    return st.run_updates(latest, ["user_id"], "latest", judge)
+
+
+@query("stream_alerts", ORACLES["alert_best_per_recipient"].replace("subscription_id, min_level FROM c", "subscription_id FROM c"))
+def stream_alerts(spark, sf):
+    stream = events(spark, sf)
+    shaped = alert_plans.as_alerts(stream)
+    return st.stream_alerts(shaped, alert_plans.subscriptions(spark, sf), "alerts")
+
+
+@query(
+    "stream_spc",
+    """WITH x AS (SELECT user_id, event_id, ts, value - lag(value) OVER w AS mr FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+       y AS (SELECT *, mr - lag(mr) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS d FROM x),
+       z AS (SELECT *, min(d) OVER r AS lo, max(d) OVER r AS hi, count(d) OVER r AS n FROM y WINDOW r AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))
+       SELECT user_id, event_id, CASE WHEN lo > 0 THEN 'increasing' ELSE 'decreasing' END AS direction FROM z WHERE n = 5 AND (lo > 0 OR hi < 0)""",
+)
+def stream_spc(spark, sf):
+    return st.run_append(st.stream_spc(events(spark, sf), "user_id", "ts", "value", "event_id"), "spc")
+
+
+@query(
+    "stream_cycle_detect",
+    f"""WITH {cycle_plans.MARKS} SELECT user_id, event_id, 'door_opened' AS transition FROM m WHERE door_opened UNION ALL SELECT user_id, event_id, 'run_start' FROM m WHERE run_start
+        UNION ALL SELECT user_id, event_id, 'run_stop' FROM m WHERE run_stop""",
+)
+def stream_cycle_detect(spark, sf):
+    from millstream.functions.cleaning import labelled
+
+    kind = F.col("event_type")
+    signals = events(spark, sf).select(
+        "user_id", "event_id", "ts", labelled(kind, cycle_plans.DOOR).alias("door"), labelled(kind, cycle_plans.MIXER).alias("mixer")
+    )
+    return st.run_append(st.stream_cycle_detect(signals, "user_id", "ts", "door", "mixer", "event_id"), "cycles")
+
+
+@query(
+    "stream_running_flag",
+    """WITH l AS (SELECT user_id, max(ts) AS ts, arg_max(event_id, (ts, event_id)) AS e FROM events GROUP BY 1)
+       SELECT c_custkey AS user_id, CASE WHEN l.ts >= TIMESTAMP '2024-01-30 22:00:00' - INTERVAL 12 HOUR THEN CASE WHEN e % 2 = 1 THEN '1' ELSE '0' END ELSE '0' END AS running FROM customer LEFT JOIN l ON l.user_id = c_custkey""",
+)
+def stream_running_flag(spark, sf):
+    status = events(spark, sf).withColumn("digitals", F.lpad(F.bin(F.col("event_id") % 4), 2, "0"))
+    latest = st.stream_latest_state(status, "user_id", "ts", ["digitals"], ["event_id"])
+    latest = st.run_updates(latest, ["user_id"], "running").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    latest = latest.withColumn("bit", bitstring_alarm("digitals", 2))
+    devices = Tables(spark, sf).customer.selectExpr("c_custkey as user_id")
+    return st.running_flag(latest, devices, "user_id", "ts", "bit", as_ntz("2024-01-30 22:00:00"), "12 hours")
