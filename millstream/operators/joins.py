@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from millstream.functions.timekeys import as_ntz, interval
 from millstream.functions.wallclock import seconds_between
-from millstream.operators import chunked, temporal
 from millstream.operators.chunked import join_null_safe, names
 
 
@@ -89,29 +88,43 @@ def lateral_latest(
 def wo_period_join(orders: DataFrame, production: DataFrame, keys, prev: str, cur: str, day: str, qty: str) -> DataFrame:
     """Production between the previous and the current work order (both days included) and after the current one.
 
-    Running totals per key and day replace the many-to-many join: total(prev..cur) = C(cur) - C(prev - 1).
+    Days are dates. Running totals per key and calendar day replace the many-to-many join:
+    total(prev..cur) = C(cur) - C(prev - 1). A key has one row per calendar day there, whatever its volume.
     Repeated work orders count once each, as in the joined form.
     """
     keys = names(keys)
-    days = production.groupBy(*keys, F.col(day).alias("__day")).agg(F.sum(qty).alias("__qty"))
-    days = days.withColumn(chunked.CHUNK, F.year("__day").cast("long"))
-    days = chunked.running_sum(days, keys, ["__day"], {"__run": F.col("__qty")})
-    totals = production.groupBy(*keys).agg(F.sum(qty).alias("__all"))
-    days = days.select(*keys, F.col("__day").cast("timestamp_ntz").alias("__at"), "__run")
-    grouped = orders.groupBy(*[c for c in orders.columns]).agg(F.count(F.lit(1)).alias("__times"))
-    grouped = grouped.withColumns(
-        {"__cur": F.col(cur).cast("timestamp_ntz"), "__prev": F.col(prev).cast("timestamp_ntz")}
+    span = production.agg(F.min(day).alias("__lo"), F.max(day).alias("__hi"))
+    daily = production.groupBy(*keys, F.col(day).alias("__day")).agg(F.sum(qty).alias("__qty"))
+    calendar = F.explode(F.sequence(F.date_sub("__lo", 1), F.col("__hi"))).alias("__day")
+    spine = production.select(*keys).distinct().crossJoin(F.broadcast(span)).select(*keys, calendar)  # span: one row
+    filled = join_null_safe(spine, daily, [*keys, "__day"], "left")
+    w = Window.partitionBy(*keys).orderBy("__day")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    totals = filled.select(
+        *keys,
+        "__day",
+        F.coalesce(F.sum("__qty").over(w.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0)).alias("__run"),
+        F.coalesce(F.sum("__qty").over(whole), F.lit(0)).alias("__all"),
     )
-    grouped = temporal.asof_join(grouped, days, keys, "__cur", "__at", ["__run"], "__c", strict=False, width="7 days")
-    grouped = temporal.asof_join(grouped, days, keys, "__prev", "__at", ["__run"], "__p", strict=True, width="7 days")
-    grouped = join_null_safe(grouped, totals, keys, "left")
-    upto = F.coalesce(F.col("__c.__run"), F.lit(0))
-    before = F.coalesce(F.col("__p.__run"), F.lit(0))
-    between = F.when(F.col(prev).isNotNull() & F.col(cur).isNotNull(), upto - before).otherwise(0)
-    after = F.when(F.col(cur).isNotNull(), F.coalesce("__all", F.lit(0)) - upto).otherwise(0)
+    grouped = orders.groupBy(*orders.columns).agg(F.count(F.lit(1)).alias("__times"))
+
+    def clipped(d: Column) -> Column:
+        return F.when(d.isNotNull(), F.least(F.greatest(d, F.date_sub("__lo", 1)), F.col("__hi")))
+
+    grouped = grouped.crossJoin(F.broadcast(span)).withColumns(  # one row
+        {"__at_cur": clipped(F.col(cur)), "__at_prev": clipped(F.date_sub(prev, 1))}
+    )
+    at_cur = totals.select(*keys, F.col("__day").alias("__at_cur"), F.col("__run").alias("__upto"), "__all")
+    at_prev = totals.select(*keys, F.col("__day").alias("__at_prev"), F.col("__run").alias("__before"))
+    grouped = join_null_safe(grouped, at_cur, [*keys, "__at_cur"], "left")
+    grouped = join_null_safe(grouped, at_prev, [*keys, "__at_prev"], "left")
+    both = F.col(prev).isNotNull() & F.col(cur).isNotNull()
+    between = F.when(both, F.coalesce(F.col("__upto") - F.col("__before"), F.lit(0))).otherwise(0)
+    after = F.coalesce(F.col("__all") - F.col("__upto"), F.lit(0))
+    helpers = ["__times", "__at_cur", "__at_prev", "__upto", "__before", "__all", "__lo", "__hi"]
     return grouped.withColumns(
         {"total_qty": between * F.col("__times"), "total_qty_recent": after * F.col("__times")}
-    ).drop("__times", "__cur", "__prev", "__c", "__p", "__all")
+    ).drop(*helpers)
 
 
 def semi_exists(main: DataFrame, detail: DataFrame, key, conditions: Sequence[Column]) -> DataFrame:

@@ -12,6 +12,7 @@ from millstream.functions.timekeys import month_start
 from millstream.functions.wallclock import bucket_no, seconds_between
 from millstream.operators import aggregates, joins, temporal
 from millstream.operators.chunked import join_null_safe, names
+from millstream.session import settle
 
 # Operation codes and their group.
 OP_GROUPS = {"IPI": "IP", "OSP": "OS", "PHH": "PH", "PHM": "PH"}
@@ -187,7 +188,10 @@ def spare_part_analysis(
     ranked = aggregates.topk_per_group(
         totals, zone, [F.col("total_outgoing_qty").desc(), F.col(part), F.col(name)], top
     )
-    gaps = temporal.lag_gap_days(usage.select(*keys, day), keys, day)
+    # Everything but the ranking concerns the ranked parts only.
+    ranked = settle(ranked)
+    usage = usage.join(ranked.select(*keys), keys, "left_semi")
+    gaps = settle(temporal.lag_gap_days(usage.select(*keys, day), keys, day))
     cycle = aggregates.replacement_cycle(gaps, keys, "gap_days")
     orders = gaps.select(*keys, F.col(day).alias("current_day"), "previous_day")
     periods = joins.wo_period_join(orders, production, zone, "previous_day", "current_day", prod_day, prod_qty)

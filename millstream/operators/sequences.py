@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from millstream.operators import chunked
 from millstream.operators.chunked import CHUNK, join_null_safe, names
 from millstream.operators.quantiles import percentile_iqr
+from millstream.session import settle
 
 Scorer = Callable[[Column], Column]
 
@@ -73,11 +74,13 @@ def window_anomaly_removal(
 ) -> DataFrame:
     """Drop every row covered by a window whose score lies outside the quartile fences of its key.
 
-    Series shorter than a window pass unchanged.
+    Series shorter than a window pass unchanged. Scores are checkpointed, so the model runs once per window although
+    the fences and the removal both read them.
     """
     keys = names(keys)
     scored = _windows(df, keys, ts, c, size, True, tiebreak)
     scored = scored.withColumn("__score", F.when(F.col("window").isNotNull(), scorer(F.col("window")))).drop("window")
+    scored = settle(scored)
     fences = percentile_iqr(scored.filter(F.col("__score").isNotNull()), keys, "__score", k)
     scored = join_null_safe(scored, fences.select(*keys, "lower_fence", "upper_fence"), keys, "left")
     odd = (F.col("__score") < F.col("lower_fence")) | (F.col("__score") > F.col("upper_fence"))
