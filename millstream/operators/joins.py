@@ -205,9 +205,9 @@ def self_join_hierarchy(
 
 def wildcard_match_join(
     alerts: DataFrame, subs: DataFrame, alert_id: str, sub_id: str, exact: str, fields: Sequence[str],
-    equal: Sequence[str] = (), salts: int = 16,
+    equal: Sequence[str] = (), alert_cols: Sequence[str] = (), sub_cols: Sequence[str] = (), salts: int = 16,
 ) -> DataFrame:
-    """(alert, subscription) pairs. A null subscription field matches everything.
+    """(alert, subscription) pairs, with `alert_cols` and `sub_cols` of the two sides. A null subscription field matches everything.
 
     A subscription that names `exact` (the sensor) matches that sensor, whatever its other fields; with another
     sensor in the alert it never matches; an alert without sensor falls through to the fields. `equal` columns
@@ -232,18 +232,21 @@ def wildcard_match_join(
     own_mask = F.concat(*[F.when(F.col(f).isNotNull(), "1").otherwise("0") for f in fields])
     masks = F.array(*[F.lit("".join(bits)) for bits in product("01", repeat=len(fields))])
     left = a.withColumn("__mask", F.explode(masks)).select(
-        alert_id, F.col(exact).alias("__a_exact"), *equal, "__mask", *masked(a, F.col("__mask"))
+        alert_id, *alert_cols, F.col(exact).alias("__a_exact"), *equal, "__mask", *masked(a, F.col("__mask"))
     )
     # A named field can only match an alert that has it.
     named = [(F.substring("__mask", i + 1, 1) == "0") | F.col(f"__f{i}").isNotNull() for i in range(len(fields))]
     left = left.filter(reduce(lambda x, y: x & y, named))
-    right = s.select(sub_id, F.col(exact).alias("__s_exact"), *equal, own_mask.alias("__mask"), *masked(s, None))
+    right = s.select(
+        sub_id, *sub_cols, F.col(exact).alias("__s_exact"), *equal, own_mask.alias("__mask"), *masked(s, None)
+    )
     on = ["__mask", *[f"__f{i}" for i in range(len(fields))], *equal]
     by_field = join_null_safe(left, right, on).filter(F.col("__s_exact").isNull() | F.col("__a_exact").isNull())
-    by_sensor = a.select(alert_id, exact, *equal).join(
-        s.filter(F.col(exact).isNotNull()).select(sub_id, exact, *equal), [exact, *equal], "inner"
+    by_sensor = a.select(alert_id, *alert_cols, exact, *equal).join(
+        s.filter(F.col(exact).isNotNull()).select(sub_id, *sub_cols, exact, *equal), [exact, *equal], "inner"
     )
-    return by_field.select(alert_id, sub_id).union(by_sensor.select(alert_id, sub_id))
+    pair = [alert_id, *alert_cols, sub_id, *sub_cols]
+    return by_field.select(*pair).union(by_sensor.select(*pair))
 
 
 def effective_dated_join(

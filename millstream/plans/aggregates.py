@@ -442,12 +442,12 @@ def oee_kpi(spark, sf):
     status = status.select("equip_id", "event_id", "event_type", "value", F.col("ts").alias("start_time"), F.col("nxt.ts").alias("end_time"))
     code = F.when(F.col("event_type").isin("view", "click"), "RUN").otherwise("STOP")
     status = status.withColumn("status_code", code)
-    days = events.select(F.col("ts").cast("date").alias("d")).distinct()
-    starts = F.explode(F.sequence(F.lit(0), F.lit(2)))
-    calendar = days.select("d", starts.alias("shift_id"))
     equipment = events.select("equip_id").distinct()
+    # The shift map: every machine works three shifts on every day of the data.
+    first, last = (events.agg(f(F.col("ts").cast("date"))).scalar() for f in (F.min, F.max))
+    days = equipment.withColumns({"lo": first, "hi": last}).select("equip_id", F.explode(F.sequence("lo", "hi")).alias("d"))
+    shift_map = days.withColumn("shift_id", F.explode(F.sequence(F.lit(0), F.lit(2))))
     begin = F.col("d").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), (F.col("shift_id") * 8).cast("int"))
-    shift_map = equipment.crossJoin(calendar)  # the shift map: every machine works every calendar shift
     shifts = shift_map.select("equip_id", F.col("shift_id").cast("long").alias("shift_id"), begin.alias("shift_start"))
     shifts = shifts.withColumn("shift_end", F.col("shift_start") + tk.interval("8 hours"))
     made = events.filter("event_type = 'purchase'").select(

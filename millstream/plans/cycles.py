@@ -63,7 +63,11 @@ def state_duration(spark, sf):
 
 @query("peak_count")
 def peak_count(spark, sf):
-    return count_peaks(states(spark, sf), "user_id", "ts", "motor", 100.0, 4, ["event_id"])
+    """Peaks of every machine cycle."""
+    found = cycles.cycle_boundaries(marked(spark, sf), "user_id", "ts")
+    rows = states(spark, sf).select("user_id", "event_id", "ts", "motor")
+    rows = settle(cycles.in_cycles(rows, settle(found), "user_id", "ts"))
+    return count_peaks(rows, ["user_id", "start"], "ts", "motor", 100.0, 2, ["event_id"])
 
 
 def features(spark, sf):

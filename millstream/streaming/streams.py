@@ -21,9 +21,15 @@ from millstream.operators.chunked import names
 from millstream.session import shared_path
 
 
-def file_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: str, ts: str = "ts") -> DataFrame:
-    """Parquet files as a stream; the event time becomes a timestamp, which watermarks need."""
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(folder)
+def file_stream(
+    spark: SparkSession, folder: str, schema: T.StructType, glob: str, ts: str = "ts", batch_bytes: int = 4 << 30
+) -> DataFrame:
+    """Parquet files as a stream; the event time becomes a timestamp, which watermarks need.
+
+    `batch_bytes` bounds a batch, and with it the rows of one key that a stateful step orders in memory.
+    """
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob).option("maxBytesPerTrigger", batch_bytes)
+    stream = reader.parquet(folder)
     return stream.withColumn(ts, F.col(ts).cast("timestamp"))
 
 

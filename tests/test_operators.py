@@ -36,8 +36,8 @@ def test_nelson_rules_on_known_series(spark):
     got = {r["idx"]: r["violated_rule"] for r in flagged.collect()}
     assert got[9] == 2 and got[10] == 1 and got[8] == 0
     assert got[15] == 3 and got[16] == 3
-    # Directions alternate from the step 16 -> 17 on; the fourteenth alternating point is 29.
-    assert got[28] == 0 and got[29] == 4 and got[32] == 4
+    # The steps into 16, 17, ... alternate, so 28 is the first point that ends fourteen alternating ones.
+    assert got[27] == 0 and got[28] == 4 and got[32] == 4
     tail = {r["idx"]: r["violated_rule"] for r in spc.nelson_first_violation(points, "k", tail_only=True).collect()}
     assert tail[1] == 4 and tail[10] == 1
 
