@@ -18,6 +18,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millstream.functions.wallclock import bucket_no
 
@@ -38,8 +39,41 @@ def order_struct(order: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in order])
 
 
+def key_helpers(keys: Sequence[str]) -> list[str]:
+    """Columns that stand for the keys inside a scan: value without nulls, and whether it was null."""
+    return [f"__{part}{i}" for i in range(len(keys)) for part in ("k", "n")]
+
+
+def _filler(kind: T.DataType) -> Column:
+    if isinstance(kind, T.NumericType):
+        return F.lit(0).cast(kind)
+    if isinstance(kind, T.BooleanType):
+        return F.lit(False)
+    return F.lit("" if isinstance(kind, T.StringType) else "1970-01-01").cast(kind)
+
+
+def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the key helpers and make the chunk non-null.
+
+    Null keys form a group of their own. A null-safe join would compare other expressions than the window is
+    partitioned by, and the rows would be shuffled twice; on these columns join and window share one shuffle.
+    """
+    if key_helpers(keys)[:1] and key_helpers(keys)[0] in df.columns:
+        return df
+    added = {CHUNK: F.coalesce(CHUNK, F.lit(-(1 << 60)).cast(df.schema[CHUNK].dataType))}
+    for i, k in enumerate(keys):
+        added |= {f"__k{i}": F.coalesce(F.col(k), _filler(df.schema[k].dataType)), f"__n{i}": F.col(k).isNull()}
+    return df.withColumns(added)
+
+
 def local_window(keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
-    return Window.partitionBy(*keys, CHUNK).orderBy(*order)
+    """Rows of one (key, chunk) in order, on the key helpers."""
+    return Window.partitionBy(*key_helpers(keys), CHUNK).orderBy(*order)
+
+
+def bare(df: DataFrame, keys: Sequence[str], *more: str) -> DataFrame:
+    """Drop the key helpers and other scratch columns."""
+    return df.drop(*key_helpers(keys), *more)
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
@@ -62,17 +96,22 @@ def carry(
     """Aggregate `parts` per (key, chunk), scan them in chunk order, join the result to every row.
 
     `then` is a second scan that may use the columns of the first. `df` is evaluated twice, so operators put all
-    they need into one call.
+    they need into one call. The key helpers stay on the result for `local_window`; `bare` drops them.
     """
-    summary = df.groupBy(*keys, CHUNK).agg(*[c.alias(n) for n, c in parts.items()])
-    w = Window.partitionBy(*keys).orderBy(CHUNK)
+    df = with_keys(df, keys)
+    helpers = key_helpers(keys)
+    by = [*helpers, CHUNK]
+    summary = df.groupBy(*by).agg(*[c.alias(n) for n, c in parts.items()])
+    w = Window.partitionBy(*helpers).orderBy(CHUNK)
     outs = scan(w)
     summary = summary.withColumns(outs)
     if then is not None:
         more = then(w)
         summary = summary.withColumns(more)
         outs = outs | more
-    return join_null_safe(df, summary.select(*keys, CHUNK, *outs), [*keys, CHUNK])
+    carried = summary.select(*[F.col(c).alias(f"__r{c}") for c in by], *outs)
+    same = reduce(lambda x, y: x & y, [F.col(c) == F.col(f"__r{c}") for c in by])
+    return df.join(carried, same, "inner").drop(*[f"__r{c}" for c in by])
 
 
 def previous(df: DataFrame, keys, order, cols, out: str) -> DataFrame:
@@ -86,7 +125,7 @@ def previous(df: DataFrame, keys, order, cols, out: str) -> DataFrame:
         lambda w: {"__before": F.lag("__last").over(w)},
     )
     near = F.lag(value).over(local_window(keys, order))
-    return df.withColumn(out, F.coalesce(near, F.col("__before"))).drop("__before")
+    return bare(df.withColumn(out, F.coalesce(near, F.col("__before"))), keys, "__before")
 
 
 def following(df: DataFrame, keys, order, cols, out: str) -> DataFrame:
@@ -100,7 +139,7 @@ def following(df: DataFrame, keys, order, cols, out: str) -> DataFrame:
         lambda w: {"__after": F.lead("__first").over(w)},
     )
     near = F.lead(value).over(local_window(keys, order))
-    return df.withColumn(out, F.coalesce(near, F.col("__after"))).drop("__after")
+    return bare(df.withColumn(out, F.coalesce(near, F.col("__after"))), keys, "__after")
 
 
 def fill(
@@ -132,7 +171,7 @@ def fill(
         frame = w.rowsBetween(Window.unboundedPreceding, -1 if strict else 0)
         near = {c: F.last(c, ignorenulls=True).over(frame) for c in cols}
     filled = {f"{c}{suffix}": F.coalesce(near[c], F.col(f"__c{i}")) for i, c in enumerate(cols)}
-    return df.withColumns(filled).drop(*[f"__c{i}" for i in range(len(cols))])
+    return bare(df.withColumns(filled), keys, *[f"__c{i}" for i in range(len(cols))])
 
 
 def running_sum(df: DataFrame, keys, order, sums: dict[str, Column]) -> DataFrame:
@@ -152,7 +191,7 @@ def running_sum(df: DataFrame, keys, order, sums: dict[str, Column]) -> DataFram
         o: F.coalesce(F.sum(sums[o]).over(frame), F.lit(0)) + F.coalesce(F.col(f"__c{i}"), F.lit(0))
         for i, o in enumerate(outs)
     }
-    return df.withColumns(total).drop(*[f"__c{i}" for i in range(len(outs))])
+    return bare(df.withColumns(total), keys, *[f"__c{i}" for i in range(len(outs))])
 
 
 def running_max(df: DataFrame, keys, order, c: str, out: str) -> DataFrame:
@@ -166,7 +205,7 @@ def running_max(df: DataFrame, keys, order, c: str, out: str) -> DataFrame:
         lambda w: {"__c": F.max("__m").over(w.rowsBetween(before, -1))},
     )
     near = F.max(c).over(local_window(keys, order).rowsBetween(before, -1))
-    return df.withColumn(out, F.greatest(near, F.col("__c"))).drop("__c")
+    return bare(df.withColumn(out, F.greatest(near, F.col("__c"))), keys, "__c")
 
 
 def numbered(df: DataFrame, keys, order, out: str = "rn", total: str | None = None) -> DataFrame:
@@ -181,7 +220,7 @@ def numbered(df: DataFrame, keys, order, out: str = "rn", total: str | None = No
 
     df = carry(df, keys, {"__n": F.count(F.lit(1))}, scan)
     near = F.row_number().over(local_window(keys, order)).cast("long")
-    return df.withColumn(out, near + F.coalesce(F.col("__c"), F.lit(0))).drop("__c")
+    return bare(df.withColumn(out, near + F.coalesce(F.col("__c"), F.lit(0))), keys, "__c")
 
 
 def with_totals(df: DataFrame, keys, parts: dict[str, Column], whole: dict[str, str]) -> DataFrame:
@@ -192,7 +231,8 @@ def with_totals(df: DataFrame, keys, parts: dict[str, Column], whole: dict[str,
     keys = names(keys)
     combine = {"sum": F.sum, "min": F.min, "max": F.max}
     span = (Window.unboundedPreceding, Window.unboundedFollowing)
-    return carry(df, keys, parts, lambda w: {n: combine[how](n).over(w.rowsBetween(*span)) for n, how in whole.items()})
+    totals = carry(df, keys, parts, lambda w: {n: combine[how](n).over(w.rowsBetween(*span)) for n, how in whole.items()})
+    return bare(totals, keys)
 
 
 def in_blocks(df: DataFrame, rn: str, before: int = 0, after: int = 0, rows: int = BLOCK_ROWS) -> DataFrame:

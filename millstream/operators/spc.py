@@ -141,7 +141,7 @@ def _with_ranges(df: DataFrame, keys, ts: str, order, series: dict[str, str], rn
     One scan: a chunk contributes its sums, its inner ranges and its first and last value; the ranges across chunk
     edges are added while scanning.
     """
-    df = chunked.with_time_chunk(df, ts)
+    df = chunked.with_keys(chunked.with_time_chunk(df, ts), keys)
     local = chunked.local_window(keys, order)
     df = df.withColumns({f"__near_{n}": F.col(c) - F.lag(c).over(local) for n, c in series.items()})
     parts = {"__rows": F.count(F.lit(1))}
@@ -172,7 +172,7 @@ def _with_ranges(df: DataFrame, keys, ts: str, order, series: dict[str, str], rn
     signed = {f"mr_sign_{n}": F.coalesce(f"__near_{n}", F.col(c) - F.col(f"__before_{n}")) for n, c in series.items()}
     number = F.row_number().over(local).cast("long") + F.coalesce(F.col("__base"), F.lit(0))
     helpers = ["__base", CHUNK, *[f"__{x}_{n}" for n in series for x in ("near", "before")]]
-    return df.withColumns({**signed, rn: number}).drop(*helpers)
+    return chunked.bare(df.withColumns({**signed, rn: number}), keys, *helpers)
 
 
 def nelson_flags(points: DataFrame, keys, idx: str = "idx", rules: Sequence[int] = (1, 2, 3, 4)) -> DataFrame:
@@ -231,7 +231,7 @@ def nelson_first_violation(
 
         flagged = chunked.carry(flagged, keys, last, scan)
         flagged = flagged.withColumns({f"rule_{r}": F.col(f"__t{r}") == 1 for r in tails})
-        flagged = flagged.drop(CHUNK, *[f"__t{r}" for r in tails])
+        flagged = chunked.bare(flagged, keys, CHUNK, *[f"__t{r}" for r in tails])
     violated = F.when(F.lit(False), F.lit(0))
     for r in sorted(rules):
         violated = violated.when(F.col(f"rule_{r}"), r)

@@ -267,26 +267,23 @@ def gap_segments(
     keys = names(entity)
     order = [ts, *tiebreak]
     limit = F.lit(width_us(gap))
-    df = chunked.with_time_chunk(df, ts, width).withColumn("__us", wall_us(ts))
+    df = chunked.with_keys(chunked.with_time_chunk(df, ts, width).withColumn("__us", wall_us(ts)), keys)
     local = chunked.local_window(keys, order)
     apart = F.col("__us") - F.lag("__us").over(local) >= limit
     df = df.withColumn("__gap", F.coalesce(apart.cast("long"), F.lit(0)))
     parts = {"__first": F.min("__us"), "__last": F.max("__us"), "__gaps": F.sum("__gap")}
 
-    def scan(w):
-        joins = F.coalesce((F.col("__first") - F.lag("__last").over(w) >= limit).cast("long"), F.lit(0))
-        return {"__first": F.col("__first"), "__gaps": F.col("__gaps"), "__joins": joins}
-
-    summary = df.groupBy(*keys, CHUNK).agg(*[c.alias(n) for n, c in parts.items()])
-    w = Window.partitionBy(*keys).orderBy(CHUNK)
-    summary = summary.select(*keys, CHUNK, *[c.alias(n) for n, c in scan(w).items()])
-    so_far = F.sum(F.col("__joins") + F.col("__gaps")).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    summary = summary.select(
-        *keys, CHUNK, (F.coalesce(so_far, F.lit(0)) + F.col("__joins")).alias("__base")
-    )
-    df = join_null_safe(df, summary, [*keys, CHUNK])
+    def edges(w):
+        return {"__joins": F.coalesce((F.col("__first") - F.lag("__last").over(w) >= limit).cast("long"), F.lit(0))}
+
+    def base(w):
+        so_far = F.sum(F.col("__joins") + F.col("__gaps")).over(w.rowsBetween(Window.unboundedPreceding, -1))
+        return {"__base": F.coalesce(so_far, F.lit(0)) + F.col("__joins")}
+
+    df = chunked.carry(df, keys, parts, edges, base)
     here = F.sum("__gap").over(local.rowsBetween(Window.unboundedPreceding, 0))
-    return df.withColumn(out, F.col("__base") + here).drop("__base", "__gap", "__us", CHUNK)
+    df = df.withColumn(out, F.col("__base") + here)
+    return chunked.bare(df, keys, "__base", "__joins", "__gap", "__us", CHUNK)
 
 
 def busy_segments(df: DataFrame, entity, segment: str, value: str, idle: float) -> DataFrame:
@@ -327,13 +324,13 @@ def ffill_bfill(df: DataFrame, keys, ts: str, cols, tiebreak=(), width=DEFAULT_W
         c: F.coalesce(F.last(c, ignorenulls=True).over(frame), F.col(f"__c{i}"), F.col(f"__e{i}"))
         for i, c in enumerate(cols)
     }
-    return df.withColumns(filled).drop(CHUNK, *[f"__{x}{i}" for i in range(len(cols)) for x in "ce"])
+    return chunked.bare(df.withColumns(filled), keys, CHUNK, *[f"__{x}{i}" for i in range(len(cols)) for x in "ce"])
 
 
 def interpolate_linear(df: DataFrame, keys, ts: str, c: str, out: str, tiebreak=(), width=DEFAULT_WIDTH) -> DataFrame:
     """Fill nulls on the line between the neighbours by row position; leading nulls stay, trailing repeat."""
     keys, order = names(keys), [ts, *tiebreak]
-    df = chunked.with_time_chunk(df, ts, width)
+    df = chunked.with_keys(chunked.with_time_chunk(df, ts, width), keys)
     local = chunked.local_window(keys, order)
     df = df.withColumn("__rn", F.row_number().over(local).cast("long"))
     df = df.withColumn("__known", F.when(F.col(c).isNotNull(), F.struct(F.col("__rn").alias("rn"), F.col(c).alias("v"))))
@@ -369,7 +366,7 @@ def interpolate_linear(df: DataFrame, keys, ts: str, c: str, out: str, tiebreak=
     line = before["v"] + (after["v"] - before["v"]) * step
     value = F.when(F.col(c).isNotNull(), F.col(c)).when(before.isNotNull(), F.coalesce(line, before["v"]))
     helpers = ["__rn", "__known", "__base", "__far_before", "__far_after", "__near_before", "__near_after", CHUNK]
-    return df.withColumn(out, value).drop(*helpers)
+    return chunked.bare(df.withColumn(out, value), keys, *helpers)
 
 
 def resample_linear(df: DataFrame, keys, ts: str, cols: Sequence[str], n: int, tiebreak=(), width=DEFAULT_WIDTH):
