@@ -107,7 +107,7 @@ def tumbling_10min_avg(spark, sf):
 def hourly_by_location(spark, sf):
     """Hourly rows of numbered sensors, and one location per sensor suffix."""
     t = Tables(spark, sf)
-    sensor = F.concat(F.lit("TEMPIOT-A"), F.lpad(F.col("user_id").cast("string"), 4, "0"))
+    sensor = F.concat(F.lit("SENSOR-"), F.lpad(F.col("user_id").cast("string"), 4, "0"))
     hourly = a.hourly_sensor_stats(t.events.withColumn("sensor_id", sensor), "sensor_id", "ts", ["value"])
     key = F.lpad(F.col("c_custkey").cast("string"), 4, "0")
     nations = t.nation.withColumnRenamed("n_nationkey", "c_nationkey").join(t.region.withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey")

@@ -123,11 +123,11 @@ def model_score_cycles(spark, sf):
 
 @query(
     "cycle_shift_report",
-    f"""WITH {BOUNDS} SELECT user_id, st AS "start", 'banbury03_' || strftime(st, '%Y%m%d') || '_' || row_number() OVER (PARTITION BY strftime(st, '%Y%m%d') ORDER BY st, user_id) AS no FROM c""",
+    f"""WITH {BOUNDS} SELECT user_id, st AS "start", 'mixer03_' || strftime(st, '%Y%m%d') || '_' || row_number() OVER (PARTITION BY strftime(st, '%Y%m%d') ORDER BY st, user_id) AS no FROM c""",
 )
 def cycle_shift_report(spark, sf):
     found = cycles.cycle_boundaries(marked(spark, sf), "user_id", "ts")
-    return temporal.sequence_no(found, "start", ["start", "user_id"], "banbury03").select("user_id", "start", "no")
+    return temporal.sequence_no(found, "start", ["start", "user_id"], "mixer03").select("user_id", "start", "no")
 
 
 @query(

@@ -68,14 +68,14 @@ def enriched_extract(spark, sf):
 
 @query(
     "multi_source_union",
-    """SELECT 'JJ' AS company_cd, c_custkey AS site_key, c_name AS site_name, c_nationkey AS nation FROM customer
-       UNION ALL SELECT 'VJ', s_suppkey, s_name, s_nationkey FROM supplier""",
+    """SELECT 'P1' AS company_cd, c_custkey AS site_key, c_name AS site_name, c_nationkey AS nation FROM customer
+       UNION ALL SELECT 'P2', s_suppkey, s_name, s_nationkey FROM supplier""",
 )
 def multi_source_union(spark, sf):
     t = Tables(spark, sf)
-    jj = t.customer.selectExpr("c_custkey as site_key", "c_name as site_name", "c_nationkey as nation")
-    vj = t.supplier.selectExpr("s_suppkey as site_key", "s_name as site_name", "s_nationkey as nation")
-    return sets.multi_source_union({"JJ": jj, "VJ": vj}, "company_cd")
+    first = t.customer.selectExpr("c_custkey as site_key", "c_name as site_name", "c_nationkey as nation")
+    second = t.supplier.selectExpr("s_suppkey as site_key", "s_name as site_name", "s_nationkey as nation")
+    return sets.multi_source_union({"P1": first, "P2": second}, "company_cd")
 
 
 HEAD = ["ymd", "hmsf", "sensor_id", "device_id", "capture_dt"]
@@ -188,7 +188,7 @@ def nested_json_flatten(spark, sf):
     )
     doc = F.to_json(
         F.struct(
-            F.lit("JJ").alias("plant"),
+            F.lit("P1").alias("plant"),
             F.col("o_orderkey").cast("string").alias("device"),
             F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
             F.struct("temp").alias("frame"),

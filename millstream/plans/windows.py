@@ -252,8 +252,8 @@ def cycle_numbering(spark, sf):
 
 @query(
     "sequence_no",
-    "SELECT event_id, 'banbury03_' || strftime(ts, '%Y%m%d') || '_' || row_number() OVER (PARTITION BY strftime(ts, '%Y%m%d') ORDER BY ts, event_id) AS no FROM events",
+    "SELECT event_id, 'mixer03_' || strftime(ts, '%Y%m%d') || '_' || row_number() OVER (PARTITION BY strftime(ts, '%Y%m%d') ORDER BY ts, event_id) AS no FROM events",
 )
 def sequence_no(spark, sf):
     events = Tables(spark, sf).events.select("event_id", "ts")
-    return temporal.sequence_no(events, "ts", ["ts", "event_id"], "banbury03").select("event_id", "no")
+    return temporal.sequence_no(events, "ts", ["ts", "event_id"], "mixer03").select("event_id", "no")
