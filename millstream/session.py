@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -27,9 +28,11 @@ def local_session(app: str = "millstream", cpus: int | str = "*", partitions: in
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder the cluster names in `spark.checkpoint.dir`; a private one only where it is unset."""
+    """Folder the cluster names in `spark.checkpoint.dir`; a private one only in local mode, where all tasks share it."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="millstream-")
         spark.conf.set("spark.checkpoint.dir", named)
     if not spark.sparkContext.getCheckpointDir():
@@ -42,6 +45,13 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Cut lineage with a Parquet table in the shared folder, so later reads prune columns and survive lost executors."""
+    path = shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Cut lineage durably: a reliable checkpoint, which outlives lost executors."""
     shared_dir(df.sparkSession)
