@@ -28,10 +28,11 @@ def add_columns(
     `start` runs once in each Python worker and returns the function from input arrays to one array per field.
     """
     names = [f.name for f in fields]
-    kept = [c for c in df.columns if c not in names]
+    kept = [c for c in df.columns if c.lower() not in {n.lower() for n in names}]
     schema = T.StructType([df.schema[c] for c in kept] + list(fields))
     # The inputs go first under names of their own, so that no other column can clash with them.
-    sent = df.select(*[F.col(f"`{c}`").alias(f"_in{i}") for i, c in enumerate(inputs)], *[F.col(f"`{c}`") for c in kept])
+    own = "_in" + "_" * max(map(len, df.columns))
+    sent = df.select(*[F.col(f"`{c}`").alias(f"{own}{i}") for i, c in enumerate(inputs)], *[F.col(f"`{c}`") for c in kept])
     n = len(inputs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
