@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millstream.llm import pieces
+from millstream.llm import language, pieces, quality
+from millstream.session import stored
 from millstream.sources.readers import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +38,29 @@ def op1_pieces(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
     )
+
+
+def fold(n: int, left_out: int) -> Column:
+    """Whether a row is held out by its id; rows without id are, so nothing is learned from them."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % n == left_out, F.lit(True))
+
+
+@query("op3_quality")
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = stored(quality.with_statistics(docs).drop("text"), "statistics")
+    labels = quality.labels_by_id(table(spark, folder, "labels"), "quality", ~fold(3, 1))
+    model = quality.fit(scored.join(labels, "doc_id"))
+    return quality.predict(scored, model).select(
+        "doc_id", fold(3, 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+@query("op5_language")
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document."""
+    docs = table(spark, folder, "documents")
+    net = language.fit(docs, ~fold(3, 1))
+    found = language.predict(docs.select("doc_id", "text"), net)
+    return found.select("doc_id", fold(3, 1).alias("held_out"), "lang_pred", "score")
