@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millstream.llm import language, pieces, quality
+from millstream.llm import language, pieces, quality, toxicity
 from millstream.session import stored
 from millstream.sources.readers import table
 
@@ -57,6 +57,17 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = quality.labels_by_id(table(spark, folder, "labels"), "toxic", ~fold(4, 2))
+    model = toxicity.fit(docs, labels)
+    return toxicity.predict(docs, model).select(
+        "doc_id", fold(4, 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 @query("op5_language")
 def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document."""
