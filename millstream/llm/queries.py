@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millstream.llm import language, pieces, quality, toxicity
+from millstream.llm import language, pieces, quality, sharding, topk, toxicity
 from millstream.session import stored
 from millstream.sources.readers import table
 
@@ -40,6 +40,43 @@ def op1_pieces(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "op2_sharding",
+    """
+    WITH d AS (SELECT doc_id, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h,
+                      strlen(coalesce(text, '')) AS n FROM documents),
+    p AS (SELECT doc_id, n, depth, CASE WHEN depth = 0 THEN '' ELSE right(lpad(to_base(h >> (60 - depth), 2), 60, '0'), depth) END AS shard
+          FROM d, (SELECT unnest(generate_series(0, 60)) AS depth)),
+    b AS (SELECT depth, shard, count(*) AS shard_rows, CAST(sum(n) AS BIGINT) AS shard_bytes FROM p GROUP BY depth, shard
+          HAVING sum(n) <= 1048576 OR count(*) = 1)
+    SELECT doc_id, arg_min(b.shard, depth) AS shard, arg_min(shard_rows, depth) AS shard_rows, arg_min(shard_bytes, depth) AS shard_bytes
+    FROM p JOIN b USING (depth, shard) GROUP BY doc_id
+    """,
+)
+def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Shard of every document, of 1 MiB of text at most."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return sharding.assign(docs, 1 << 20).drop("text")
+
+
+@query(
+    "op7_topk",
+    """
+    WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+               WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+               AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+          FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+    SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM s
+    WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5
+    """,
+)
+def op7_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The 5 nearest vectors of every vector whose id is divisible by 50."""
+    numbers = topk.whole_numbers(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+    return topk.nearest(numbers, 5)
+
+
 def fold(n: int, left_out: int) -> Column:
     """Whether a row is held out by its id; rows without id are, so nothing is learned from them."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % n == left_out, F.lit(True))
