@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millstream.llm import language, pieces, quality, sharding, topk, toxicity
+from millstream.llm import language, pieces, quality, secrets, sharding, topk, toxicity
 from millstream.session import stored
 from millstream.sources.readers import table
 
@@ -59,12 +59,54 @@ def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign(docs, 1 << 20).drop("text")
 
 
+def _sql_spans(kind: str, pattern: str, group: int, least: int) -> str:
+    """Spans of one kind in DuckDB, from the texts between matches and the matches."""
+    return f"""
+        SELECT doc_id, '{kind}' AS kind, pos + g AS s, pos + g + f AS e FROM (
+            SELECT doc_id, unnest(between)[1] AS g, unnest(found)[1] AS f, unnest(judged)[1] AS j, unnest(before) AS pos FROM (
+                SELECT doc_id, between, found, judged,
+                       list_transform(range(len(found)), lambda i: coalesce(list_sum(list_transform(between[:i], lambda x: x[1])), 0)
+                                      + coalesce(list_sum(list_transform(found[:i], lambda x: x[1])), 0)) AS before
+                FROM (SELECT doc_id, list_transform(regexp_split_to_array(t, '{pattern}'), lambda x: [length(x)])[:len(regexp_extract_all(t, '{pattern}'))] AS between,
+                             list_transform(regexp_extract_all(t, '{pattern}'), lambda x: [length(x)]) AS found,
+                             list_transform(regexp_extract_all(t, '{pattern}', {group}), lambda x: [length(x)]) AS judged
+                      FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)))) WHERE j >= {least}"""
+
+
+_SECRETS = {
+    "assign": (r"""(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    "access": ("AKIA[A-Z0-9]+", 0, 20),
+    "hex": ("[0-9a-f]+", 0, 24),
+}
+
+
+@query(
+    "op6_secrets",
+    f"""
+    WITH s AS ({" UNION ALL ".join(_sql_spans(k, *v) for k, v in _SECRETS.items())}),
+    j AS (SELECT doc_id, string_agg(kind || ':' || CAST(s AS BIGINT) || ':' || CAST(e AS BIGINT), ',' ORDER BY s, list_position(['assign', 'access', 'hex'], kind)) AS spans,
+                 count(*) FILTER (kind = 'assign') AS a, count(*) FILTER (kind = 'access') AS c, count(*) FILTER (kind = 'hex') AS h FROM s GROUP BY doc_id)
+    SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(c, 0) AS n_access, coalesce(h, 0) AS n_hex,
+           sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM documents LEFT JOIN j USING (doc_id)
+    """,
+)
+def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of every document."""
+    found = secrets.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    joined = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    kinds = F.transform("spans", lambda s: s["kind"])
+    counts = [(F.size("spans") - F.size(F.array_remove(kinds, r.kind))).cast("long").alias(f"n_{r.kind}") for r in secrets.BASE]
+    rows = found.select("doc_id", *counts, joined.alias("spans"))
+    return rows.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("spans", 256).alias("base_sha256"), "spans")
+
+
 @query(
     "op7_topk",
     """
-    WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
                WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-               AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+               AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
     s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
           FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
     SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM s
