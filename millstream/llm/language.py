@@ -12,11 +12,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millstream.llm.arrow import add_columns
+from millstream.llm.sample import smallest
 
 WIDTHS = (2, 3, 4)
 FILTERS = 16
@@ -125,7 +126,7 @@ def fit(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang",
     parts = F.when(size > WINDOW, F.array_distinct(F.array(*steps))).otherwise(F.array(F.col(text)))
     rows = docs.filter(learn & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
     rows = rows.select(F.col(lang).alias("lang"), F.xxhash64(text).alias("h"), parts.alias("parts"))
-    picked = rows.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("n") <= sample_docs)
+    picked = smallest(rows, "lang", "h", sample_docs)
     found = sorted((r.lang, p) for r in picked.select("lang", "parts").collect() for p in r.parts)
     languages = sorted({name for name, _ in found})
     net = ByteConvNet.start(languages)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millstream.llm import language, pieces, quality, secrets, sharding, topk, toxicity
+from millstream.llm import language, lines, pieces, quality, secrets, sharding, topk, toxicity
 from millstream.session import stored
 from millstream.sources.readers import table
 
@@ -154,3 +154,29 @@ def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     net = language.fit(docs, ~fold(3, 1))
     found = language.predict(docs.select("doc_id", "text"), net)
     return found.select("doc_id", fold(3, 1).alias("held_out"), "lang_pred", "score")
+
+
+@query(
+    "op10_lines",
+    r"""
+    WITH l AS (SELECT doc_id, n, raw, trim(regexp_replace(raw, '[ \t\r]+', ' ', 'g'), ' ') AS line FROM (
+                   SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, unnest(range(len(string_split(text, chr(10))))) AS n FROM documents WHERE text IS NOT NULL)),
+    d AS (SELECT line, min((doc_id, n)) AS first, string_split(line, ' ') AS w, len(string_split(line, ' ')) AS m FROM l GROUP BY line HAVING len(string_split(line, ' ')) >= 5),
+    k AS (SELECT d.*, big, unnest([0, 1]) AS last, unnest([w[:big // 2], w[m - big // 2 + 1:]]) AS half FROM d, (SELECT unnest([0, 1]) AS more), (SELECT m + more AS big) WHERE big >= 8),
+    p AS (SELECT DISTINCT b.line, b.w, a.w AS v FROM k a JOIN k b ON a.big = b.big AND a.last = b.last AND a.half = b.half AND a.first < b.first
+          WHERE greatest(a.m, b.m) = a.big),
+    z AS (SELECT DISTINCT line FROM p WHERE
+          coalesce(list_position(list_transform(range(1, least(len(w), len(v)) + 1), lambda i: w[i] = v[i]), false) - 1, least(len(w), len(v)))
+          + coalesce(list_position(list_transform(range(1, least(len(w), len(v)) + 1), lambda i: w[-i] = v[-i]), false) - 1, least(len(w), len(v)))
+          >= greatest(len(w), len(v)) - 1),
+    g AS (SELECT l.doc_id, l.n, l.raw, coalesce(z.line IS NOT NULL OR (l.doc_id, l.n) > d.first, false) AS gone
+          FROM l LEFT JOIN d ON l.line = d.line LEFT JOIN z ON l.line = z.line),
+    r AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, coalesce(string_agg(raw, chr(10) ORDER BY n) FILTER (NOT gone), '') AS kept FROM g GROUP BY doc_id)
+    SELECT documents.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, sha256(kept) AS text_sha256
+    FROM documents LEFT JOIN r ON documents.doc_id = r.doc_id
+    """,
+)
+def op10_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without repeated lines, as a digest."""
+    made = lines.dedup(table(spark, folder, "documents").select("doc_id", "text"))
+    return made.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))

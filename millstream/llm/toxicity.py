@@ -17,11 +17,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millstream.llm.arrow import add_columns
+from millstream.llm.sample import smallest
 from millstream.session import stored
 
 NOISE = re.compile(r"[\W\d_]+")
@@ -156,12 +157,11 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", ke
     bounded, are broadcast to the texts.
     """
     rows = labels.filter(F.col(label).isin(0, 1)).select(F.col(key).alias("id"), F.col(label).cast("long").alias("label"))
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    most = F.when(F.col("label") == 1, SAMPLE[1]).otherwise(SAMPLE[0])
-    chosen = rows.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= max(SAMPLE.values())).filter(F.col("n") <= most)
+    hashed = rows.withColumn("h", F.xxhash64("id"))
+    chosen = smallest(hashed.filter("label = 1"), "label", "h", SAMPLE[1]).unionByName(smallest(hashed.filter("label = 0"), "label", "h", SAMPLE[0]))
     ids = F.col("id").cast("string")
     half = F.crc32(F.concat(F.lit("half "), ids).cast("binary")) % 2 == 0
-    found = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen.drop("n")), "id")
+    found = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen.drop("h")), "id")
     return stored(found.select("label", "text", half.alias("half")), "toxicity-sample")
 
 
