@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millstream.llm import language, lines, pieces, quality, secrets, sharding, topk, toxicity
+from millstream.llm import decontaminate, language, lines, pieces, quality, secrets, sharding, topk, toxicity
 from millstream.session import stored
 from millstream.sources.readers import table
 
@@ -156,6 +156,46 @@ def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", fold(3, 1).alias("held_out"), "lang_pred", "score")
 
 
+def _sql_template(table: str, key: str) -> str:
+    """(key, w, c, v): tokens, template and values in DuckDB."""
+    units = ", ".join(f"'{u}'" for u in decontaminate.UNITS)
+    token = decontaminate.TOKEN.replace("'", "''")
+    return f"""
+        SELECT {key}, v, list_transform(range(1, len(w) + 1), lambda i: CASE
+            WHEN w[i][1] BETWEEN '0' AND '9' THEN '#num'
+            WHEN i > 1 AND w[i - 1][1] BETWEEN '0' AND '9' AND v[i] IN ({units}) THEN '#unit'
+            WHEN lower(w[i]) = w[i] THEN v[i]
+            WHEN i > 1 AND right(w[i - 1], 1) NOT IN ('.', '!', '?') AND w[i][1] <> lower(w[i][1]) AND w[i][2:] = lower(w[i][2:]) AND length(w[i]) > 1 THEN '#name'
+            ELSE v[i] END) AS c
+        FROM (SELECT {key}, w, list_transform(w, lambda x: rtrim(lower(x), '.!?')) AS v
+              FROM (SELECT {key}, regexp_extract_all(text, '{token}') AS w FROM {table}) WHERE len(w) >= 4)"""
+
+
+@query(
+    "op9_decontamination",
+    f"""
+    WITH b AS ({_sql_template("benchmark", "item_id")}), d AS ({_sql_template("documents", "doc_id")}),
+    bw AS (SELECT item_id, n, i AS pos, c[i:i + n - 1] AS c, v[i:i + n - 1] AS v
+           FROM (SELECT *, least(len(c), 6) AS n, unnest(range(1, len(c) - least(len(c), 6) + 2)) AS i FROM b)
+           WHERE len(list_filter(c[i:i + n - 1], lambda x: x[1] <> '#')) >= greatest(n - 2, 1)),
+    t AS (SELECT item_id, count(*) AS total FROM bw GROUP BY item_id),
+    dw AS (SELECT doc_id, i AS place, c[i:i + n - 1] AS c, v[i:i + n - 1] AS u
+           FROM (SELECT doc_id, c, v, n, unnest(range(1, len(c) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw) WHERE len(c) >= n)),
+    m AS (SELECT doc_id, item_id, place - pos AS line, pos, bw.c, v, u FROM dw JOIN bw ON dw.c = bw.c),
+    s AS (SELECT DISTINCT doc_id, item_id, line, c[k] AS c, v[k] AS v, u[k] AS u FROM (SELECT *, unnest(range(1, len(c) + 1)) AS k FROM m) WHERE c[k][1] = '#'),
+    x AS (SELECT doc_id, item_id, line, count(*) = count(DISTINCT (c, v)) AND count(*) = count(DISTINCT (c, u)) AS good, count(*) FILTER (v <> u) AS changed
+          FROM s GROUP BY ALL),
+    f AS (SELECT m.doc_id, m.item_id, count(DISTINCT pos) AS windows, max(coalesce(changed, 0)) AS changed
+          FROM m LEFT JOIN x USING (doc_id, item_id, line) WHERE coalesce(good, true) GROUP BY ALL)
+    SELECT doc_id, item_id, windows, windows / total AS share, changed FROM f JOIN t USING (item_id) WHERE windows / total >= 0.4
+    """,
+)
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold benchmark items, also with other numbers, names or units."""
+    found = decontaminate.leaks(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"))
+    return found.drop("doc")
+
+
 @query(
     "op10_lines",
     r"""

@@ -54,6 +54,8 @@ def assign(docs: DataFrame, limit: int, key: str = "doc_id", text: str = "text",
         buckets = cells.select("*", F.explode(F.sequence(F.lit(floor), F.lit(depth))).alias("d"))
         buckets = buckets.withColumn("bucket", F.expr("substring(cell, 1, d)"))
         fits = buckets.groupBy("d", "bucket").agg(F.sum("bytes").alias("b"), F.sum("n").alias("m")).filter((F.col("b") <= limit) | (F.col("m") == 1))
+        # A table of its own, so that the cells of the shallow buckets, which are many to a bucket, can be split over tasks.
+        fits = stored(fits, f"shard-fits-{depth}")
         found = buckets.join(fits, ["d", "bucket"]).groupBy("cell").agg(F.min(F.struct("d", "bucket", "m", "b")).alias("leaf"))
         found = stored(cells.select("cell").join(found, "cell", "left"), f"shard-cells-{depth}")
         leaves.append((depth, found.filter("leaf IS NOT NULL").select("cell", "leaf.bucket", "leaf.m", "leaf.b")))
