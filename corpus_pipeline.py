@@ -10,10 +10,42 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millstream.llm import pieces
+from millstream.llm import decontaminate, jaccard, language, lines, pieces
 from millstream.session import stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: A document goes if its likeliest language has less than this share of its windows' probability.
+LEAST_LANGUAGE = 0.3
+
+
+def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language: those without a letter go, and those of which no language explains a fair part.
+
+    The network learns from a bounded sample of the documents that name their language.
+    """
+    net = language.fit(docs, F.lit(True))
+    found = language.predict(docs.select(*COLUMNS), net, lang_pred="_lang", score="_score")
+    told = F.col("_score") >= LEAST_LANGUAGE if net.languages else F.col("text").rlike(r"\p{L}")
+    return found.filter(told).select(*COLUMNS)
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that an earlier line repeats; a document of which nothing is left goes."""
+    made = lines.dedup(docs.select(*COLUMNS))
+    left = made.filter((F.col("n_dropped") == 0) | (F.trim("text") != ""))
+    size = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    return left.withColumn("n_chars", size.cast(docs.schema["n_chars"].dataType)).select(*COLUMNS)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of texts that share 0.8 of their 5-word shingles."""
+    return jaccard.keep_one(docs.select(*COLUMNS), 5, 80)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item, nor one with its values exchanged."""
+    found = decontaminate.leaks(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminate.clean(docs.select(*COLUMNS), stored(found, "pipeline-leaks"))
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,10 +55,14 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
+    ("language", keep_languages),
+    ("line_dedup", drop_lines),
+    ("near_duplicates", drop_near_copies),
+    ("decontamination", drop_benchmark),
     ("sentencepiece", encode_pieces),
 ]
 
-#: SQL can't express the language model, nor the tokenizer.
+#: SQL can't express the language network, nor the tokenizer.
 ORACLE_SQL = None
 
 

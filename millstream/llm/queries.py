@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millstream.llm import decontaminate, language, lines, pieces, quality, secrets, sharding, topk, toxicity
+from millstream.llm import decontaminate, jaccard, language, lines, pieces, quality, secrets, sharding, topk, toxicity
 from millstream.session import stored
 from millstream.sources.readers import table
 
@@ -156,6 +156,29 @@ def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", fold(3, 1).alias("held_out"), "lang_pred", "score")
 
 
+@query(
+    "op8_jaccard",
+    r"""
+    WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                             '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+    g AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                 ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g FROM w),
+    n AS (SELECT doc_id, len(g) AS n FROM g),
+    e AS (SELECT doc_id, n, unnest(g) AS g FROM g JOIN n USING (doc_id)),
+    f AS (SELECT g FROM e GROUP BY g HAVING count(*) > 1),
+    s AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o, any_value(a.n) AS na, any_value(b.n) AS nb
+          FROM e a SEMI JOIN f ON a.g = f.g JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n) GROUP BY 1, 2),
+    l AS (SELECT a, b FROM s WHERE 100 * o >= 90 * (na + nb - o) UNION SELECT b, a FROM s WHERE 100 * o >= 90 * (na + nb - o)),
+    c AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT c.a, l.b FROM c JOIN l ON c.b = l.a)
+    SELECT doc_id, n AS n_shingles, min(c.b) AS component_id FROM n JOIN c ON n.doc_id = c.a GROUP BY doc_id, n
+    """,
+)
+def op8_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Component of every document by links of 3-word shingles at a similarity of 0.9."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return jaccard.similar(docs, 3, 90).select("doc_id", "n_shingles", "component_id")
+
+
 def _sql_template(table: str, key: str) -> str:
     """(key, w, c, v): tokens, template and values in DuckDB."""
     units = ", ".join(f"'{u}'" for u in decontaminate.UNITS)
