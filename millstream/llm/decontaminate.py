@@ -12,7 +12,7 @@ texts are never shuffled, and only rows near the benchmark are.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millstream.llm.sieve import sieve
@@ -63,7 +63,7 @@ def items(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> Dat
     """(item, n, total, at, h, c, v): eligible windows of the items, each with its item's number of them.
 
     Items with fewer than LEAST_TOKENS tokens, null texts and windows with too few plain words have none. Rows that
-    repeat an item's id are told apart by text, and equal rows are one.
+    repeat an item's id are told apart by text, and equal rows are one; an item without id is one too.
     """
     rows = benchmark.select(F.col(key).alias("item"), tokens(F.col(text)).alias("w")).distinct().withColumn("c", template("w"))
     rows = rows.withColumn("v", F.transform("w", lambda x: F.rtrim(F.lower(x), F.lit(".!?")))).filter(F.size("c") >= LEAST_TOKENS)
@@ -72,8 +72,7 @@ def items(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> Dat
     each = each.select("item", "text", "n", "at", F.slice("c", F.col("at"), F.col("n")).alias("c"), F.slice("v", F.col("at"), F.col("n")).alias("v"))
     plain_words = F.size(F.filter("c", lambda x: ~F.startswith(x, F.lit("#"))))
     each = each.filter(plain_words >= F.greatest(F.col("n") - (WINDOW - WORDS), F.lit(1))).withColumn("h", F.xxhash64("c"))
-    total = each.groupBy("item", "text").agg(F.count("*").alias("total"))
-    return each.join(total, ["item", "text"])
+    return each.withColumn("total", F.count("*").over(Window.partitionBy("item", "text")))  # the windows of one item
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", share: float = SHARE) -> DataFrame:
