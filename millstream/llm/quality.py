@@ -94,6 +94,8 @@ class Discriminant:
     @classmethod
     def of_moments(cls, moments: dict[int, tuple[float, np.ndarray, np.ndarray]], shrink: float, ridge: float) -> Discriminant:
         """moments: by class its number of rows, the sum of x and the sum of x x'."""
+        if not moments:
+            return cls([None, None], [None, None], [0.0, 0.0])
         total = sum(n for n, _, _ in moments.values())
         scatter = {k: m2 - np.outer(m1, m1) / n for k, (n, m1, m2) in moments.items()}
         pooled = sum(scatter.values()) / max(total - len(moments), 1)

@@ -29,6 +29,8 @@ NOISE = re.compile(r"[\W\d_]+")
 WINDOW, LEVEL, PREFIX = 32, 15, 5
 ORDINARY_BYTES, TOXIC_BYTES = 16384, 4096
 STEPS = (1, 2, 3, 4, 5, 6)
+#: Likelihood ratio that some 20,000 beginnings don't reach by chance: twice the logarithm of their number.
+CHANCE = 20.0
 #: Bounds of the training sample: texts of either class, windows of an ordinary text, bytes of a toxic text's words,
 #: beginnings of toxic words.
 SAMPLE = {1: 4000, 0: 8000}
@@ -122,7 +124,11 @@ class ToxicityModel:
 
 
 def _beginnings(sample: DataFrame) -> list[str]:
-    """First letters of words that mark toxic texts: with more than 4 times the share of toxic texts and a likelihood ratio of 40."""
+    """First letters of words that mark toxic texts: with more than 4 times the share of toxic texts, beyond chance.
+
+    Those with less than a tenth of the tenth highest likelihood ratio are left out, as chance finds more of them the
+    more words there are.
+    """
 
     def run(batches):
         for batch in batches:
@@ -146,8 +152,10 @@ def _beginnings(sample: DataFrame) -> list[str]:
     ratio = 2 * (term(F.col("toxic"), e1) + term(F.col("ordinary"), e0))
     share = (F.col("toxic") + 0.5) / (F.col("n1") + 1) / ((F.col("ordinary") + 0.5) / (F.col("n0") + 1))
     marked = counts.filter("b IS NOT NULL AND length(b) > 3 AND toxic > 2").crossJoin(F.broadcast(total))  # one row
-    marked = marked.filter((share > 4) & (ratio >= 40)).orderBy(ratio.desc(), "b").limit(BEGINNINGS)
-    return [r.b for r in marked.select("b").collect()]
+    marked = marked.withColumn("g", ratio).filter((share > 4) & (F.col("g") >= CHANCE))
+    found = marked.orderBy(F.desc("g"), "b").limit(BEGINNINGS).select("b", "g").collect()
+    least = 0.1 * found[9].g if len(found) > 9 else 0.0
+    return [r.b for r in found if r.g >= least]
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text") -> DataFrame:
