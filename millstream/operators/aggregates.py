@@ -151,12 +151,12 @@ def time_unit(start_key: str, end_key: str) -> str:
 
 def multi_level_time_agg(
     df: DataFrame, locations: DataFrame, start_key: str, end_key: str, metrics: Sequence[str], sensor: str = "sensor_id",
-    factory=None, building=None, floor=None, location_id=None, area=None, start_hour=None, end_hour=None,
+    factory=None, building=None, floor=None, location_id=None, area=None, start_hour=None, end_hour=None, suffix: int = 4,
 ) -> DataFrame:
     """Roll hourly sensor rows (ymd, hour, sensor, <m>_max/min/avg) up to the requested place and time unit.
 
     Maxima of maxima, minima of minima, and the unweighted mean of the averages. `locations` has a row per
-    sensor suffix (`loc_id` = last four characters of the sensor).
+    sensor suffix (`loc_id` = last `suffix` characters of the sensor).
     """
     level = aggregation_level(factory, building, floor, location_id)
     unit = time_unit(start_key, end_key)
@@ -168,7 +168,7 @@ def multi_level_time_agg(
     for name, value in wanted.items():
         if value is not None:
             locations = locations.filter(F.col(name) == F.lit(value))
-    rows = rows.withColumn("loc_id", F.expr(f"right({sensor}, 4)")).join(locations, "loc_id", "inner")
+    rows = rows.withColumn("loc_id", F.expr(f"right({sensor}, {int(suffix)})")).join(locations, "loc_id", "inner")
     when = {
         "hourly": [F.col("ymd"), F.lpad(F.col("hour").cast("string"), 2, "0").alias("hour")],
         "daily": [F.col("ymd"), F.lit("00").alias("hour")],

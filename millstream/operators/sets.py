@@ -61,15 +61,21 @@ def order_limit_offset(df: DataFrame, order: Sequence[Column], limit: int, offse
     return df.orderBy(*order).offset(offset).limit(limit)
 
 
-def natural_key(c: str, digits: int = 12) -> Column:
-    """Sort key in which numbers inside text compare as numbers: each run of digits is zero-padded."""
+def natural_key(c: str) -> Column:
+    """Sort key in which numbers inside text compare as numbers of any length: each run of digits, without leading
+    zeros, follows its length."""
     tokens = F.regexp_extract_all(F.lower(c), F.lit(r"(\d+|\D+)"), F.lit(1))
-    padded = F.transform(tokens, lambda t: F.when(t.rlike(r"^\d+$"), F.lpad(t, digits, "0")).otherwise(t))
-    return F.array_join(padded, "")
 
+    def keyed(t: Column) -> Column:
+        number = F.ltrim(t, F.lit("0"))
+        return F.when(t.rlike(r"^\d+$"), F.concat(F.lpad(F.length(number).cast("string"), 10, "0"), number)).otherwise(t)
 
-def natural_sort(df: DataFrame, c: str) -> DataFrame:
-    return df.orderBy(natural_key(c), c)
+    return F.array_join(F.transform(tokens, keyed), "")
+
+
+def natural_sort(df: DataFrame, c: str, *ties: str) -> DataFrame:
+    """Rows in natural order of `c`, then of its text, then of `ties`."""
+    return df.orderBy(natural_key(c), c, *ties)
 
 
 def pending_queue(

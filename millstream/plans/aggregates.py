@@ -104,14 +104,17 @@ def tumbling_10min_avg(spark, sf):
     return a.tumbling_avg(Tables(spark, sf).events, "event_type", "ts", ["value"], "10 minutes", "Asia/Jakarta", "Asia/Seoul")
 
 
+SUFFIX = 12  # digits of a sensor number in these queries, enough for any id
+
+
 def hourly_by_location(spark, sf):
     """Hourly rows of numbered sensors, and one location per sensor suffix."""
     t = Tables(spark, sf)
-    sensor = F.concat(F.lit("SENSOR-"), F.lpad(F.col("user_id").cast("string"), 4, "0"))
+    sensor = F.concat(F.lit("SENSOR-"), F.lpad(F.col("user_id").cast("string"), SUFFIX, "0"))
     hourly = a.hourly_sensor_stats(t.events.withColumn("sensor_id", sensor), "sensor_id", "ts", ["value"])
-    key = F.lpad(F.col("c_custkey").cast("string"), 4, "0")
+    key = F.lpad(F.col("c_custkey").cast("string"), SUFFIX, "0")
     nations = t.nation.withColumnRenamed("n_nationkey", "c_nationkey").join(t.region.withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey")
-    locations = t.customer.filter(F.length(F.col("c_custkey").cast("string")) <= 4).join(nations, "c_nationkey").select(
+    locations = t.customer.join(nations, "c_nationkey").select(
         key.alias("loc_id"), F.col("r_name").alias("factory"), F.col("n_name").alias("building"),
         (F.col("c_custkey") % 3).cast("int").alias("floor"), F.col("c_mktsegment").alias("area"),
     )
@@ -119,7 +122,7 @@ def hourly_by_location(spark, sf):
 
 
 HOURLY_SQL = """h AS (SELECT strftime(ts, '%Y%m%d') AS ymd, CAST(hour(ts) AS INTEGER) AS hour, user_id, round(max(value), 2) AS mx, round(min(value), 2) AS mn, CAST(floor(sum(CAST(round(value * 100) AS BIGINT)) / count(value) + 0.5) / 100 AS DOUBLE) AS av FROM events GROUP BY 1, 2, 3),
- l AS (SELECT c_custkey, r_name AS factory, n_name AS building, CAST(c_custkey % 3 AS INTEGER) AS floor FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE c_custkey < 10000)"""
+ l AS (SELECT c_custkey, r_name AS factory, n_name AS building, CAST(c_custkey % 3 AS INTEGER) AS floor FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 
 
 @query(
@@ -129,7 +132,7 @@ HOURLY_SQL = """h AS (SELECT strftime(ts, '%Y%m%d') AS ymd, CAST(hour(ts) AS INT
 )
 def multi_level_time_agg(spark, sf):
     hourly, locations = hourly_by_location(spark, sf)
-    return a.multi_level_time_agg(hourly, locations, "202401", "202402", ["value"], factory="ASIA", building="NATION_12")
+    return a.multi_level_time_agg(hourly, locations, "202401", "202402", ["value"], factory="ASIA", building="NATION_12", suffix=SUFFIX)
 
 
 @query(
@@ -141,7 +144,7 @@ def multi_level_hourly_floor(spark, sf):
     hourly, locations = hourly_by_location(spark, sf)
     return a.multi_level_time_agg(
         hourly, locations, "20240105", "20240125", ["value"], factory="AFRICA", building="NATION_5", floor=1,
-        start_hour=6, end_hour=18,
+        start_hour=6, end_hour=18, suffix=SUFFIX,
     )
 
 
@@ -194,7 +197,7 @@ def shift_slice_mart(spark, sf):
 @query(
     "downtime_mart",
     """WITH v AS (SELECT s_nationkey AS line_cd, strftime(l_shipdate, '%Y%m') AS month, sum(l_quantity * 10) AS down_time_value FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_returnflag = 'R' GROUP BY 1, 2),
-       t AS (SELECT s_nationkey AS line_cd, strftime(l_shipdate, '%Y%m') AS month, count(*) * 30.0 AS down_time_target FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_linenumber = 1 GROUP BY 1, 2)
+       t AS (SELECT s_nationkey AS line_cd, strftime(l_shipdate, '%Y%m') AS month, count(*) * 30.0 AS down_time_target FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2)
        SELECT COALESCE(v.line_cd, t.line_cd) AS line_cd, COALESCE(v.month, t.month) AS month, CAST(COALESCE(down_time_value, 0) AS DOUBLE) AS down_time_value, CAST(COALESCE(down_time_target, 0) AS DOUBLE) AS down_time_target
        FROM v FULL JOIN t ON v.line_cd = t.line_cd AND v.month = t.month""",
 )
@@ -202,7 +205,7 @@ def downtime_mart(spark, sf):
     t = Tables(spark, sf)
     lines = t.lineitem.join(t.supplier.selectExpr("s_suppkey as l_suppkey", "s_nationkey as line_cd"), "l_suppkey")
     lines = lines.withColumn("month", F.date_format("l_shipdate", "yyyyMM"))
-    targets = lines.filter("l_linenumber = 1").groupBy("line_cd", "month").agg((F.count(F.lit(1)) * 30.0).alias("down_time_target"))
+    targets = lines.groupBy("line_cd", "month").agg((F.count(F.lit(1)) * 30.0).alias("down_time_target"))
     return marts.downtime_mart(lines, targets, ["line_cd", "month"], F.col("l_returnflag") == "R", F.col("l_quantity") * 10)
 
 
@@ -346,17 +349,17 @@ def daily_plan_status(spark, sf):
     return marts.daily_plan_status(plan, scan, ["op", "ws"], ["op"], "seq", planned, "ps", F.col("y") == 2000, "qty")
 
 
-USAGE_SQL = """SELECT s_nationkey AS zone, l_partkey % 300 AS part_cd, CAST(o_orderdate AS DATE) AS wo_date, l_quantity - 5 AS qty, l_orderkey, l_linenumber
-   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey WHERE l_linenumber <= 2"""
+USAGE_SQL = """SELECT s_nationkey AS zone, l_partkey % 150 + 1 AS part_cd, CAST(o_orderdate AS DATE) AS wo_date, l_quantity - 5 AS qty, l_orderkey, l_linenumber
+   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey"""
 
 
 def usage(spark, sf):
     t = Tables(spark, sf)
     zones = t.supplier.selectExpr("s_suppkey as l_suppkey", "s_nationkey as zone")
     days = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("date").alias("wo_date"))
-    lines = t.lineitem.filter("l_linenumber <= 2").join(zones, "l_suppkey").join(days, "l_orderkey")
+    lines = t.lineitem.join(zones, "l_suppkey").join(days, "l_orderkey")
     return lines.select(
-        "zone", (F.col("l_partkey") % 300).alias("part_cd"), "wo_date", (F.col("l_quantity") - 5).alias("qty"),
+        "zone", (F.col("l_partkey") % 150 + 1).alias("part_cd"), "wo_date", (F.col("l_quantity") - 5).alias("qty"),
         "l_orderkey", "l_linenumber", "l_suppkey",
     )
 

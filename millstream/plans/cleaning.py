@@ -336,7 +336,7 @@ def threshold_status(spark, sf):
     )
     thresholds = quantiles.select("event_type", F.explode(levels).alias("t")).select("event_type", "t.*")
     rows = alerts.threshold_status(
-        events.select("event_id", "event_type", "value"), thresholds, "event_type", "value", "threshold_id", ["event_id"]
+        events.select("event_id", "event_type", "value"), thresholds, "event_type", "value", "threshold_id"
     )
     return rows.select("event_id", "threshold_id", "status", "is_alert")
 

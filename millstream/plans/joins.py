@@ -275,7 +275,7 @@ def cycle_window_join(spark, sf):
 @query(
     "wo_period_join",
     """WITH w AS (SELECT s_nationkey AS zone, o_orderkey % 7 AS part_cd, CAST(o_orderdate AS DATE) AS cur FROM orders
-                  JOIN lineitem ON l_orderkey = o_orderkey AND l_linenumber = 1 JOIN supplier ON l_suppkey = s_suppkey),
+                  JOIN lineitem ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey),
        o AS (SELECT zone, part_cd, cur, lag(cur) OVER (PARTITION BY zone, part_cd ORDER BY cur) AS prev FROM w),
        q AS (SELECT s_nationkey AS zone, CAST(l_shipdate AS DATE) AS ymd, sum(l_quantity) AS qty FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2)
        SELECT zone, part_cd, strftime(cur, '%Y%m%d') AS cur, strftime(prev, '%Y%m%d') AS prev,
@@ -288,9 +288,9 @@ def wo_period_join(spark, sf):
     zones = t.supplier.selectExpr("s_suppkey as l_suppkey", "s_nationkey as zone")
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_shipdate").join(zones, "l_suppkey")
     days = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("date").alias("cur"))
-    orders = lines.filter("l_linenumber = 1").join(days, "l_orderkey")
-    orders = orders.select("zone", (F.col("l_orderkey") % 7).alias("part_cd"), "cur", "l_orderkey")
-    gaps = temporal.lag_gap_days(orders, ["zone", "part_cd"], "cur", ["l_orderkey"])
+    orders = lines.join(days, "l_orderkey")
+    orders = orders.select("zone", (F.col("l_orderkey") % 7).alias("part_cd"), "cur", "l_orderkey", "l_linenumber")
+    gaps = temporal.lag_gap_days(orders, ["zone", "part_cd"], "cur", ["l_orderkey", "l_linenumber"])
     gaps = gaps.select("zone", "part_cd", "cur", F.col("previous_day").alias("prev"))
     made = lines.select("zone", F.col("l_shipdate").cast("date").alias("ymd"), F.col("l_quantity").alias("qty"))
     joined = joins.wo_period_join(gaps, made, "zone", "prev", "cur", "ymd", "qty")
@@ -354,7 +354,7 @@ def join_to_max_per_group(spark, sf):
 
 CHECK_SQL = """SELECT o_orderkey AS id, o_custkey % 10 AS a1, o_orderstatus AS a2, CASE WHEN o_orderpriority LIKE '1%' THEN NULL ELSE 'x' END AS a3,
    l_suppkey % 10 AS b1, CASE l_linestatus WHEN 'O' THEN 'O' ELSE 'F' END AS b2, CASE WHEN l_returnflag = 'N' THEN 'y' ELSE 'x' END AS b3
-   FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_linenumber = 1"""
+   FROM orders JOIN lineitem ON o_orderkey = l_orderkey"""
 
 
 def checked(spark, sf):
@@ -363,7 +363,7 @@ def checked(spark, sf):
         F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 10).alias("machine"), F.col("o_orderstatus").alias("station"),
         F.when(~F.col("o_orderpriority").startswith("1"), "x").alias("side"),
     )
-    b = t.lineitem.filter("l_linenumber = 1").select(
+    b = t.lineitem.select(
         F.col("l_orderkey").alias("id"), (F.col("l_suppkey") % 10).alias("mc"),
         F.when(F.col("l_linestatus") == "O", "O").otherwise("F").alias("st"),
         F.when(F.col("l_returnflag") == "N", "y").otherwise("x").alias("lr"),

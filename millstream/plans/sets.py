@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millstream.operators import sets
 from millstream.plans.registry import Tables, query
+from millstream.session import stored
 
 
 @query("union_distinct", "SELECT o_custkey AS k FROM orders WHERE o_orderstatus = 'F' UNION SELECT c_custkey FROM customer WHERE c_acctbal < 0")
@@ -74,9 +75,10 @@ def natural_sort(spark, sf):
     from millstream.operators import chunked
 
     sensors = Tables(spark, sf).customer.select("c_custkey", F.concat_ws("_", "c_mktsegment", F.col("c_custkey") % 200).alias("sensor"))
-    # The position makes the order visible in an unordered comparison; rows are numbered per leading text, then offset.
-    keyed = sensors.withColumns({"nk": sets.natural_key("sensor"), chunked.CHUNK: F.split_part(F.lower("sensor"), F.lit("_"), F.lit(1))})
-    return chunked.numbered(keyed, [], ["nk", "c_custkey"], "pos").select("c_custkey", "sensor", "pos")
+    # The position makes the order visible in an unordered comparison: rows are numbered in each range of the sort, and
+    # ranges are offset by the rows before them. The sorted rows are kept, so that ranges are the same in both passes.
+    ranges = stored(sets.natural_sort(sensors, "sensor", "c_custkey").withColumn(chunked.CHUNK, F.spark_partition_id()), "natural-sort")
+    return chunked.numbered(ranges.withColumn("nk", sets.natural_key("sensor")), [], ["nk", "sensor", "c_custkey"], "pos").select("c_custkey", "sensor", "pos")
 
 
 @query("pending_queue", "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderstatus = 'P' ORDER BY o_orderdate, o_orderkey LIMIT 100")

@@ -96,7 +96,7 @@ def stream_latest_state(spark, sf):
     ).select("event_type", "t.*")
 
     def judge(batch):
-        rows = threshold_status(batch, limits, "event_type", "value", "threshold_id", ["user_id"])
+        rows = threshold_status(batch, limits, "event_type", "value", "threshold_id")
         return rows.select("user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type", "value", "status")
 
     latest = st.stream_latest_state(events(spark, sf), "user_id", "ts", ["event_type", "value"], ["event_id"])

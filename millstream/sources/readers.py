@@ -29,14 +29,24 @@ def jdbc_range_extract(
 ) -> DataFrame:
     """The same from a database: consecutive `bounds` become one predicate, hence one partition and one connection
     each; the last bound is included."""
-    text = [b.strftime("%Y-%m-%d %H:%M:%S") for b in bounds]
-    predicates = [
-        f"{delta_col} >= TIMESTAMP '{a}' AND {delta_col} {'<=' if i == len(text) - 2 else '<'} TIMESTAMP '{b}'"
-        for i, (a, b) in enumerate(zip(text, text[1:]))
-    ]
+    predicates = range_predicates(delta_col, bounds, url)
     return spark.read.jdbc(url, source, predicates=predicates, properties=properties).select(*cols)
 
 
+def time_literal(at: dt.datetime, url: str) -> str:
+    """A time with its microseconds in the dialect of a JDBC address: quoted text where there are no typed literals."""
+    text = at.strftime("%Y-%m-%d %H:%M:%S") + (f".{at.microsecond:06d}" if at.microsecond else "")
+    return f"'{text}'" if url.startswith(("jdbc:sqlserver:", "jdbc:jtds:")) else f"TIMESTAMP '{text}'"
+
+
+def range_predicates(delta_col: str, bounds: Sequence[dt.datetime], url: str) -> list[str]:
+    """One predicate for each pair of neighbouring bounds."""
+    text = [time_literal(b, url) for b in bounds]
+    return [
+        f"{delta_col} >= {a} AND {delta_col} {'<=' if i == len(text) - 2 else '<'} {b}" for i, (a, b) in enumerate(zip(text, text[1:]))
+    ]
+
+
 def or_range_extract(df: DataFrame, ts_cols: Sequence[str], start, end) -> DataFrame:
     """Rows with any of the times in [start, end]: event time or a late edit."""
     hit: Column = F.lit(False)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millstream.operators import joins
-from millstream.session import settle
+from millstream.session import stored
 
 DYNAMIC = "dynamic"
 
@@ -50,20 +50,12 @@ def bulk_append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     by_partition(sanitized(df), partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def _merge(spark, path, new, keys, partition_by, combine: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
-    if not exists(spark, path):
-        replace_table(new, path, partition_by)
-        return
-    old = spark.read.schema(new.schema).parquet(path)
-    if partition_by:
-        touched = new.select(*partition_by).distinct()
-        old = old.join(touched, list(partition_by), "left_semi")
-    # The result replaces files it was read from, so it is made durable before the overwrite.
-    merged = settle(combine(old.select(*new.columns), new))
-    if partition_by:
-        replace_slice(merged, path, partition_by)
-    else:
-        replace_table(merged, path)
+def _stored_table(spark: SparkSession, path: str, new: DataFrame) -> DataFrame:
+    """The stored table with all its columns; those that `new` has too are read with its types, as the types of
+    partition columns can't be seen in the files."""
+    given = {f.name: f for f in new.schema.fields}
+    found = spark.read.parquet(path).schema.fields
+    return spark.read.schema(T.StructType([given.get(f.name, f) for f in found])).parquet(path)
 
 
 def upsert(
@@ -72,13 +64,27 @@ def upsert(
 ) -> None:
     """New rows replace stored rows of the same keys; within `new` the first by `order` counts.
 
-    Keys must contain the partition columns, so that a key never moves between partitions.
+    Only the columns of `new` are replaced: stored columns that it lacks keep their values, and are null in added rows;
+    columns that the table lacks are added. Keys must contain the partition columns, so that a key never moves between
+    partitions. The merged rows are made durable in the shared folder before anything is overwritten; after a crash
+    they are found there.
     """
     new = joins.distinct_on(new, keys, order)
-    _merge(
-        spark, path, new, keys, partition_by,
-        lambda old, fresh: fresh.unionByName(old.join(fresh.select(*keys), list(keys), "left_anti")),
-    )
+    if not exists(spark, path):
+        replace_table(new, path, partition_by)
+        return
+    old = _stored_table(spark, path, new)
+    if partition_by:
+        touched = new.select(*partition_by).distinct()
+        old = old.join(touched, list(partition_by), "left_semi")
+    more = [c for c in old.columns if c not in new.columns]
+    fresh = new.join(old.select(*keys, *more), list(keys), "left") if more else new
+    kept = old.join(new.select(*keys), list(keys), "left_anti")
+    merged = stored(fresh.unionByName(kept, allowMissingColumns=True), "merged")
+    if partition_by:
+        replace_slice(merged, path, partition_by)
+    else:
+        replace_table(merged, path)
 
 
 def upsert_do_nothing(
@@ -90,8 +96,8 @@ def upsert_do_nothing(
     if not exists(spark, path):
         replace_table(new, path, partition_by)
         return
-    old = spark.read.schema(new.schema).parquet(path).select(*keys)
-    settle(new.join(old, list(keys), "left_anti")).write.mode("append").partitionBy(*partition_by).parquet(path)
+    old = _stored_table(spark, path, new).select(*keys)
+    stored(new.join(old, list(keys), "left_anti"), "added").write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def csv_sink_partitioned(df: DataFrame, path: str, by: Sequence[str], delimiter: str = ",") -> None:
@@ -106,7 +112,7 @@ def csv_sink_partitioned(df: DataFrame, path: str, by: Sequence[str], delimiter:
 
 def multi_sink(df: DataFrame, writers: dict[str, Callable[[DataFrame], None]]) -> dict[str, str]:
     """Write one result to several targets and report each outcome; the result is computed once."""
-    ready = settle(df)
+    ready = stored(df, "sinks")
     status = {}
     for name, write in writers.items():
         try:

@@ -111,21 +111,25 @@ def test_wildcards_equal_nested_loop(spark):
     assert len(rows) == len(set(rows)) and set(rows) == want
 
 
-def test_threshold_paths_agree(spark, monkeypatch):
+def test_threshold_status(spark):
     limits = spark.createDataFrame(
         [(1, "t", "medium", 10.0, None), (2, "t", "red", None, 5.0), (3, "t", "orange", 30.0, 40.0), (4, "t", "red", 30.0, 35.0)],
         "threshold_id int, kind string, level string, min_value double, max_value double",
     )
     rows = spark.createDataFrame([(i, "t", float(i)) for i in range(0, 60, 3)] + [(99, "t", None), (98, "u", 1.0)], "id int, kind string, v double")
-    args = (rows, limits, "kind", "v", "threshold_id", ["id"])
-    small = {r["id"]: (r["threshold_id"], r["status"]) for r in alerts.threshold_status(*args).collect()}
-    monkeypatch.setattr(alerts, "MAX_LEVELS", 1)
-    large = {r["id"]: (r["threshold_id"], r["status"]) for r in alerts.threshold_status(*args).collect()}
-    assert small == large
+    small = {r["id"]: (r["threshold_id"], r["status"]) for r in alerts.threshold_status(rows, limits, "kind", "v", "threshold_id").collect()}
     assert small[3] == (2, "critical") and small[33] == (3, "critical") and small[12] == (1, "warning")
     assert small[6] == (None, "normal") and small[99] == (None, "normal") and small[98] == (None, "normal")
 
 
+def test_threshold_status_of_readings_with_one_id(spark):
+    """Each reading is judged by its own value, also where ids repeat and thresholds are many."""
+    limits = spark.range(12_000).selectExpr("cast(id as int) threshold_id", "'t' kind", "if(id = 7, 'red', 'low') level", "if(id = 7, 50.0D, 1000.0D + id) min_value", "cast(null as double) max_value")
+    rows = spark.createDataFrame([(1, "t", 10.0), (1, "t", 60.0)], "id int, kind string, v double")
+    got = alerts.threshold_status(rows, limits, "kind", "v", "threshold_id")
+    assert {(r["v"], r["status"]) for r in got.collect()} == {(10.0, "normal"), (60.0, "critical")}
+
+
 def test_best_subscription_prefers_level(spark):
     rows = [(1, 10, "u", "n", None, 0), (1, 11, "u", "n", "yellow", 2), (1, 12, "u", "n", "red", 4), (1, 13, "u", "n", "red", 4), (1, 14, "w", "n", "", 0), (1, 15, "w", "n", None, 0)]
     df = spark.createDataFrame(rows, "alert_id int, subscription_id int, subscriber string, notify_id string, min_level string, min_priority int")
@@ -195,6 +199,32 @@ def test_json_rules(spark):
     assert sorted(r["id"] for r in observability.do_jsonschema(df, "j", schema).collect()) == [2, 3, 4, 5, 6]
 
 
+def test_upsert_keeps_columns_that_are_not_given(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = spark.createDataFrame([(1, "a", 10, "x"), (2, "b", 20, "x")], "id int, name string, qty int, part string")
+    for by in ((), ("part",)):
+        writers.replace_table(first, path + str(len(by)), by)
+        later = spark.createDataFrame([(2, 21, "x", 1.5), (3, 30, "x", 2.5)], "id int, qty int, part string, extra double")
+        writers.upsert(spark, path + str(len(by)), later, ["id", "part"], [F.col("qty")], by)
+        got = {r["id"]: (r["name"], r["qty"], r["extra"]) for r in spark.read.parquet(path + str(len(by))).collect()}
+        assert got == {1: ("a", 10, None), 2: ("b", 21, 1.5), 3: (None, 30, 2.5)}
+
+
+def test_numbers_of_any_length_in_order(spark):
+    names = ["s_9", "s_1234567890123999", "s_1234567890124000", "s_0010", "s_9999999999999", "s_10a2", "s_10a10", "s"]
+    df = spark.createDataFrame([(n,) for n in names], "c string")
+    order = [r["c"] for r in sets.natural_sort(df, "c").collect()]
+    assert order == ["s", "s_9", "s_0010", "s_10a2", "s_10a10", "s_9999999999999", "s_1234567890123999", "s_1234567890124000"]
+
+
+def test_predicates_keep_microseconds():
+    import datetime as dt
+
+    bounds = [dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2, 3, 4, 5, 678)]
+    assert readers.range_predicates("t", bounds, "jdbc:postgresql://h/d") == ["t >= TIMESTAMP '2024-01-01 00:00:00' AND t <= TIMESTAMP '2024-01-02 03:04:05.000678'"]
+    assert readers.range_predicates("t", bounds, "jdbc:sqlserver://h")[0].startswith("t >= '2024-01-01 00:00:00' AND")
+
+
 def test_natural_sort(spark):
     df = spark.createDataFrame([("st_10",), ("st_2",), ("st_1",)], "c string")
     assert [r["c"] for r in sets.natural_sort(df, "c").collect()] == ["st_1", "st_2", "st_10"]
