@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from itertools import product
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -205,7 +204,7 @@ def self_join_hierarchy(
 
 def wildcard_match_join(
     alerts: DataFrame, subs: DataFrame, alert_id: str, sub_id: str, exact: str, fields: Sequence[str],
-    equal: Sequence[str] = (), alert_cols: Sequence[str] = (), sub_cols: Sequence[str] = (), salts: int = 16,
+    equal: Sequence[str] = (), alert_cols: Sequence[str] = (), sub_cols: Sequence[str] = (),
 ) -> DataFrame:
     """(alert, subscription) pairs, with `alert_cols` and `sub_cols` of the two sides. A null subscription field matches everything.
 
@@ -213,14 +212,12 @@ def wildcard_match_join(
     sensor in the alert it never matches; an alert without sensor falls through to the fields. `equal` columns
     must be equal.
 
-    Each subscription has a mask of the fields it names. An alert is looked up once per mask, by equality on the
-    masked values, so this is a hash join and not a nested loop over all pairs. All alerts share the mask
-    without fields, and one sensor may send most of them, so alerts are spread over `salts` copies of the
-    subscriptions.
+    Each subscription has a mask of the fields it names. An alert is looked up once per mask that occurs among them, by
+    equality on the masked values, so this is an equi join and not a nested loop over all pairs. All alerts share the
+    mask without fields, and one sensor may send most of them; a plain join of two shuffled sides lets Spark split the
+    alerts of such a key over tasks.
     """
-    equal = [*equal, "__salt"]
-    a = alerts.withColumn("__salt", F.pmod(F.xxhash64(alert_id), F.lit(salts)).cast("int"))
-    s = subs.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    equal, a, s = list(equal), alerts, subs
 
     def masked(df: DataFrame, mask: Column | None) -> list[Column]:
         out = []
@@ -230,8 +227,8 @@ def wildcard_match_join(
         return out
 
     own_mask = F.concat(*[F.when(F.col(f).isNotNull(), "1").otherwise("0") for f in fields])
-    masks = F.array(*[F.lit("".join(bits)) for bits in product("01", repeat=len(fields))])
-    left = a.withColumn("__mask", F.explode(masks)).select(
+    masks = s.agg(F.collect_set(own_mask).alias("__masks"))  # one row of 2 ** fields masks at most
+    left = a.withColumn("__mask", F.explode(masks.scalar())).select(
         alert_id, *alert_cols, F.col(exact).alias("__a_exact"), *equal, "__mask", *masked(a, F.col("__mask"))
     )
     # A named field can only match an alert that has it.

@@ -139,13 +139,13 @@ def lookup_or_self(spark, sf):
 
 @query(
     "season_name",
-    """WITH d AS (SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS k, n_name FROM nation WHERE n_nationkey < 15),
+    """WITH d AS (SELECT lpad(CAST(n_nationkey + CASE WHEN n_nationkey < 15 THEN 0 ELSE 50 END AS VARCHAR), 2, '0') AS k, n_name FROM nation),
        x AS (SELECT o_orderkey, lpad(CAST(o_custkey % 25 AS VARCHAR), 2, '0') || strftime(o_orderdate, '%y') AS code FROM orders)
        SELECT o_orderkey, COALESCE(n_name || substr(code, 3, 2), code) AS season FROM x LEFT JOIN d ON substr(code, 1, 2) = k""",
 )
 def season_name(spark, sf):
     t = Tables(spark, sf)
-    dim = t.nation.filter("n_nationkey < 15").select(F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("k"), "n_name")
+    dim = t.nation.select(F.lpad(F.expr("n_nationkey + if(n_nationkey < 15, 0, 50)").cast("string"), 2, "0").alias("k"), "n_name")
     code = F.concat(F.lpad((F.col("o_custkey") % 25).cast("string"), 2, "0"), F.date_format("o_orderdate", "yy"))
     rows = t.orders.select("o_orderkey", code.alias("code"))
     return joins.season_name(rows, dim, "code", "k", "n_name").drop("code")
@@ -343,7 +343,7 @@ def threshold_status(spark, sf):
 
 @query(
     "diff_level",
-    """WITH ctrl AS (SELECT s_suppkey, s_nationkey + 5.0 AS a, s_nationkey + 10.0 AS b, s_nationkey + 30.0 AS ct FROM supplier WHERE s_acctbal > 5000),
+    """WITH ctrl AS (SELECT CASE WHEN s_acctbal > 5000 THEN s_suppkey ELSE -s_suppkey END AS s_suppkey, s_nationkey + 5.0 AS a, s_nationkey + 10.0 AS b, s_nationkey + 30.0 AS ct FROM supplier),
        x AS (SELECT l_orderkey, l_linenumber, l_quantity AS diff, COALESCE(a, 10.0) AS a, COALESCE(b, 20.0) AS b, COALESCE(ct, 40.0) AS ct
              FROM lineitem LEFT JOIN ctrl ON l_suppkey = s_suppkey)
        SELECT l_orderkey, l_linenumber, CASE WHEN diff < a THEN 'A' WHEN diff < b THEN 'B' WHEN diff < ct THEN 'C' ELSE 'D' END AS diff_level,
@@ -353,8 +353,8 @@ def threshold_status(spark, sf):
 def diff_level(spark, sf):
     t = Tables(spark, sf)
     nation = F.col("s_nationkey").cast("double")
-    ctrl = t.supplier.filter("s_acctbal > 5000").select(
-        F.col("s_suppkey").alias("l_suppkey"), (nation + 5).alias("level_a_to"), (nation + 10).alias("level_b_to"),
+    ctrl = t.supplier.select(
+        F.expr("if(s_acctbal > 5000, s_suppkey, -s_suppkey)").alias("l_suppkey"), (nation + 5).alias("level_a_to"), (nation + 10).alias("level_b_to"),
         (nation + 30).alias("level_c_to"),
     )
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", F.col("l_quantity").alias("diff"))
@@ -366,11 +366,11 @@ def diff_level(spark, sf):
     "warning_temp_check",
     """SELECT l_orderkey, l_linenumber, CASE WHEN lim IS NULL OR l_quantity >= lim THEN 'AboveWarning' ELSE 'NoIssue' END AS event_type,
               CASE WHEN l_quantity >= lim THEN 'Warning' ELSE 'Info' END AS event_level, lim AS set_value
-       FROM lineitem LEFT JOIN (SELECT s_suppkey, CAST(s_nationkey + 20 AS DOUBLE) AS lim FROM supplier WHERE s_acctbal > 2000) ON l_suppkey = s_suppkey""",
+       FROM lineitem LEFT JOIN (SELECT CASE WHEN s_acctbal > 2000 THEN s_suppkey ELSE -s_suppkey END AS s_suppkey, CAST(s_nationkey + 20 AS DOUBLE) AS lim FROM supplier) ON l_suppkey = s_suppkey""",
 )
 def warning_temp_check(spark, sf):
     t = Tables(spark, sf)
-    limits = t.supplier.filter("s_acctbal > 2000").selectExpr("s_suppkey as l_suppkey", "double(s_nationkey + 20) as t_warning")
+    limits = t.supplier.selectExpr("if(s_acctbal > 2000, s_suppkey, -s_suppkey) as l_suppkey", "double(s_nationkey + 20) as t_warning")
     rows = t.lineitem.join(limits, "l_suppkey", "left").withColumns(c.warning_temp_check("l_quantity", "t_warning"))
     return rows.select("l_orderkey", "l_linenumber", "event_type", "event_level", "set_value")
 

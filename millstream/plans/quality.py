@@ -46,20 +46,20 @@ def dq_accepted_range(spark, sf):
 
 @query(
     "dq_equal_rowcount",
-    """SELECT k, CAST(sum(a) AS BIGINT) AS count_a, CAST(sum(b) AS BIGINT) AS count_b FROM (SELECT l_suppkey AS k, 1 AS a, 0 AS b FROM lineitem WHERE l_returnflag = 'A' UNION ALL SELECT l_suppkey, 0, 1 FROM lineitem WHERE l_returnflag = 'R') GROUP BY k HAVING sum(a) <> sum(b)""",
+    """SELECT k, CAST(sum(a) AS BIGINT) AS count_a, CAST(sum(b) AS BIGINT) AS count_b FROM (SELECT l_suppkey AS k, 1 AS a, 0 AS b FROM lineitem WHERE l_returnflag <> 'R' UNION ALL SELECT l_suppkey, 0, 1 FROM lineitem WHERE l_returnflag = 'R') GROUP BY k HAVING sum(a) <> sum(b)""",
 )
 def dq_equal_rowcount(spark, sf):
     lines = Tables(spark, sf).lineitem.select(F.col("l_suppkey").alias("k"), "l_returnflag")
-    return dq.dq_equal_rowcount(lines.filter("l_returnflag = 'A'"), lines.filter("l_returnflag = 'R'"), ["k"])
+    return dq.dq_equal_rowcount(lines.filter("l_returnflag <> 'R'"), lines.filter("l_returnflag = 'R'"), ["k"])
 
 
 @query(
     "dq_fewer_rows_than",
-    """SELECT k, CAST(sum(a) AS BIGINT) AS count_a, CAST(sum(b) AS BIGINT) AS count_b FROM (SELECT l_suppkey AS k, 1 AS a, 0 AS b FROM lineitem WHERE l_returnflag = 'A' UNION ALL SELECT l_suppkey, 0, 1 FROM lineitem WHERE l_returnflag = 'R') GROUP BY k HAVING sum(a) >= sum(b)""",
+    """SELECT k, CAST(sum(a) AS BIGINT) AS count_a, CAST(sum(b) AS BIGINT) AS count_b FROM (SELECT l_suppkey AS k, 1 AS a, 0 AS b FROM lineitem WHERE l_returnflag <> 'R' UNION ALL SELECT l_suppkey, 0, 1 FROM lineitem WHERE l_returnflag = 'R') GROUP BY k HAVING sum(a) >= sum(b)""",
 )
 def dq_fewer_rows_than(spark, sf):
     lines = Tables(spark, sf).lineitem.select(F.col("l_suppkey").alias("k"), "l_returnflag")
-    return dq.dq_fewer_rows_than(lines.filter("l_returnflag = 'A'"), lines.filter("l_returnflag = 'R'"), ["k"])
+    return dq.dq_fewer_rows_than(lines.filter("l_returnflag <> 'R'"), lines.filter("l_returnflag = 'R'"), ["k"])
 
 
 @query(
@@ -169,10 +169,10 @@ def dq_unique_combination(spark, sf):
     return dq.dq_unique_combination(Tables(spark, sf).lineitem, ["l_orderkey", "l_linenumber"])
 
 
-@query("dq_group_by", "SELECT c_nationkey, c_mktsegment, min(c_custkey) AS low, max(c_custkey) AS high FROM customer WHERE c_acctbal > 9000 GROUP BY 1, 2 HAVING count(DISTINCT c_custkey) = 1")
+@query("dq_group_by", "SELECT c_nationkey, c_mktsegment, CAST(floor(c_acctbal / 500) AS BIGINT) AS band, min(c_custkey) AS low, max(c_custkey) AS high FROM customer GROUP BY 1, 2, 3 HAVING count(DISTINCT c_custkey) = 1")
 def dq_group_by(spark, sf):
-    rich = Tables(spark, sf).customer.filter("c_acctbal > 9000")
-    return dq.dq_not_constant(rich, "c_custkey", ["c_nationkey", "c_mktsegment"])
+    customers = Tables(spark, sf).customer.withColumn("band", F.floor(F.col("c_acctbal") / 500))
+    return dq.dq_not_constant(customers, "c_custkey", ["c_nationkey", "c_mktsegment", "band"])
 
 
 @query(

@@ -9,23 +9,21 @@ from millstream.plans.registry import Tables, query
 from millstream.session import stored
 
 
-@query("union_distinct", "SELECT o_custkey AS k FROM orders WHERE o_orderstatus = 'F' UNION SELECT c_custkey FROM customer WHERE c_acctbal < 0")
+@query("union_distinct", "SELECT o_custkey AS k FROM orders UNION SELECT c_custkey FROM customer")
 def union_distinct(spark, sf):
     t = Tables(spark, sf)
-    planned = t.orders.filter("o_orderstatus = 'F'").selectExpr("o_custkey as k")
-    return sets.union_distinct(planned, t.customer.filter("c_acctbal < 0").selectExpr("c_custkey as k"))
+    return sets.union_distinct(t.orders.selectExpr("o_custkey as k"), t.customer.selectExpr("c_custkey as k"))
 
 
 @query(
     "union_all_relabel",
-    """SELECT o_orderkey AS id, o_orderdate AS at, o_orderpriority AS reason_cd, o_totalprice AS qty FROM orders WHERE o_orderstatus = 'F'
-       UNION ALL SELECT l_orderkey, l_shipdate, 'good', CAST(NULL AS DOUBLE) FROM lineitem WHERE l_returnflag = 'N'""",
+    """SELECT o_orderkey AS id, o_orderdate AS at, o_orderpriority AS reason_cd, o_totalprice AS qty FROM orders
+       UNION ALL SELECT l_orderkey, l_shipdate, 'good', CAST(NULL AS DOUBLE) FROM lineitem""",
 )
 def union_all_relabel(spark, sf):
     t = Tables(spark, sf)
-    bad = t.orders.filter("o_orderstatus = 'F'").selectExpr("o_orderkey as id", "o_orderdate as at", "o_orderpriority as reason_cd", "o_totalprice as qty")
-    good = t.lineitem.filter("l_returnflag = 'N'")
-    return sets.union_all_relabel(bad, good, {"id": "l_orderkey", "at": "l_shipdate"}, {"reason_cd": "good"})
+    bad = t.orders.selectExpr("o_orderkey as id", "o_orderdate as at", "o_orderpriority as reason_cd", "o_totalprice as qty")
+    return sets.union_all_relabel(bad, t.lineitem, {"id": "l_orderkey", "at": "l_shipdate"}, {"reason_cd": "good"})
 
 
 @query("concat_drop_duplicates", "SELECT o_custkey AS k FROM orders UNION SELECT user_id FROM events UNION SELECT s_suppkey FROM supplier")
@@ -51,13 +49,13 @@ def union_relations(spark, sf):
 
 @query(
     "except_equality",
-    """WITH a AS (SELECT l_suppkey, l_quantity FROM lineitem WHERE l_returnflag = 'A'), b AS (SELECT l_suppkey, l_quantity FROM lineitem WHERE l_returnflag = 'R'),
+    """WITH a AS (SELECT l_suppkey, l_quantity FROM lineitem WHERE l_returnflag <> 'R'), b AS (SELECT l_suppkey, l_quantity FROM lineitem WHERE l_returnflag = 'R'),
        d AS (SELECT 'a_minus_b' AS which_diff, * FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL SELECT 'b_minus_a', * FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a))
        SELECT which_diff, l_suppkey, l_quantity, count(*) AS times FROM d GROUP BY ALL""",
 )
 def except_equality(spark, sf):
     lines = Tables(spark, sf).lineitem.select("l_suppkey", "l_quantity", "l_returnflag")
-    a, b = (lines.filter(F.col("l_returnflag") == f).drop("l_returnflag") for f in ("A", "R"))
+    a, b = (lines.filter(f).drop("l_returnflag") for f in ("l_returnflag <> 'R'", "l_returnflag = 'R'"))
     return sets.except_equality(a, b)
 
 

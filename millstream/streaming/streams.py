@@ -136,7 +136,7 @@ def stream_alerts(stream: DataFrame, subs: DataFrame, label: str) -> DataFrame:
     """Notifications of an alert stream: each batch is matched with the subscriptions and cut to one per recipient."""
 
     def notify(batch: DataFrame) -> DataFrame:
-        best = al.alert_best_per_recipient(al.alert_candidates(batch, subs))
+        best = al.alert_best_per_recipient(al.alert_candidates(batch, subs, best_only=["subscriber", "notify_id"]))
         return best.select("alert_id", "subscriber", "notify_id", "subscription_id")
 
     return run_updates(stream, ["alert_id", "subscriber", "notify_id"], label, notify)
