@@ -26,6 +26,13 @@ def width_seconds(width: str) -> float:
     return total
 
 
+def width_months(width: str) -> int | None:
+    """'3 months' -> 3, '1 year' -> 12; None for widths of fixed length."""
+    number, unit = (width.split() + [""])[:2]
+    per = {"month": 1, "year": 12}.get(unit.rstrip("s"))
+    return int(number) * per if per else None
+
+
 def width_us(width: str) -> int:
     return round(width_seconds(width) * 1_000_000)
 
@@ -59,13 +66,24 @@ def seconds_between(earlier: str | Column, later: str | Column) -> Column:
 
 
 def bucket_no(ts: str | Column, width: str) -> Column:
-    """Number of the fixed-width time bucket that holds `ts`."""
+    """Number of the time bucket that holds `ts`; buckets of months follow the calendar."""
+    if months := width_months(width):
+        return F.floor((F.year(col(ts)) * 12 + F.month(col(ts)) - 1) / F.lit(months)).cast("long")
     seconds = width_seconds(width)
     if seconds == int(seconds):
         return F.floor(wall_seconds(ts) / F.lit(int(seconds))).cast("long")
     return F.floor(wall_us(ts) / F.lit(width_us(width))).cast("long")
 
 
+def bucket_begin(number: Column, width: str) -> Column:
+    """Start of the bucket with this number."""
+    if months := width_months(width):
+        first = number * F.lit(months)
+        year, month = F.floor(first / 12).cast("int"), (F.pmod(first, F.lit(12)) + 1).cast("int")
+        return F.make_timestamp_ntz(year, month, F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    return us_to_ntz(number * F.lit(width_us(width)))
+
+
 def bucket_start(ts: str | Column, width: str) -> Column:
-    """Start of the fixed-width time bucket that holds `ts`."""
-    return us_to_ntz(bucket_no(ts, width) * F.lit(width_us(width)))
+    """Start of the time bucket that holds `ts`."""
+    return bucket_begin(bucket_no(ts, width), width)

@@ -12,8 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millstream.functions.timekeys import as_ntz
-from millstream.functions.wallclock import bucket_no, us_to_ntz, wall_us, width_us
+from millstream.functions.timekeys import as_ntz, interval
+from millstream.functions.wallclock import bucket_begin, bucket_no, us_to_ntz, wall_us, width_us
 from millstream.operators import chunked
 from millstream.operators.chunked import join_null_safe, names
 
@@ -21,30 +21,41 @@ DEFAULT_DAYS_BACK = 14
 DEFAULT_SENSITIVITY = 3.0
 
 
-def bucket_spine(df: DataFrame, ts: str, bucket: str, dims: Sequence[str] = ()) -> DataFrame:
-    """Every bucket between the first and last reading, for every dimension value seen."""
-    span = df.agg(F.min(bucket_no(ts, bucket)).alias("__lo"), F.max(bucket_no(ts, bucket)).alias("__hi"))
-    spine = span.filter("__lo is not null").select(F.explode(F.sequence("__lo", "__hi")).alias("__bucket"))
+def last_bucket(bucket: str, as_of, detection_delay: str | None = None) -> Column:
+    """Number of the last bucket that is complete at `as_of`, less the time that rows may come late."""
+    at = as_ntz(as_of)
+    return bucket_no(at - interval(detection_delay) if detection_delay else at, bucket) - 1
+
+
+def bucket_spine(
+    df: DataFrame, ts: str, bucket: str, dims: Sequence[str] = (), as_of=None, detection_delay: str | None = None
+) -> DataFrame:
+    """Every bucket from the first reading on, for every dimension value seen: to the last one that is complete at
+    `as_of`, so that a feed that stopped shows as empty buckets. Without `as_of`, to the last reading."""
+    last = F.max(bucket_no(ts, bucket)) if as_of is None else F.max(last_bucket(bucket, as_of, detection_delay))
+    span = df.agg(F.min(bucket_no(ts, bucket)).alias("__lo"), last.alias("__hi"))
+    every = F.when(F.col("__lo") <= F.col("__hi"), F.sequence("__lo", "__hi"))
+    spine = span.filter("__lo is not null").select(F.explode(every).alias("__bucket"))
     if not dims:
         return spine
     values = df.select(*dims).distinct()
-    span_array = span.select(F.sequence("__lo", "__hi").alias("__all"))
-    return values.crossJoin(F.broadcast(span_array)).select(*dims, F.explode("__all").alias("__bucket"))  # one row
+    return values.withColumn("__bucket", F.explode(span.select(every).scalar()))
 
 
 def bucket_metrics(
-    df: DataFrame, ts: str, bucket: str, metrics: dict[str, Column], dims: Sequence[str] = (), fill: dict | None = None
+    df: DataFrame, ts: str, bucket: str, metrics: dict[str, Column], dims: Sequence[str] = (), fill: dict | None = None,
+    as_of=None, detection_delay: str | None = None,
 ) -> DataFrame:
     """Long metric rows (bucket, dims, metric, value) with a row for every bucket of the spine."""
     dims = list(dims)
     grouped = df.groupBy(bucket_no(ts, bucket).alias("__bucket"), *dims).agg(
         *[c.cast("double").alias(m) for m, c in metrics.items()]
     )
-    grouped = join_null_safe(bucket_spine(df, ts, bucket, dims), grouped, ["__bucket", *dims], "left")
+    spine = bucket_spine(df, ts, bucket, dims, as_of, detection_delay)
+    grouped = join_null_safe(spine, grouped, ["__bucket", *dims], "left")
     fill = fill or {}
     values = [F.coalesce(F.col(m), F.lit(float(fill[m]))).alias(m) if m in fill else F.col(m) for m in metrics]
-    start = us_to_ntz(F.col("__bucket") * F.lit(width_us(bucket)))
-    wide = grouped.select(start.alias("bucket"), *dims, *values)
+    wide = grouped.select(bucket_begin(F.col("__bucket"), bucket).alias("bucket"), *dims, *values)
     return wide.unpivot(["bucket", *dims], list(metrics), "metric", "value")
 
 
@@ -90,44 +101,63 @@ def score(
 
 
 def do_volume_anomalies(
-    df: DataFrame, ts: str, bucket: str = "1 day", where: Column | None = None, **scoring
+    df: DataFrame, ts: str, bucket: str = "1 day", where: Column | None = None, as_of=None,
+    detection_delay: str | None = None, **scoring,
 ) -> DataFrame:
+    """Rows per bucket, up to `as_of` (see `bucket_spine`)."""
     df = df if where is None else df.filter(where)
-    points = bucket_metrics(df, ts, bucket, {"row_count": F.count(F.lit(1))}, fill={"row_count": 0})
+    count = {"row_count": F.count(F.lit(1))}
+    points = bucket_metrics(df, ts, bucket, count, fill={"row_count": 0}, as_of=as_of, detection_delay=detection_delay)
     return score(points, **scoring)
 
 
-def freshness_points(df: DataFrame, ts: str, bucket: str, as_of=None, width: str = "1 hour") -> DataFrame:
+def do_volume_of_runs(df: DataFrame, history: DataFrame, run_at, **scoring) -> DataFrame:
+    """Row count of a table without a time column, judged by the counts of earlier runs (bucket, metric, value)."""
+    now = df.agg(F.count(F.lit(1)).cast("double").alias("value"))
+    now = now.select(as_ntz(run_at).alias("bucket"), F.lit("row_count").alias("metric"), "value")
+    return score(history.select("bucket", "metric", "value").unionByName(now), **scoring)
+
+
+def freshness_points(
+    df: DataFrame, ts: str, bucket: str, as_of=None, width: str = "1 hour", detection_delay: str | None = None
+) -> DataFrame:
     """Longest time without an update per bucket, in seconds: gaps are counted in the bucket where they end, and an
-    open gap runs to the end of its bucket (or to `as_of`)."""
+    open gap runs to the end of its bucket. With `as_of` the buckets go on to the last complete one, so that the gap
+    of a feed that stopped grows."""
     times = df.filter(F.col(ts).isNotNull()).groupBy(F.col(ts).alias("__at")).agg(F.count(F.lit(1)).alias("__n"))
     times = chunked.with_time_chunk(times, "__at", width)
     times = chunked.previous(times, [], ["__at"], ["__at"], "__prev")
     gap = (wall_us("__at") - wall_us("__prev.__at")) / F.lit(1e6)
-    spine = bucket_spine(df, ts, bucket)
+    spine = bucket_spine(df, ts, bucket, as_of=as_of, detection_delay=detection_delay)
     per = times.groupBy(bucket_no("__at", bucket).alias("__bucket")).agg(
         F.max(gap).alias("__gap"), F.max(wall_us("__at")).alias("__last")
     )
     joined = join_null_safe(spine, per, ["__bucket"], "left")
     w = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, 0)  # one row per bucket
-    end = (F.col("__bucket") + 1) * F.lit(width_us(bucket))
-    if as_of is not None:
-        end = F.least(end, wall_us(as_ntz(as_of)))
+    end = wall_us(bucket_begin(F.col("__bucket") + 1, bucket))
     open_gap = (end - F.last("__last", ignorenulls=True).over(w)) / F.lit(1e6)
     value = F.greatest(F.col("__gap"), open_gap)
-    start = us_to_ntz(F.col("__bucket") * F.lit(width_us(bucket)))
-    return joined.select(start.alias("bucket"), F.lit("freshness").alias("metric"), value.cast("double").alias("value"))
+    return joined.select(bucket_begin(F.col("__bucket"), bucket).alias("bucket"), F.lit("freshness").alias("metric"), value.cast("double").alias("value"))
 
 
-def do_freshness_anomalies(df: DataFrame, ts: str, bucket: str = "1 day", as_of=None, **scoring) -> DataFrame:
+def do_freshness_anomalies(
+    df: DataFrame, ts: str, bucket: str = "1 day", as_of=None, where: Column | None = None,
+    detection_delay: str | None = None, **scoring,
+) -> DataFrame:
     """Only growing gaps are anomalies."""
-    return score(freshness_points(df, ts, bucket, as_of), **{"direction": "spike", **scoring})
+    df = df if where is None else df.filter(where)
+    points = freshness_points(df, ts, bucket, as_of, detection_delay=detection_delay)
+    return score(points, **{"direction": "spike", **scoring})
 
 
-def do_event_freshness(df: DataFrame, event_ts: str, load_ts: str, bucket: str = "1 day", **scoring) -> DataFrame:
+def do_event_freshness(
+    df: DataFrame, event_ts: str, load_ts: str, bucket: str = "1 day", where: Column | None = None, as_of=None,
+    detection_delay: str | None = None, **scoring,
+) -> DataFrame:
     """Largest lag between event and load per bucket of the load time."""
+    df = df if where is None else df.filter(where)
     lag = (wall_us(load_ts) - wall_us(event_ts)) / F.lit(1e6)
-    points = bucket_metrics(df, load_ts, bucket, {"event_freshness": F.max(lag)}, fill={"event_freshness": 0})
+    points = bucket_metrics(df, load_ts, bucket, {"event_freshness": F.max(lag)}, (), {"event_freshness": 0}, as_of, detection_delay)
     return score(points, **{"direction": "spike", **scoring})
 
 
@@ -167,35 +197,40 @@ def column_monitors(c: str, numeric: bool) -> dict[str, Column]:
 
 def do_column_anomalies(
     df: DataFrame, ts: str, c: str, bucket: str = "1 day", monitors: Sequence[str] | None = None,
-    dims: Sequence[str] = (), **scoring,
+    dims: Sequence[str] = (), where: Column | None = None, as_of=None, detection_delay: str | None = None, **scoring,
 ) -> DataFrame:
     """One wide aggregation for all monitors of a column, then one scorer over the unpivoted metrics."""
+    df = df if where is None else df.filter(where)
     numeric = df.schema[c].dataType.typeName() not in ("string", "boolean", "timestamp", "timestamp_ntz", "date")
     metrics = column_monitors(c, numeric)
     if monitors is not None:
         metrics = {m: metrics[f"{c}__{m}"] for m in monitors}
-    return score(bucket_metrics(df, ts, bucket, metrics, dims), dims, **scoring)
+    points = bucket_metrics(df, ts, bucket, metrics, dims, as_of=as_of, detection_delay=detection_delay)
+    return score(points, dims, **scoring)
 
 
 def do_all_columns(
     df: DataFrame, ts: str, columns: Sequence[str], bucket: str = "1 day", monitors: Sequence[str] = ("null_count",),
-    **scoring,
+    where: Column | None = None, as_of=None, detection_delay: str | None = None, **scoring,
 ) -> DataFrame:
     """The same monitors for many columns in one scan."""
+    df = df if where is None else df.filter(where)
     metrics: dict[str, Column] = {}
     for c in columns:
         numeric = df.schema[c].dataType.typeName() not in ("string", "boolean", "timestamp", "timestamp_ntz", "date")
         found = column_monitors(c, numeric)
         metrics |= {f"{c}__{m}": found[f"{c}__{m}"] for m in monitors if f"{c}__{m}" in found}
-    return score(bucket_metrics(df, ts, bucket, metrics), **scoring)
+    return score(bucket_metrics(df, ts, bucket, metrics, as_of=as_of, detection_delay=detection_delay), **scoring)
 
 
 def do_dimension_anomalies(
-    df: DataFrame, ts: str, dims: Sequence[str], bucket: str = "1 day", where: Column | None = None, **scoring
+    df: DataFrame, ts: str, dims: Sequence[str], bucket: str = "1 day", where: Column | None = None, as_of=None,
+    detection_delay: str | None = None, **scoring,
 ) -> DataFrame:
     """Row count per dimension value and bucket."""
     df = df if where is None else df.filter(where)
-    points = bucket_metrics(df, ts, bucket, {"dimension": F.count(F.lit(1))}, dims, {"dimension": 0})
+    count = {"dimension": F.count(F.lit(1))}
+    points = bucket_metrics(df, ts, bucket, count, dims, {"dimension": 0}, as_of, detection_delay)
     return score(points, dims, **scoring)
 
 

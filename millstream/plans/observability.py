@@ -137,6 +137,57 @@ def do_dimension_anomalies(spark, sf):
     return shown(found, ["event_type"])
 
 
+UNTIL = "SELECT unnest(generate_series((SELECT date_trunc('{u}', min(ts)) FROM events{w}), TIMESTAMP '{last}', INTERVAL 1 {u})) AS bucket"
+STOPPED = UNTIL.format(u="DAY", last="2024-02-09", w="")
+
+
+@query("do_volume_stopped", scored_sql(VOLUME.replace(DAYS.format(t="events"), STOPPED), k=2.0, odd="value < lo"))
+def do_volume_stopped(spark, sf):
+    """The feed ends with January and is judged on 10 February."""
+    found = ob.do_volume_anomalies(Tables(spark, sf).events, "ts", "1 day", as_of="2024-02-10 06:00:00", sensitivity=2.0, direction="drop")
+    return shown(found)
+
+
+@query("do_freshness_stopped", scored_sql(FRESH.replace(DAYS.format(t="events"), STOPPED), k=2.0, odd="value > hi", digits=3))
+def do_freshness_stopped(spark, sf):
+    found = ob.do_freshness_anomalies(Tables(spark, sf).events, "ts", "1 day", "2024-02-10 20:00:00", detection_delay="12 hours", sensitivity=2.0)
+    return shown(found, digits=3)
+
+
+@query("do_dimension_stopped", scored_sql(DIMENSION.replace(DAYS.format(t="events"), STOPPED), part="event_type", extra="event_type,", k=1.5, odd="value < lo"))
+def do_dimension_stopped(spark, sf):
+    found = ob.do_dimension_anomalies(Tables(spark, sf).events, "ts", ["event_type"], "1 day", as_of="2024-02-10", sensitivity=1.5, direction="drop")
+    return shown(found, ["event_type"])
+
+
+@query(
+    "do_column_where",
+    scored_sql(f"""SELECT b.bucket, 'null_count' AS metric, CAST(count(*) FILTER (ts IS NOT NULL AND value IS NULL) AS DOUBLE) AS value FROM (SELECT unnest(generate_series((SELECT date_trunc('day', min(ts)) FROM events WHERE event_type <> 'view'), (SELECT date_trunc('day', max(ts)) FROM events WHERE event_type <> 'view'), INTERVAL 1 DAY)) AS bucket) b
+        JOIN (SELECT * FROM {SPARSE} WHERE event_type <> 'view') e ON date_trunc('day', ts) = b.bucket GROUP BY 1"""),
+)
+def do_column_where(spark, sf):
+    return shown(ob.do_column_anomalies(sparse(spark, sf), "ts", "value", "1 day", ["null_count"], where=F.col("event_type") != "view"))
+
+
+MONTHS = """SELECT b.bucket, 'row_count' AS metric, CAST(count(o_orderkey) AS DOUBLE) AS value FROM (SELECT unnest(generate_series((SELECT date_trunc('month', min(o_orderdate)) FROM orders)::TIMESTAMP,
+  (SELECT date_trunc('month', max(o_orderdate)) FROM orders)::TIMESTAMP, INTERVAL 1 MONTH)) AS bucket) b LEFT JOIN orders ON date_trunc('month', o_orderdate) = b.bucket GROUP BY 1"""
+
+
+@query("do_volume_monthly", scored_sql(MONTHS, k=1.0))
+def do_volume_monthly(spark, sf):
+    orders = Tables(spark, sf).orders.withColumn("at", F.col("o_orderdate").cast("timestamp_ntz"))
+    return shown(ob.do_volume_anomalies(orders, "at", "1 month", sensitivity=1.0))
+
+
+@query(
+    "do_volume_of_runs",
+    scored_sql(f"""SELECT * FROM ({VOLUME}) UNION ALL SELECT TIMESTAMP '2024-03-01', 'row_count', CAST(count(*) AS DOUBLE) FROM customer""", k=2.0),
+)
+def do_volume_of_runs(spark, sf):
+    """A table without time column, after runs that counted as many rows as there were events a day."""
+    return shown(ob.do_volume_of_runs(Tables(spark, sf).customer, volume_points(spark, sf), "2024-03-01", sensitivity=2.0))
+
+
 def volume_points(spark, sf):
     return ob.bucket_metrics(Tables(spark, sf).events, "ts", "1 day", {"row_count": F.count(F.lit(1))}, fill={"row_count": 0})
 
