@@ -223,8 +223,14 @@ def do_metric_backfill(spark, sf):
 
 @query(
     "do_schema_changes",
-    """SELECT * FROM (VALUES ('k', 'BIGINT', 'STRING', 'type_changed'), ('old', 'STRING', NULL, 'column_removed'), ('zone', NULL, 'BIGINT', 'column_added')) t(column_name, pre_data_type, data_type, change)
-       WHERE EXISTS (SELECT 1 FROM events WHERE ts < TIMESTAMP '2024-01-15') AND EXISTS (SELECT 1 FROM events WHERE ts >= TIMESTAMP '2024-01-15')""",
+    """WITH body AS (SELECT ts < TIMESTAMP '2024-01-15' AS early, CASE WHEN ts < TIMESTAMP '2024-01-15' THEN json_object('k', event_id, 'old', event_type) ELSE json_object('k', CAST(event_id AS VARCHAR), 'zone', user_id) END AS j FROM events),
+       f AS (SELECT early, unnest(json_keys(j)) AS c, j FROM body),
+       t AS (SELECT early, c AS column_name, CASE WHEN json_type(j, '$.' || c) IN ('UBIGINT', 'BIGINT') THEN 'BIGINT' ELSE 'STRING' END AS kind, count(*) AS n FROM f GROUP BY ALL),
+       m AS (SELECT early, column_name, arg_max(kind, (n, kind)) AS kind FROM t GROUP BY 1, 2)
+       SELECT COALESCE(a.column_name, b.column_name) AS column_name, a.kind AS pre_data_type, b.kind AS data_type,
+              CASE WHEN a.kind IS NULL THEN 'column_added' WHEN b.kind IS NULL THEN 'column_removed' ELSE 'type_changed' END AS change
+       FROM (SELECT * FROM m WHERE early) a FULL JOIN (SELECT * FROM m WHERE NOT early) b ON a.column_name = b.column_name
+       WHERE a.kind IS DISTINCT FROM b.kind""",
 )
 def do_schema_changes(spark, sf):
     events = Tables(spark, sf).events

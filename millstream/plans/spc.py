@@ -9,7 +9,10 @@ from millstream.operators import spc
 from millstream.plans.registry import Tables, query
 
 N = 5
-K5, K2 = spc_coefficients(N), spc_coefficients(2)
+# Published factors of subgroups of 5 (d2 2.326, d3 0.8641, c4 0.939986) and of moving ranges (d2 1.128, d3 0.8525), as SQL.
+A2, R_UPPER, R_LOWER = "(3 / (2.326 * sqrt(5)))", "(1 + 3 * 0.8641 / 2.326)", "greatest(0, 1 - 3 * 0.8641 / 2.326)"
+A3, S_UPPER, S_LOWER = "(3 / (0.939986 * sqrt(5)))", "(1 + 3 / 0.939986 * sqrt(1 - 0.939986 ** 2))", "greatest(0, 1 - 3 / 0.939986 * sqrt(1 - 0.939986 ** 2))"
+MR_UPPER, MR_LOWER = "(1 + 3 * 0.8525 / 1.128)", "greatest(0, 1 - 3 * 0.8525 / 1.128)"
 
 
 def rounded(df, digits=6, cols=("value", "ucl", "cl", "lcl")):
@@ -46,19 +49,19 @@ def spc_u_chart(spark, sf):
     return rounded(spc.spc_u_chart(events(spark, sf), "user_id", "ts", F.col("event_id") % 4, N, ["event_id"]))
 
 
-def variable_sql(spread: str, chart: str, upper: str, lower: str, width: float) -> str:
+def variable_sql(spread: str, chart: str, upper: str, lower: str, width: str) -> str:
     return f"""WITH g AS (SELECT user_id, idx, avg(value) AS m, {spread} AS s, sum(value) AS sm, count(*) AS n FROM ({GROUPS}) GROUP BY 1, 2),
         t AS (SELECT user_id, sum(sm) / sum(n) AS mm, avg(s) FILTER (n = {N}) AS sb FROM g GROUP BY 1), x AS (SELECT * FROM g JOIN t USING (user_id) WHERE g.n = {N})
         SELECT user_id, 'xbar' AS chart, idx, round(m, 8) AS value, round(mm + {width} * sb, 8) AS ucl, round(mm, 8) AS cl, round(mm - {width} * sb, 8) AS lcl FROM x
         UNION ALL SELECT user_id, '{chart}', idx, round(s, 8), round({upper} * sb, 8), round(sb, 8), round({lower} * sb, 8) FROM x"""
 
 
-@query("spc_xbar_r", variable_sql("max(value) - min(value)", "r", str(K5.d4_limit), str(K5.d3_limit), K5.a2))
+@query("spc_xbar_r", variable_sql("max(value) - min(value)", "r", R_UPPER, R_LOWER, A2))
 def spc_xbar_r(spark, sf):
     return rounded(spc.spc_xbar_r(events(spark, sf), "user_id", "ts", "value", N, ["event_id"]), 8)
 
 
-@query("spc_xbar_s", variable_sql("stddev_pop(value)", "s", str(K5.b4), str(K5.b3), K5.a3))
+@query("spc_xbar_s", variable_sql("stddev_pop(value)", "s", S_UPPER, S_LOWER, A3))
 def spc_xbar_s(spark, sf):
     return rounded(spc.spc_xbar_s(events(spark, sf), "user_id", "ts", "value", N, ["event_id"]), 8)
 
@@ -69,8 +72,8 @@ IMR = f"""x AS (SELECT user_id, rn, value, abs(value - lag(value) OVER (PARTITIO
 
 @query(
     "spc_imr",
-    f"""WITH {IMR} SELECT user_id, 'i' AS chart, rn AS idx, round(value, 8) AS value, round(m + 3 * b / {K2.d2}, 8) AS ucl, round(m, 8) AS cl, round(m - 3 * b / {K2.d2}, 8) AS lcl FROM x JOIN t USING (user_id)
-        UNION ALL SELECT user_id, 'mr', rn - 1, round(mr, 8), round(b * {K2.d4_limit}, 8), round(b, 8), round(b * {K2.d3_limit}, 8) FROM x JOIN t USING (user_id) WHERE rn > 1""",
+    f"""WITH {IMR} SELECT user_id, 'i' AS chart, rn AS idx, round(value, 8) AS value, round(m + 3 * b / 1.128, 8) AS ucl, round(m, 8) AS cl, round(m - 3 * b / 1.128, 8) AS lcl FROM x JOIN t USING (user_id)
+        UNION ALL SELECT user_id, 'mr', rn - 1, round(mr, 8), round(b * {MR_UPPER}, 8), round(b, 8), round(b * {MR_LOWER}, 8) FROM x JOIN t USING (user_id) WHERE rn > 1""",
 )
 def spc_imr(spark, sf):
     return rounded(spc.spc_imr(events(spark, sf), "user_id", "ts", "value", ["event_id"]), 8)
@@ -78,12 +81,17 @@ def spc_imr(spark, sf):
 
 @query(
     "spc_coefficients",
-    "SELECT p_partkey, n, round(a2, 6) AS a2, round(a3, 6) AS a3, round(b3, 6) AS b3, round(b4, 6) AS b4, round(d3, 6) AS d3, round(d4, 6) AS d4 FROM (SELECT p_partkey, p_size % 30 + 2 AS n FROM part) JOIN (VALUES "
-    + ", ".join(
-        f"({k.n}, {k.a2!r}::DOUBLE, {k.a3!r}::DOUBLE, {k.b3!r}::DOUBLE, {k.b4!r}::DOUBLE, {k.d3_limit!r}::DOUBLE, {k.d4_limit!r}::DOUBLE)"
-        for k in map(spc_coefficients, range(2, 32))
-    )
-    + ") c(n, a2, a3, b3, b4, d3, d4) USING (n)",
+    """WITH t(n, d2, d3, c4) AS (VALUES
+         (2, 1.128, 0.8525, 0.797885), (3, 1.693, 0.8884, 0.886227), (4, 2.059, 0.8794, 0.921318), (5, 2.326, 0.8641, 0.939986), (6, 2.534, 0.848, 0.951533),
+         (7, 2.704, 0.8332, 0.959369), (8, 2.847, 0.8198, 0.96503), (9, 2.97, 0.8078, 0.969311), (10, 3.078, 0.7971, 0.972659), (11, 3.173, 0.7873, 0.97535),
+         (12, 3.258, 0.7785, 0.977559), (13, 3.336, 0.7704, 0.979406), (14, 3.407, 0.763, 0.980971), (15, 3.472, 0.7562, 0.982316), (16, 3.532, 0.7499, 0.983484),
+         (17, 3.588, 0.7441, 0.984506), (18, 3.64, 0.7386, 0.98541), (19, 3.689, 0.7335, 0.986214), (20, 3.735, 0.7287, 0.986934), (21, 3.778, 0.7242, 0.987583),
+         (22, 3.819, 0.7199, 0.98817), (23, 3.858, 0.7159, 0.988705), (24, 3.895, 0.7121, 0.989193), (25, 3.931, 0.7084, 0.98964)),
+       p AS (SELECT p_partkey, p_size % 30 + 2 AS n FROM part),
+       c AS (SELECT p_partkey, p.n, CAST(d2 AS DOUBLE) AS d2, CAST(d3 AS DOUBLE) AS d3, COALESCE(CAST(c4 AS DOUBLE), 4.0 * (p.n - 1) / (4.0 * p.n - 3)) AS c4 FROM p LEFT JOIN t ON t.n = p.n)
+       SELECT p_partkey, n, round(COALESCE(3 / (d2 * sqrt(n)), 0), 6) AS a2, round(3 / (c4 * sqrt(n)), 6) AS a3, round(greatest(0, 1 - 3 / c4 * sqrt(1 - c4 * c4)), 6) AS b3,
+              round(1 + 3 / c4 * sqrt(1 - c4 * c4), 6) AS b4, round(COALESCE(CASE WHEN d2 IS NOT NULL THEN greatest(0, 1 - 3 * d3 / d2) END, 0), 6) AS d3,
+              round(COALESCE(1 + 3 * d3 / d2, 0), 6) AS d4 FROM c""",
 )
 def coefficients(spark, sf):
     rows = [spc_coefficients(n) for n in range(2, 32)]
@@ -98,7 +106,7 @@ def coefficients(spark, sf):
 
 # Chart with narrow limits around the centre, so that every rule is hit somewhere.
 POINTS = f"""SELECT user_id, rn AS idx, value, m + w AS ucl, m AS cl, m - w AS lcl FROM ({SERIES}) JOIN (
-   SELECT user_id, avg(value) AS m, 3 * avg(mr) / {K2.d2} AS w FROM (SELECT user_id, value, abs(value - lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id)) AS mr FROM events) GROUP BY user_id) USING (user_id)"""
+   SELECT user_id, avg(value) AS m, 3 * avg(mr) / 1.128 AS w FROM (SELECT user_id, value, abs(value - lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id)) AS mr FROM events) GROUP BY user_id) USING (user_id)"""
 FLAGS = f"""SELECT *, CASE WHEN value > ucl OR value < lcl THEN true ELSE false END AS rule_1,
    COALESCE(sum(CAST(value > cl AND value < ucl AS INTEGER)) OVER r9 = 9, false) OR COALESCE(sum(CAST(value < cl AND value > lcl AS INTEGER)) OVER r9 = 9, false) AS rule_2,
    COALESCE(sum(CAST(dir = 1 AS INTEGER)) OVER r5 = 5, false) OR COALESCE(sum(CAST(dir = -1 AS INTEGER)) OVER r5 = 5, false) AS rule_3,
@@ -153,8 +161,8 @@ def imr(spark, sf):
 
 @query(
     "imr_series",
-    f"""{IMR_SERIES} SELECT user_id, event_id, {IMR_COLS}, round(xm + 3 * bm / {K2.d2}, 8) AS ucl_i_max, round(xm - 3 * bm / {K2.d2}, 8) AS lcl_i_max, round(bm * {K2.d4_limit}, 8) AS ucl_mr_max,
-        round(xd + 3 * bd / {K2.d2}, 8) AS ucl_i_diff, round(xd - 3 * bd / {K2.d2}, 8) AS lcl_i_diff, round(bd * {K2.d4_limit}, 8) AS ucl_mr_diff FROM x JOIN t USING (user_id)""",
+    f"""{IMR_SERIES} SELECT user_id, event_id, {IMR_COLS}, round(xm + 3 * bm / 1.128, 8) AS ucl_i_max, round(xm - 3 * bm / 1.128, 8) AS lcl_i_max, round(bm * {MR_UPPER}, 8) AS ucl_mr_max,
+        round(xd + 3 * bd / 1.128, 8) AS ucl_i_diff, round(xd - 3 * bd / 1.128, 8) AS lcl_i_diff, round(bd * {MR_UPPER}, 8) AS ucl_mr_diff FROM x JOIN t USING (user_id)""",
 )
 def imr_series(spark, sf):
     cols = ["mr_max", "mr_sign_max", "mr_diff", "mr_sign_diff", "xbar_max", "mr_bar_max", "xbar_diff", "mr_bar_diff",
@@ -165,7 +173,7 @@ def imr_series(spark, sf):
 @query(
     "limit_events",
     f"""{IMR_SERIES}, l AS (SELECT * FROM x JOIN t USING (user_id) QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY rn DESC) = 1),
-        e AS (SELECT user_id, ts, xd + 3 * bd / {K2.d2} AS ud, xd - 3 * bd / {K2.d2} AS ld, xm + 3 * bm / {K2.d2} AS um, xm - 3 * bm / {K2.d2} AS lm, bd * {K2.d4_limit} AS rd, bm * {K2.d4_limit} AS rm, tmax, diff, sm, sd FROM l)
+        e AS (SELECT user_id, ts, xd + 3 * bd / 1.128 AS ud, xd - 3 * bd / 1.128 AS ld, xm + 3 * bm / 1.128 AS um, xm - 3 * bm / 1.128 AS lm, bd * {MR_UPPER} AS rd, bm * {MR_UPPER} AS rm, tmax, diff, sm, sd FROM l)
         SELECT user_id, ts, 'i' AS "check", CASE WHEN diff > ud THEN 'AboveIUcl' WHEN diff < ld THEN 'BelowILcl' WHEN tmax > um THEN 'AboveIUcl' WHEN tmax < lm THEN 'BelowILcl' ELSE 'NoIssue' END AS event_type,
           CASE WHEN diff > ud OR diff < ld OR tmax > um OR tmax < lm THEN 'Warning' ELSE 'Info' END AS event_level,
           round(CASE WHEN diff > ud THEN ud WHEN diff < ld THEN ld WHEN tmax > um THEN um WHEN tmax < lm THEN lm END, 6) AS set_value, round(CASE WHEN diff > ud OR diff < ld THEN diff WHEN tmax > um OR tmax < lm THEN tmax END, 6) AS mea_value FROM e
