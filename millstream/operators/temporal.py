@@ -12,6 +12,9 @@ from millstream.functions.wallclock import bucket_no, seconds_between, wall_us,
 from millstream.operators import chunked
 from millstream.operators.chunked import CHUNK, DEFAULT_WIDTH, join_null_safe, names
 
+NO_TIME_CHUNKS = 4096  # chunks of a key that rows without time are spread over
+
+
 
 def asof_join(
     left: DataFrame,
@@ -47,6 +50,9 @@ def asof_join(
         right.withColumns({"__rank": F.lit(right_rank), "__left": F.lit(False)}), allowMissingColumns=True
     )
     stacked = chunked.with_time_chunk(stacked, "__ts", width)
+    # Rows without time match nothing. They get chunks of their own, before all others, so that no task sorts them all.
+    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *left.columns), F.lit(NO_TIME_CHUNKS))
+    stacked = stacked.withColumn(CHUNK, F.coalesce(CHUNK, F.lit(-(1 << 60)) + salt))
     filled = chunked.fill(stacked, keys, ["__ts", "__rank"], [out], backward=forward)
     timed = F.when(F.col(left_ts).isNotNull(), F.col(out))
     return filled.filter("__left").withColumn(out, timed).drop("__ts", "__rank", "__left", CHUNK)

@@ -140,13 +140,24 @@ def csv_sink_partitioned(spark, sf):
     return back.select("lang", "doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
 
 
-@query("csv_load_by_filename", "SELECT o_orderkey, o_totalprice, 'part' AS file_kind FROM orders")
+@query(
+    "csv_load_by_filename",
+    """SELECT o_orderkey, o_totalprice, 'F' || (o_custkey % 2) AS factory, 'line' || o_orderstatus AS connection, '10.0.0.' || (o_custkey % 3) AS ip, 'order' AS category,
+              't' || left(o_orderpriority, 1) AS "table", CAST(year(o_orderdate) AS VARCHAR) || '0101' AS start, CAST(year(o_orderdate) AS VARCHAR) || '1231' AS "end" FROM orders""",
+)
 def csv_load_by_filename(spark, sf):
+    """Files whose folder has the name that a raw file has."""
     path = shared_path(spark, "csv-names")
-    Tables(spark, sf).orders.select("o_orderkey", "o_totalprice").write.option("header", True).csv(path)
+    k, year = F.col("o_custkey"), F.year("o_orderdate")
+    name = F.concat_ws(
+        "_", F.concat(F.lit("F"), k % 2), F.concat(F.lit("line"), "o_orderstatus"), F.concat(F.lit("10.0.0."), k % 3), F.lit("order"),
+        F.concat(F.lit("t"), F.left("o_orderpriority", F.lit(1))), F.concat(year, F.lit("0101")), F.concat(year, F.lit("1231")),
+    )
+    orders = Tables(spark, sf).orders.select("o_orderkey", "o_totalprice", name.alias("name"))
+    writers.by_partition(orders, ["name"]).write.option("header", True).partitionBy("name").csv(path)
     schema = T.StructType().add("o_orderkey", "long").add("o_totalprice", "double")
-    loaded = readers.csv_load_by_filename(spark, path, schema, ["file_kind", "file_no"], sep="-")
-    return loaded.select("o_orderkey", "o_totalprice", "file_kind")
+    loaded = readers.csv_load_by_filename(spark, path, schema, level=-2)
+    return loaded.select("o_orderkey", "o_totalprice", *readers.FILE_FIELDS)
 
 
 @query(

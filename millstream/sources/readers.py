@@ -99,10 +99,20 @@ def name_parts(path: Column, parts: Sequence[str], sep: str = "_") -> dict[str,
     return {p: F.get(pieces, F.lit(i)) for i, p in enumerate(parts)}
 
 
-def csv_load_by_filename(spark: SparkSession, path: str, schema: T.StructType, parts: Sequence[str], sep: str = "_") -> DataFrame:
-    """CSV files with the fields of their names as columns."""
+#: Fields of a raw file's name.
+FILE_FIELDS = ("factory", "connection", "ip", "category", "table", "start", "end")
+
+
+def csv_load_by_filename(
+    spark: SparkSession, path: str, schema: T.StructType, parts: Sequence[str] = FILE_FIELDS, sep: str = "_", level: int = -1
+) -> DataFrame:
+    """CSV files with the fields of their names as columns. level: which part of the path holds them, the file's name
+    itself or, with -2, its folder's, without a leading `name=`."""
     df = spark.read.schema(schema).option("header", True).csv(path)
-    return df.withColumns(name_parts(F.col("_metadata.file_name"), parts, sep))
+    name = F.regexp_replace(F.element_at(F.split(F.col("_metadata.file_path"), "/"), level), "^[^=/]*=", "")
+    if level != -1:
+        name = F.concat(name, F.lit(".csv"))  # a folder's name has no ending to cut
+    return df.withColumns(name_parts(name, parts, sep))
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:

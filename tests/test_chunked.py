@@ -123,3 +123,13 @@ def test_gap_of_exactly_the_threshold_splits(spark, at):
     df = spark.createDataFrame(rows, "k string, ts timestamp_ntz")
     got = temporal.gap_segments(df, "k", "ts", "10 minutes", width="15 minutes")
     assert {(r["k"], r["ts"]): r["segment"] for r in got.collect()} == dict(zip(rows, [0, 0, 1, 2, 0]))
+
+
+def test_asof_join_spreads_rows_without_time(spark, at):
+    """Rows without time keep no match, and lie in many chunks instead of one."""
+    left = [("k", None, i) for i in range(400)] + [("k", at(5), 1000), (None, at(5), 1001), (None, None, 1002)]
+    left = spark.createDataFrame(left, "k string, t timestamp_ntz, i int")
+    right = spark.createDataFrame([("k", at(1), "a"), ("k", at(9), "b"), ("k", None, "c")], "k string, t timestamp_ntz, v string")
+    for forward, want in ((False, "a"), (True, "b")):
+        got = temporal.asof_join(left, right, "k", "t", "t", ["v"], "m", forward=forward).collect()
+        assert len(got) == 403 and {r["i"]: r["m"]["v"] for r in got if r["m"] is not None} == {1000: want}
