@@ -330,8 +330,17 @@ def feedback_translate(df: DataFrame, dim: DataFrame, key: str, lang: str, defau
 
 
 def plant_lookback_window(df: DataFrame, offsets: DataFrame, plant: str, ts: str, as_of) -> DataFrame:
-    """Readings inside each plant's window (as_of - hours_from, as_of - hours_to]; plants without offsets drop out."""
+    """Readings inside each plant's window (as_of - hours_from, as_of - hours_to]; plants without offsets drop out.
+
+    The widest window of all plants bounds the time itself, so that the scan leaves out what lies outside."""
     back = seconds_between(F.col(ts), as_ntz(as_of)) / 3600.0
+
+    def before(hours: Column) -> Column:
+        return as_ntz(as_of) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (hours * 3600).cast("decimal(18,6)"))
+
+    earliest = offsets.select(before(F.max("hours_from") + 1)).scalar()
+    latest = offsets.select(before(F.min("hours_to") - 1)).scalar()
+    df = df.filter((F.col(ts) >= earliest) & (F.col(ts) <= latest))
     return df.join(offsets, plant, "inner").filter((back <= F.col("hours_from")) & (back >= F.col("hours_to")))
 
 
