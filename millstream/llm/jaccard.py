@@ -6,8 +6,8 @@ has in a fragment is its segment.
 * Sets that are equal are one from the start.
 * Two sets of similarity t differ in d = (1 - t) / t of the smaller set's n-grams at most, so with more than d fragments
   at least one segment is the same in both. Sets are therefore met by whole segments, not by single n-grams: a common
-  passage brings only those sets together that have nothing else in a fragment. Sizes fall into classes no wider than
-  t allows; a class has its own number of fragments, and a set is cut for its own class and, as the larger of a pair,
+  passage brings only those sets together that have nothing else in a fragment. Sizes fall into classes, each 1 / t^2
+  wide; a class has its own number of fragments, and a set is cut for its own class and, as the larger of a pair,
   for the one below. As an empty segment is no meeting place, there are d / 4 + 2 fragments to spare; a set with so many
   empty segments that these don't suffice also meets others by the first n-grams of its order (the prefix of the
   similarity), which any similar set that has the same lack must share.
@@ -86,9 +86,9 @@ class Scheme:
 
     def __init__(self, num: int):
         self.num, self.rest = num, 100 - num
-        tops = [1]  # the first size of each class: the next size that isn't within the similarity of it
+        tops = [1]  # the first size of each class: a class is two steps of the similarity wide
         while tops[-1] < 1 << 40:
-            tops.append(max(tops[-1] + 1, -(-tops[-1] * 100 // num)))
+            tops.append(max(tops[-1] + 1, -(-tops[-1] * 10_000 // num**2)))
         self.first = np.array(tops, np.int64)
 
     def keys(self, grams: np.ndarray) -> np.ndarray:
@@ -145,73 +145,96 @@ def signatures(docs: DataFrame, n: int, num: int, key: str = "doc_id", text: str
     return add_columns(rows, ["text"], fields, start).drop("text")
 
 
-def _close(ranges: np.ndarray, n: np.ndarray, i: slice, j: slice, num: int) -> np.ndarray:
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, RANGES)
+
+
+def _may_reach(least: np.ndarray, sizes: np.ndarray, cut: np.ndarray, num: int) -> np.ndarray:
+    """Whether an overlap of `least` at most can do for sets of `sizes` in all. cut: counts that stop at the largest say nothing."""
+    return cut | (least * 100 >= num * (sizes - least))
+
+
+def _close(ranges: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray, num: int) -> np.ndarray:
     """Of members i and members j which pairs can be within the similarity, by their counts in ranges."""
-    least = np.zeros((ranges[i].shape[0], ranges[j].shape[0]), np.int64)
     a, b = ranges[i], ranges[j]
-    for at in range(0, len(a), 64):
-        least[at : at + 64] = np.minimum(a[at : at + 64, None, :], b[None, :, :]).sum(axis=2, dtype=np.int64)
-    full = (a == 65535).any(axis=1)[:, None] & (b == 65535).any(axis=1)[None, :]  # counts that were cut say nothing
-    return full | (least * 100 >= num * (n[i][:, None] + n[j][None, :] - least))
+    least = np.empty((len(a), len(b)), np.int64)
+    step = max(1, (1 << 16) // max(len(b), 1))
+    for at in range(0, len(a), step):
+        least[at : at + step] = np.minimum(a[at : at + step, None, :], b[None, :, :]).sum(axis=2, dtype=np.int64)
+    cut = (a == 65535).any(axis=1)[:, None] & (b == 65535).any(axis=1)[None, :]
+    return _may_reach(least, n[i][:, None] + n[j][None, :], cut, num)
+
+
+def _stars(met: DataFrame, nodes: DataFrame, num: int) -> DataFrame:
+    """(a, b): members of each group with the group's smallest, where they can be linked."""
+    smallest = met.groupBy("key").agg(F.min("s").alias("a"))
+    pairs = met.join(smallest, "key").filter("s <> a").select("a", F.col("s").alias("b")).distinct()
+    of = nodes.select("s", "n", "ranges")
+    both = pairs.join(of.withColumnsRenamed({"s": "a", "n": "na", "ranges": "ra"}), "a").join(of.withColumnsRenamed({"s": "b", "n": "nb", "ranges": "rb"}), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                a, b = _matrix(batch["ra"]), _matrix(batch["rb"])
+                cut = (a == 65535).any(axis=1) & (b == 65535).any(axis=1)
+                sizes = np.array(batch["na"], np.int64) + np.array(batch["nb"], np.int64)
+                ok = _may_reach(np.minimum(a, b).sum(axis=1, dtype=np.int64), sizes, cut, num)
+                yield batch.select(["a", "b"]).filter(pa.array(ok))
+
+    bound_batches(met.sparkSession)
+    return both.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long")
+
 
+def _cells(met: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Members of each group that meets, in cells (key, i, j) of two blocks at most; i = j is a block by itself."""
+    sizes = met.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    rows = met.join(sizes, "key").join(nodes, "s").withColumn("block", F.pmod(F.xxhash64("s"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
 
-def _pairs(cells: DataFrame, num: int, star: bool) -> DataFrame:
+
+def _pairs(cells: DataFrame, num: int) -> DataFrame:
     """(a, b): pairs of a cell (key, i, j, block, s, c, n, ranges) that can be linked and lie in different components.
 
-    star: only those with the cell's smallest member. A cell (i, j) has the members of blocks i and j, and stands for
-    the pairs between them, or within one block.
+    A cell (i, j) stands for the pairs between blocks i and j, or within one block.
     """
 
-    def of_cell(rows: pa.Table) -> pa.Table:
-        s, c, n = (np.array(rows[x], np.int64) for x in ("s", "c", "n"))
-        ranges = np.frombuffer(b"".join(rows["ranges"].to_pylist()), np.uint16).reshape(len(s), RANGES)
-        block, two = np.array(rows["block"]), rows["i"][0].as_py() != rows["j"][0].as_py()
-        first, second = [], []
-        if star:
-            m = int(s.argmin())
-            ok = _close(ranges, n, slice(m, m + 1), slice(None), num)[0] & (s != s[m])
-            first, second = [np.full(ok.sum(), s[m])], [s[ok]]
-        else:
-            for at in range(0, len(s), 256):
-                part = slice(at, at + 256)
-                may = (c[part, None] != c[None, :]) & (s[part, None] < s[None, :])
-                if two:
-                    may &= block[part, None] != block[None, :]
-                near, far = np.flatnonzero(may.any(axis=1)) + at, np.flatnonzero(may.any(axis=0))
-                if not len(near):
-                    continue
-                ok = _close(ranges, n, near, far, num) & may[np.ix_(near - at, far)]
-                p, q = np.nonzero(ok)
-                first.append(s[near][p])
-                second.append(s[far][q])
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (first, second))
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+    def of_cell(s, c, n, ranges, block, two: bool) -> Iterator[np.ndarray]:
+        for at in range(0, len(s), 256):
+            part = slice(at, at + 256)
+            may = (c[part, None] != c[None, :]) & (s[part, None] < s[None, :])
+            if two:
+                may &= block[part, None] != block[None, :]
+            near, far = np.flatnonzero(may.any(axis=1)), np.flatnonzero(may.any(axis=0))
+            if len(near):
+                p, q = np.nonzero(_close(ranges, n, near + at, far, num) & may[np.ix_(near, far)])
+                yield np.stack([s[near[p] + at], s[far[q]]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
-        made: list[pa.Table] = []
-
-        def cut(table: pa.Table, last: bool) -> pa.Table | None:
-            """Works on the whole cells of a sorted table, and returns the rows of the last, which may go on."""
-            names = [np.array(table[x]) for x in ("key", "i", "j")]
-            new = np.flatnonzero(np.any([x[1:] != x[:-1] for x in names], axis=0)) + 1
-            bounds = [0, *new.tolist(), table.num_rows]
-            for x, y in zip(bounds[: None if last else -2], bounds[1 : None if last else -1]):
+
+        def cut(table: pa.Table, last: bool) -> tuple[pa.Table, list[np.ndarray]]:
+            """What the whole cells of a sorted table give, and the rows of its last cell, which may go on."""
+            key, i, j, block, s, c, n = (np.array(table[x], np.int64) for x in ("key", "i", "j", "block", "s", "c", "n"))
+            new = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+            bounds = [0, *new.tolist(), len(key)] if last else [0, *new.tolist()]
+            ranges, found = _matrix(table["ranges"].slice(0, bounds[-1])), []
+            for x, y in zip(bounds, bounds[1:]):
                 if y - x > 1:
-                    made.append(of_cell(table.slice(x, y - x)))
-            return None if last else table.slice(bounds[-2])
+                    found += of_cell(s[x:y], c[x:y], n[x:y], ranges[x:y], block[x:y], i[x] != j[x])
+            return table.slice(bounds[-1]), found
+
+        def rows(found: list[np.ndarray]) -> list[pa.RecordBatch]:
+            a, b = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+            return [pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])]
 
         for batch in batches:
             if batch.num_rows:
                 table = pa.Table.from_batches([batch])
-                held = cut(pa.concat_tables([held, table]) if held is not None else table, False)
-                for t in made:
-                    yield from t.to_batches()
-                made.clear()
+                held, found = cut(pa.concat_tables([held, table]) if held is not None else table, False)
+                yield from rows(found)
         if held is not None and held.num_rows:
-            cut(held, True)
-        for t in made:
-            yield from t.to_batches()
+            yield from rows(cut(held, True)[1])
 
     bound_batches(cells.sparkSession)
     cell = ["key", "i", "j"]
@@ -219,32 +242,9 @@ def _pairs(cells: DataFrame, num: int, star: bool) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def _cells(met: DataFrame, nodes: DataFrame, star: bool) -> DataFrame:
-    """Members of each group that meets, in cells of two blocks at most."""
-    sizes = met.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = met.join(sizes, "key").join(nodes, "s").withColumn("block", F.pmod(F.xxhash64("s"), F.col("blocks")).cast("int"))
-    if star:
-        return rows.withColumns({"i": F.col("block"), "j": F.col("block")})
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-
-
-def _links(pairs: DataFrame, nodes: DataFrame, segments: DataFrame, num: int) -> DataFrame:
-    """The pairs whose similarity is reached: partial overlaps by fragment, summed."""
-    size = nodes.select("s", "n")
-    sized = pairs.join(size.withColumnsRenamed({"s": "a", "n": "na"}), "a").join(size.withColumnsRenamed({"s": "b", "n": "nb"}), "b")
-    left = segments.withColumnsRenamed({"s": "a", "grams": "ga"})
-    right = segments.withColumnsRenamed({"s": "b", "grams": "gb"})
-    parts = sized.join(left, "a").join(right, ["b", "f"]).select("a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).alias("part"))
-    whole = parts.groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("both"))
-    return whole.filter(F.col("both") * 100 >= num * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
-
-
-def _segments(docs: DataFrame, nodes: DataFrame, n: int, key: str, text: str) -> DataFrame:
-    """(s, f, grams): the segments of the sets of `nodes` in FRAGMENTS even ranges, made from one text of each."""
-    asked = nodes.select("row", "s")
-    rows = docs.select(F.xxhash64(key, text).alias("row"), F.col(text).alias("text"))
-    rows = rows.filter(sieve(asked, "row")(F.col("row"))).join(asked, "row").dropDuplicates(["s"])
+def _segments(docs: DataFrame, rows: DataFrame, n: int, key: str, text: str) -> DataFrame:
+    """(row, f, grams): the segments in FRAGMENTS even ranges of the sets of these rows, and of few others."""
+    asked = docs.select(F.xxhash64(key, text).alias("row"), F.col(text).alias("text")).filter(sieve(rows, "row")(F.col("row")))
 
     def start():
         shingles = Shingles(n)
@@ -259,8 +259,23 @@ def _segments(docs: DataFrame, nodes: DataFrame, n: int, key: str, text: str) ->
 
         return work
 
-    lists = add_columns(rows.select("s", "text"), ["text"], [T.StructField("lists", T.ArrayType(T.ArrayType(T.LongType())))], start)
-    return lists.select("s", F.posexplode("lists").alias("f", "grams")).filter(F.size("grams") > 0)
+    lists = add_columns(asked, ["text"], [T.StructField("lists", T.ArrayType(T.ArrayType(T.LongType())))], start)
+    return lists.select("row", F.posexplode("lists").alias("f", "grams")).filter(F.size("grams") > 0)
+
+
+def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, num: int, key: str, text: str) -> DataFrame:
+    """The pairs whose similarity is reached: partial overlaps by fragment, summed. Sets are made anew for these pairs only."""
+    size = nodes.select("s", "n", "row")
+    sized = pairs.join(size.withColumnsRenamed({"s": "a", "n": "na", "row": "x"}), "a").join(size.withColumnsRenamed({"s": "b", "n": "nb", "row": "y"}), "b")
+    sized = stored(sized, "jaccard-sized")
+    rows = sized.select(F.explode(F.array("x", "y")).alias("row")).distinct()
+    # Rows that repeat key and text have equal segments, of which one is taken.
+    segments = _segments(docs, rows, n, key, text).groupBy("row", "f").agg(F.first("grams").alias("grams"))
+    each = sized.withColumn("f", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))))
+    left, right = segments.withColumnsRenamed({"row": "x", "grams": "gx"}), segments.withColumnsRenamed({"row": "y", "grams": "gy"})
+    parts = each.join(left, ["x", "f"]).join(right, ["y", "f"]).select("a", "b", "na", "nb", F.size(F.array_intersect("gx", "gy")).alias("part"))
+    whole = parts.groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("both"))
+    return whole.filter(F.col("both") * 100 >= num * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
 
 
 def similar(docs: DataFrame, n: int = 5, num: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -276,18 +291,15 @@ def similar(docs: DataFrame, n: int = 5, num: int = 80, key: str = "doc_id", tex
     keys = some.select("s", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("s").alias("x"), F.max("s").alias("y")).filter("x <> y").select("key")
     shared = stored(shared, "jaccard-keys")
-    met = stored(keys.filter(sieve(shared, "key")(F.col("key"))).distinct().join(shared, "key"), "jaccard-met")
+    met = stored(keys.filter(sieve(shared, "key", 23)(F.col("key"))).join(shared, "key").distinct(), "jaccard-met")
     near = some.join(met.select("s").distinct(), "s", "left_semi").groupBy("s").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("ranges").alias("ranges"))
     nodes = stored(near, "jaccard-nodes")
-    segments = stored(_segments(docs, nodes, n, key, text), "jaccard-segments")
-    alone = nodes.select("s", F.col("s").alias("c"), "n", "ranges")
-    first = stored(_links(stored(_pairs(_cells(met, alone, True), num, True), "jaccard-stars"), nodes, segments, num), "jaccard-links")
+    first = stored(_links(_stars(met, nodes, num), nodes, docs, n, num, key, text), "jaccard-links")
     found = components(first)
-    labelled = nodes.join(found, "s", "left").select("s", F.coalesce("c", "s").alias("c"), "n", "ranges")
-    labelled = stored(labelled, "jaccard-labelled")
+    labelled = stored(nodes.join(found, "s", "left").withColumn("c", F.coalesce("c", "s")), "jaccard-labelled")
     split = met.join(labelled.select("s", "c"), "s").groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y")
     open_ = met.join(split.select("key"), "key")
-    second = _links(stored(_pairs(_cells(open_, labelled, False), num, False), "jaccard-pairs"), nodes, segments, num)
+    second = _links(_pairs(_cells(open_, labelled), num), nodes, docs, n, num, key, text)
     found = components(first.unionByName(second))
     classes = some.groupBy("s").agg(F.min("id").alias("id")).join(found, "s", "left").select("s", "id", F.coalesce("c", "s").alias("c"))
     smallest = classes.groupBy("c").agg(F.min("id").alias("component_id"))
