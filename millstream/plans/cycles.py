@@ -61,7 +61,21 @@ def state_duration(spark, sf):
     return spent.withColumn("mix_duration_sec", F.round("mix_duration_sec", 4))
 
 
-@query("peak_count")
+# Peaks of a cycle: runs of equal values are one point; a peak's prominence is its height over the higher of the lowest
+# points on its two sides, each up to the nearest higher point. Two peaks are always two rows apart, so that the least
+# distance of these queries leaves all of them.
+PEAKS = f"""{BOUNDS}, pr AS (SELECT c.user_id, c.st, s.ts, s.event_id, s.motor FROM c JOIN s ON s.user_id = c.user_id AND s.ts >= c.st AND s.ts < c.en),
+   pf AS (SELECT user_id, st, ts, event_id, COALESCE(motor, quantile_cont(motor, 0.5) OVER (PARTITION BY user_id, st)) AS v FROM pr),
+   pl AS (SELECT *, lag(v) OVER (PARTITION BY user_id, st ORDER BY ts, event_id) AS pv FROM pf WHERE v IS NOT NULL),
+   pk AS (SELECT user_id, st, v, row_number() OVER z AS k, lag(v) OVER z AS a, lead(v) OVER z AS b FROM pl WHERE pv IS NULL OR v <> pv WINDOW z AS (PARTITION BY user_id, st ORDER BY ts, event_id)),
+   tops AS (SELECT t.user_id, t.st, t.k, t.v, COALESCE(max(h.k) FILTER (h.k < t.k AND h.v > t.v), 0) AS lo, COALESCE(min(h.k) FILTER (h.k > t.k AND h.v > t.v), 1000000000) AS hi
+            FROM pk t JOIN pk h ON h.user_id = t.user_id AND h.st = t.st WHERE t.v > t.a AND t.v > t.b GROUP BY 1, 2, 3, 4),
+   high AS (SELECT t.user_id, t.st, t.k FROM tops t JOIN pk h ON h.user_id = t.user_id AND h.st = t.st AND h.k > t.lo AND h.k < t.hi GROUP BY t.user_id, t.st, t.k, t.v
+            HAVING t.v - greatest(min(h.v) FILTER (h.k <= t.k), min(h.v) FILTER (h.k >= t.k)) >= 100),
+   peaks AS (SELECT x.user_id, x.st, count(k) AS peak_count FROM (SELECT DISTINCT user_id, st FROM pl) x LEFT JOIN high ON high.user_id = x.user_id AND high.st = x.st GROUP BY 1, 2)"""
+
+
+@query("peak_count", f"""WITH {PEAKS} SELECT user_id, st AS "start", peak_count FROM peaks""")
 def peak_count(spark, sf):
     """Peaks of every machine cycle."""
     found = cycles.cycle_boundaries(marked(spark, sf), "user_id", "ts")
@@ -78,7 +92,14 @@ def features(spark, sf):
     )
 
 
-@query("cycle_features")
+@query(
+    "cycle_features",
+    f"""WITH {PEAKS}, r AS (SELECT c.st, c.en, s.* FROM c JOIN s ON s.user_id = c.user_id AND s.ts >= c.st AND s.ts < c.en),
+        f AS (SELECT *, last_value(stage IGNORE NULLS) OVER (PARTITION BY user_id, st ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sg, lead(ts) OVER (PARTITION BY user_id, st ORDER BY ts, event_id) AS nx, min(ts) OVER (PARTITION BY user_id, st) AS t0 FROM r),
+        g AS (SELECT user_id, st, en, arg_min(run_mode, (ts, event_id)) FILTER (run_mode IS NOT NULL) AS run_mode_start, sum(CASE WHEN sg = 'mix' THEN date_diff('microsecond', ts, nx) / 1000000.0 END) AS mix, max(temp) FILTER (ts >= t0 + INTERVAL 30 SECOND) AS max_temp FROM f GROUP BY 1, 2, 3)
+        SELECT g.user_id, g.st AS "start", en AS "end", run_mode_start, round(mix, 1) AS mix_duration_sec, max_temp, COALESCE(peak_count, 0) AS peak_count, COALESCE(peak_count > 1 AND max_temp > 105, false) AS is_3_stage
+        FROM g LEFT JOIN peaks p ON p.user_id = g.user_id AND p.st = g.st WHERE COALESCE(mix, 0) > 60""",
+)
 def cycle_features(spark, sf):
     return features(spark, sf)
 
