@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millstream.llm.sieve import sieve
+from millstream.llm.sieve import keeper, sieve
 from millstream.session import stored
 
 #: Tokens of a window, of which so many must be plain words; shorter items are one window, with as many plain words less.
@@ -123,7 +123,8 @@ def clean(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "t
     """The rows of `docs` that hold no item. found: as `leaks` gives it. Rows without key or text stay."""
     own = "_" * max(map(len, docs.columns)) + "doc"
     rows = docs.withColumn(own, F.xxhash64(key, text))
-    may = sieve(found, "doc")
+    keep = keeper(found, "doc")
     hit = found.select(F.col("doc").alias(own), F.col(key).alias(f"{own}id")).distinct()
-    kept = rows.filter(may(F.col(own))).join(hit, (rows[own] == hit[own]) & rows[key].eqNullSafe(hit[f"{own}id"]), "left_anti")
-    return kept.unionByName(rows.filter(~may(F.col(own)))).drop(own)
+    near = keep(rows, F.col(own))
+    kept = near.join(hit, (near[own] == hit[own]) & near[key].eqNullSafe(hit[f"{own}id"]), "left_anti")
+    return kept.unionByName(keep(rows, F.col(own), False)).drop(own)

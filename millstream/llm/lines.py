@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millstream.llm.sieve import sieve
+from millstream.llm.sieve import keeper
 from millstream.session import stored
 
 #: Lines of fewer words are never dropped; from this many on, equal lines are.
@@ -41,7 +41,8 @@ def _identity(key: str, text: str) -> list[Column]:
 
 def lines_of(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, doc, n, line, m): lines in plain form with their place from 0 and their number of words; none for null texts."""
-    rows = docs.select(*_identity(key, text), F.posexplode(F.split(F.col(text), "\n")).alias("n", "raw"))
+    # An outer explode: for a plain one Spark would test the list's size first, and split the text anew for that.
+    rows = docs.select(*_identity(key, text), F.posexplode_outer(F.split(F.col(text), "\n")).alias("n", "raw")).filter("n IS NOT NULL")
     rows = rows.select("id", "doc", "n", plain(F.col("raw")).alias("line"))
     return rows.withColumn("m", F.when(F.col("line") == "", 0).otherwise(F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1))
 
@@ -64,8 +65,7 @@ def _partners(numbers: DataFrame, near_words: int) -> DataFrame:
     keys = near.select("h", F.posexplode(able).alias("t", "half")).filter("half IS NOT NULL")
     groups = keys.groupBy("half").agg(F.min("h").alias("a"), F.max("h").alias("b"), F.min("t").alias("t"))
     shared = stored(groups.filter("a <> b AND t < 2").select("half"), "lines-halves")  # one of a pair is the longer
-    may = sieve(shared, "half")
-    found = keys.filter(may(F.col("half"))).distinct().join(shared, "half")
+    found = keeper(shared, "half")(keys, F.col("half")).distinct().join(shared, "half")
     return found.groupBy("h").agg(*[F.max(F.col("t") == t).alias(f"t{t}") for t in range(4)])
 
 
@@ -116,19 +116,19 @@ def duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", least_w
     Of equal lines the earliest stays, by (key, hash of the document, place), nulls first; and a line goes with all its
     copies where an earlier line lies within the bound, whether or not that one goes itself.
     """
-    lines = lines_of(docs, key, text).filter(F.col("m") >= least_words)
+    lines = lines_of(docs, key, text)
     halves = F.when(F.col("m") >= max(near_words - 1, 2), _half_keys(F.col("line"), F.col("m"))).otherwise(F.array().cast("array<bigint>"))
     numbers = stored(lines.select("id", "doc", "n", F.xxhash64("line").alias("h"), F.col("m"), halves.alias("halves")), "lines-numbers")
+    numbers = numbers.filter(F.col("m") >= least_words)
     same = numbers.groupBy("h").agg(F.min(F.struct("id", "doc", "n")).alias("first"), F.count("*").alias("copies"))
     partners = stored(_partners(numbers, near_words).join(same, "h"), "lines-partners")
     # One copy of the text of each line that can have a partner.
-    may = sieve(partners, "h")
-    texts = lines.select(F.xxhash64("line").alias("h"), "m", "line").filter(may(F.col("h")))
+    texts = keeper(partners, "h")(lines.select(F.xxhash64("line").alias("h"), "m", "line"), F.col("h"))
     texts = stored(texts.groupBy("h").agg(F.min("m").alias("m"), F.min("line").alias("line")).join(partners, "h"), "lines-texts")
     keys = _keys(texts)
     groups = keys.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b")).filter("a <> b").select("key")
     groups = stored(groups, "lines-keys")
-    held = keys.filter(sieve(groups, "key")(F.col("key"))).join(groups, "key").join(texts.select("h", "first"), "h")
+    held = keeper(groups, "key")(keys, F.col("key")).join(groups, "key").join(texts.select("h", "first"), "h")
     held = stored(held, "lines-held")
     earliest = held.groupBy("key").agg(F.min(F.struct("first", "h")).alias("best"))
     pairs = held.join(earliest, "key").filter("best.first < first").select("h", F.col("best.h").alias("earlier")).distinct()
@@ -137,7 +137,7 @@ def duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", least_w
     near = compared.filter(_within_one(F.col("w"), F.col("v"))).select("h").distinct().withColumn("near", F.lit(True))
     gone = same.filter("copies > 1").join(near, "h", "full").select("h", "first", F.coalesce("near", F.lit(False)).alias("near"))
     gone = stored(gone, "lines-gone")
-    found = numbers.select("id", "doc", "n", "h").filter(sieve(gone, "h")(F.col("h"))).join(gone, "h")
+    found = keeper(gone, "h")(numbers.select("id", "doc", "n", "h"), F.col("h")).join(gone, "h")
     return found.filter(F.col("near") | (F.struct("id", "doc", "n") > F.col("first"))).select("id", "doc", "n")
 
 
@@ -154,9 +154,9 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words:
     drops = stored(drops.groupBy("id", "doc").agg(F.collect_list("n").alias("ns")), "lines-drops")
     id_, doc, gone = f"{own}id", f"{own}doc", f"{own}gone"
     rows = rows.withColumn(doc, F.xxhash64(F.lit(0), key, text))
-    may = sieve(drops, "doc")
+    keep = keeper(drops, "doc")
     # Only documents that may lose a line are shuffled.
-    touched = rows.filter(may(F.col(doc))).join(
+    touched = keep(rows, F.col(doc)).join(
         drops.select(F.col("id").alias(id_), F.col("doc").alias(f"{doc}2"), F.col("ns").alias(gone)),
         (F.col(doc) == F.col(f"{doc}2")) & F.col(key).eqNullSafe(F.col(id_)),
         "left",
@@ -167,5 +167,5 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words:
     names = [c for c in rows.columns if c != doc]
     whole = F.when(F.col(gone).isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
     changed = touched.select(*[F.col(f"`{c}`") for c in names if c != text], whole.alias(text), counted.alias("n_lines"), F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).cast("long").alias("n_dropped"))
-    rest = rows.filter(~may(F.col(doc))).select(*names, counted.alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"))
+    rest = keep(rows, F.col(doc), False).select(*names, counted.alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"))
     return changed.unionByName(rest).select(*names, "n_lines", "n_dropped")

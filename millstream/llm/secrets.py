@@ -16,7 +16,7 @@ from re import _parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millstream.llm.sieve import sieve
+from millstream.llm.sieve import keeper
 from millstream.session import stored
 
 #: A query is a trigram, ("and" or "or", queries) or ANY.
@@ -184,10 +184,10 @@ def scan(docs: DataFrame, rules: Sequence[Rule] = BASE, key: str = "doc_id", tex
     if asked:
         postings = stored(index(docs, sorted(set().union(*map(trigrams, asked.values()))), key, text), "trigrams")
         found = stored(candidates(postings, asked), "secret-candidates")
-        may = sieve(found, "doc")
+        keep = keeper(found, "doc")
         # Only rows that the table of candidates may hold are joined with it.
-        near = keyed.filter(may(F.col(doc))).join(found.select(F.col("doc").alias(doc), F.col("kinds").alias(kinds)), doc, "left")
-        far = keyed.filter(~may(F.col(doc))).withColumn(kinds, none)
+        near = keep(keyed, F.col(doc)).join(found.select(F.col("doc").alias(doc), F.col("kinds").alias(kinds)), doc, "left")
+        far = keep(keyed, F.col(doc), False).withColumn(kinds, none)
         keyed = near.select(*rows.columns, F.coalesce(kinds, none).alias(kinds)).unionByName(far.select(*rows.columns, kinds))
     else:
         keyed = keyed.withColumn(kinds, none)

@@ -5,6 +5,7 @@ import re
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from millstream.llm import secrets, sieve
 
@@ -69,6 +70,14 @@ def test_matches_meet_their_query(text):
 
 def test_sieve_never_loses_a_number(spark):
     numbers = [0, 1, -1, 32767, 32768, 2**62, -(2**63), 7 * 10**11, None]
-    may = sieve.sieve(spark.createDataFrame([(n,) for n in numbers], "n long"), "n", 16)
-    tested = {r.n: r.ok for r in spark.range(-200_000, 200_000, 7).unionByName(spark.createDataFrame([(n,) for n in numbers[:-1]], "id long")).selectExpr("id AS n").withColumn("ok", may(__import__("pyspark").sql.functions.col("n"))).collect()}
-    assert all(tested[n] for n in numbers[:-1]) and sum(tested.values()) < 40
+    held_ = spark.createDataFrame([(n,) for n in numbers], "n long")
+    rows = spark.range(-200_000, 200_000, 7).unionByName(held_.withColumnRenamed("n", "id")).selectExpr("id AS n", "1 AS _word")
+    n = F.col("n")
+    may = sieve.sieve(held_, "n", 16)
+    tested = {r.n for r in rows.filter(may(n)).collect()}
+    keep = sieve.keeper(held_, "n", 16)
+    held, others = ({r.n for r in keep(rows, n, side).collect()} for side in (True, False))
+    assert held == tested and set(numbers[:-1]) <= held and len(held) < 40
+    assert keep(rows, n).columns == rows.columns and held.isdisjoint(others) and len(held) + len(others) == rows.distinct().count()
+    none = sieve.keeper(held_.limit(0), "n")
+    assert none(rows, n).count() == 0 and none(rows, n, False).count() == rows.count()
