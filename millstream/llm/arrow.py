@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def bound_batches(spark: SparkSession, limit: int = BATCH_BYTES) -> None:

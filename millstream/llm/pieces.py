@@ -24,8 +24,8 @@ from millstream.llm.arrow import add_columns
 MARK = "▁"
 CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Distinct chunks that a worker's table holds before it starts afresh, and characters cut into chunks at a time.
-TABLE_CHUNKS = 400_000
-SLICE_CHARS = 2_000_000
+TABLE_CHUNKS = 100_000
+SLICE_CHARS = 500_000
 
 
 def _load(model: bytes) -> sentencepiece.SentencePieceProcessor:
@@ -134,8 +134,12 @@ def decode(df: DataFrame, model_path: str, ids: str = "ids", decoded: str = "dec
         sp = _load(model)
 
         def work(columns: list[pa.Array]) -> list[pa.Array]:
-            rows = [[i for i in x if i is not None] if x else [] for x in columns[0].to_pylist()]
-            return [pa.array([sp.decode(x) if x else "" for x in rows], pa.string())]
+            rows = columns[0]
+            if rows.flatten().null_count:
+                rows = pa.array([[i for i in x or () if i is not None] for x in rows.to_pylist()], pa.list_(pa.int32()))
+            # From numpy a row at a time: as Python objects the ids of a whole batch take many times their bytes.
+            values, offsets = rows.values.to_numpy(zero_copy_only=False), rows.offsets.to_numpy()
+            return [pa.array([sp.decode(values[a:b].tolist()) if a < b else "" for a, b in zip(offsets, offsets[1:])], pa.string())]
 
         return work
 
