@@ -33,13 +33,13 @@ from pyspark.sql import types as T
 
 from millstream.llm.arrow import add_columns, bound_batches
 from millstream.llm.components import components
-from millstream.llm.sieve import sieve
+from millstream.llm.sieve import keeper
 from millstream.session import stored
 
 BLOCK = 2048
 #: Ranges of the upper bound, and fragments in which overlaps are counted.
 RANGES, FRAGMENTS = 128, 16
-WORDS_KEPT = 400_000
+WORDS_KEPT = 100_000
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _U = np.uint64
 
@@ -244,7 +244,7 @@ def _pairs(cells: DataFrame, num: int) -> DataFrame:
 
 def _segments(docs: DataFrame, rows: DataFrame, n: int, key: str, text: str) -> DataFrame:
     """(row, f, grams): the segments in FRAGMENTS even ranges of the sets of these rows, and of few others."""
-    asked = docs.select(F.xxhash64(key, text).alias("row"), F.col(text).alias("text")).filter(sieve(rows, "row")(F.col("row")))
+    asked = keeper(rows, "row")(docs.select(F.xxhash64(key, text).alias("row"), F.col(text).alias("text")), F.col("row"))
 
     def start():
         shingles = Shingles(n)
@@ -273,27 +273,34 @@ def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, num: int
     segments = _segments(docs, rows, n, key, text).groupBy("row", "f").agg(F.first("grams").alias("grams"))
     each = sized.withColumn("f", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))))
     left, right = segments.withColumnsRenamed({"row": "x", "grams": "gx"}), segments.withColumnsRenamed({"row": "y", "grams": "gy"})
-    parts = each.join(left, ["x", "f"]).join(right, ["y", "f"]).select("a", "b", "na", "nb", F.size(F.array_intersect("gx", "gy")).alias("part"))
+    # Sorted joins: by the size of its files Spark would take the sixteenfold list of pairs for small.
+    parts = each.hint("merge").join(left, ["x", "f"]).join(right.hint("merge"), ["y", "f"]).select("a", "b", "na", "nb", F.size(F.array_intersect("gx", "gy")).alias("part"))
     whole = parts.groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("both"))
     return whole.filter(F.col("both") * 100 >= num * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
 
 
-def similar(docs: DataFrame, n: int = 5, num: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
+def similar(docs: DataFrame, n: int = 5, num: int = 80, key: str = "doc_id", text: str = "text", store_keys: bool = True) -> DataFrame:
     """(key, row, n_shingles, component_id): a row for each row of `docs`, with the smallest key that it is linked to.
 
     Two texts are linked when 100 * |intersection| >= num * |union| of their sets of word n-grams (see `Shingles`);
     links hold on from text to text. row is a hash of key and text. Texts without words are linked with nothing, nor
     are they with each other: their component is their own key. Rows that repeat key and text, and keys with several
     texts, are rows each. A null key counts for its links, and is never the smallest unless there is no other.
+
+    store_keys: whether meeting places are kept between the two passes over them, or made anew, which takes more time
+    and, at low similarities, much less disk.
     """
-    each = stored(signatures(docs, n, num, key, text), "jaccard-signatures")
+    made = signatures(docs, n, num, key, text)
+    each = stored(made if store_keys else made.drop("keys"), "jaccard-signatures")
     some = each.filter("n > 0")
-    keys = some.select("s", F.explode("keys").alias("key"))
+    keys = (some if store_keys else made.filter("n > 0")).select("s", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("s").alias("x"), F.max("s").alias("y")).filter("x <> y").select("key")
     shared = stored(shared, "jaccard-keys")
-    met = stored(keys.filter(sieve(shared, "key", 23)(F.col("key"))).join(shared, "key").distinct(), "jaccard-met")
-    near = some.join(met.select("s").distinct(), "s", "left_semi").groupBy("s").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("ranges").alias("ranges"))
-    nodes = stored(near, "jaccard-nodes")
+    met = stored(keeper(shared, "key")(keys, F.col("key")).join(shared, "key").distinct(), "jaccard-met")
+    # Copies are counted down to one row a task before they are shuffled.
+    sets = some.groupBy("s").agg(F.min("row").alias("row"), F.min("id").alias("id"), F.first("n").alias("n"), F.first("ranges").alias("ranges"))
+    sets = stored(sets, "jaccard-sets")
+    nodes = stored(sets.drop("id").join(met.select("s").distinct(), "s", "left_semi"), "jaccard-nodes")
     first = stored(_links(_stars(met, nodes, num), nodes, docs, n, num, key, text), "jaccard-links")
     found = components(first)
     labelled = stored(nodes.join(found, "s", "left").withColumn("c", F.coalesce("c", "s")), "jaccard-labelled")
@@ -301,7 +308,7 @@ def similar(docs: DataFrame, n: int = 5, num: int = 80, key: str = "doc_id", tex
     open_ = met.join(split.select("key"), "key")
     second = _links(_pairs(_cells(open_, labelled), num), nodes, docs, n, num, key, text)
     found = components(first.unionByName(second))
-    classes = some.groupBy("s").agg(F.min("id").alias("id")).join(found, "s", "left").select("s", "id", F.coalesce("c", "s").alias("c"))
+    classes = sets.select("s", "id").join(found, "s", "left").select("s", "id", F.coalesce("c", "s").alias("c"))
     smallest = classes.groupBy("c").agg(F.min("id").alias("component_id"))
     of = classes.select("s", "c").join(smallest, "c").select("s", "component_id")
     joined = some.select("id", "row", "n", "s").join(of, "s").select("id", "row", "n", "component_id")
@@ -315,16 +322,16 @@ def keep_one(docs: DataFrame, n: int = 5, num: int = 80, key: str = "doc_id", te
     Rows that repeat key and text wholly are one; of their other columns the smallest values stay. Rows without words or
     without key all stay.
     """
-    found = stored(similar(docs, n, num, key, text), "jaccard-found")
+    found = stored(similar(docs, n, num, key, text, store_keys=False), "jaccard-found")
     own = "_" * max(map(len, docs.columns)) + "row"
     worded = found.filter((F.col("n_shingles") > 0) & F.col("component_id").isNotNull())
     best = worded.groupBy("component_id").agg(F.min(F.struct(F.col(key).isNull().alias("no"), F.col(key).alias("id"), "row")).alias("best"), F.count("*").alias("rows"))
     several = worded.join(best.filter("rows > 1"), "component_id")
     marks = several.select("row", (F.col("row") == F.col("best.row")).alias("stays")).groupBy("row").agg(F.max("stays").alias("stays"), F.count("*").alias("times"))
     marks = stored(marks.filter("NOT stays OR times > 1"), "jaccard-marks")
-    may = sieve(marks, "row")
+    keep = keeper(marks, "row")
     rows = docs.withColumn(own, F.xxhash64(key, text))
-    judged = rows.filter(may(F.col(own))).join(marks.withColumnRenamed("row", f"{own}2"), F.col(own) == F.col(f"{own}2"), "left")
+    judged = keep(rows, F.col(own)).join(marks.withColumnRenamed("row", f"{own}2"), F.col(own) == F.col(f"{own}2"), "left")
     kept = judged.filter(F.col("stays").isNull()).select(*docs.columns)
     again = judged.filter("stays").groupBy(own).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("m")).select("m.*")
-    return rows.filter(~may(F.col(own))).select(*docs.columns).unionByName(kept).unionByName(again)
+    return keep(rows, F.col(own), False).select(*docs.columns).unionByName(kept).unionByName(again)
