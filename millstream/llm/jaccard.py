@@ -40,6 +40,8 @@ BLOCK = 2048
 #: Ranges of the upper bound, and fragments in which overlaps are counted.
 RANGES, FRAGMENTS = 128, 16
 WORDS_KEPT = 100_000
+#: Bits of the table of shared meeting places, of which there are many: 8 MB at most.
+KEY_BITS = 25
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _U = np.uint64
 
@@ -296,7 +298,7 @@ def similar(docs: DataFrame, n: int = 5, num: int = 80, key: str = "doc_id", tex
     keys = (some if store_keys else made.filter("n > 0")).select("s", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("s").alias("x"), F.max("s").alias("y")).filter("x <> y").select("key")
     shared = stored(shared, "jaccard-keys")
-    met = stored(keeper(shared, "key")(keys, F.col("key")).join(shared, "key").distinct(), "jaccard-met")
+    met = stored(keeper(shared, "key", KEY_BITS)(keys, F.col("key")).join(shared, "key").distinct(), "jaccard-met")
     # Copies are counted down to one row a task before they are shuffled.
     sets = some.groupBy("s").agg(F.min("row").alias("row"), F.min("id").alias("id"), F.first("n").alias("n"), F.first("ranges").alias("ranges"))
     sets = stored(sets, "jaccard-sets")

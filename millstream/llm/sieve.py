@@ -40,7 +40,7 @@ def keeper(numbers: DataFrame, column: str, bits: int = 23) -> Callable[..., Dat
     """As `sieve` for whole rows: keep(df, number) has the rows of `df` whose number may be among those of `numbers`, and
     keep(df, number, False) the others, null numbers with them.
 
-    The bits are a table of 2^bits / 64 rows at most, which is broadcast (2 MB for 2^23), so plans hold no large literal.
+    The bits are a table of 2^bits / 64 rows at most, which is broadcast (2 MB for 2^23, 8 MB for 2^25), so plans hold no large literal.
     """
     place = F.pmod(F.col(column), F.lit(1 << bits))
     parts = numbers.filter(F.col(column).isNotNull()).select(F.floor(place / 64).cast("int").alias("_word"), (place % 64).cast("int").alias("_at"))
