@@ -282,12 +282,14 @@ def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, num: int
 
 
 def similar(docs: DataFrame, n: int = 5, num: int = 80, key: str = "doc_id", text: str = "text", store_keys: bool = True) -> DataFrame:
-    """(key, row, n_shingles, component_id): a row for each row of `docs`, with the smallest key that it is linked to.
+    """(key, row, n_shingles, component_id, component): a row for each row of `docs`, with the smallest key that it is linked to.
 
     Two texts are linked when 100 * |intersection| >= num * |union| of their sets of word n-grams (see `Shingles`);
     links hold on from text to text. row is a hash of key and text. Texts without words are linked with nothing, nor
     are they with each other: their component is their own key. Rows that repeat key and text, and keys with several
     texts, are rows each. A null key counts for its links, and is never the smallest unless there is no other.
+    component tells components apart, also those with the same smallest key or none: the smallest hash of their sets,
+    null for texts without words.
 
     store_keys: whether meeting places are kept between the two passes over them, or made anew, which takes more time
     and, at low similarities, much less disk.
@@ -312,23 +314,23 @@ def similar(docs: DataFrame, n: int = 5, num: int = 80, key: str = "doc_id", tex
     found = components(first.unionByName(second))
     classes = sets.select("s", "id").join(found, "s", "left").select("s", "id", F.coalesce("c", "s").alias("c"))
     smallest = classes.groupBy("c").agg(F.min("id").alias("component_id"))
-    of = classes.select("s", "c").join(smallest, "c").select("s", "component_id")
-    joined = some.select("id", "row", "n", "s").join(of, "s").select("id", "row", "n", "component_id")
-    rest = each.filter("n = 0").select("id", "row", "n", F.col("id").alias("component_id"))
-    return joined.unionByName(rest).select(F.col("id").alias(key), "row", F.col("n").alias("n_shingles"), "component_id")
+    of = classes.select("s", "c").join(smallest, "c").select("s", "component_id", F.col("c").alias("component"))
+    joined = some.select("id", "row", "n", "s").join(of, "s").select("id", "row", "n", "component_id", "component")
+    rest = each.filter("n = 0").select("id", "row", "n", F.col("id").alias("component_id"), F.lit(None).cast("long").alias("component"))
+    return joined.unionByName(rest).select(F.col("id").alias(key), "row", F.col("n").alias("n_shingles"), "component_id", "component")
 
 
 def keep_one(docs: DataFrame, n: int = 5, num: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`docs` with one row of each component of `similar`: that of the smallest key, then of the smallest hash.
 
-    Rows that repeat key and text wholly are one; of their other columns the smallest values stay. Rows without words or
-    without key all stay.
+    Rows that repeat key and text wholly are one; of their other columns the smallest values stay. Rows without words
+    all stay. A row without key stays if its component has none with a key, and no smaller hash.
     """
     found = stored(similar(docs, n, num, key, text, store_keys=False), "jaccard-found")
     own = "_" * max(map(len, docs.columns)) + "row"
-    worded = found.filter((F.col("n_shingles") > 0) & F.col("component_id").isNotNull())
-    best = worded.groupBy("component_id").agg(F.min(F.struct(F.col(key).isNull().alias("no"), F.col(key).alias("id"), "row")).alias("best"), F.count("*").alias("rows"))
-    several = worded.join(best.filter("rows > 1"), "component_id")
+    worded = found.filter("n_shingles > 0").select(key, "row", "component")
+    best = worded.groupBy("component").agg(F.min(F.struct(F.col(key).isNull().alias("no"), F.col(key).alias("id"), "row")).alias("best"), F.count("*").alias("rows"))
+    several = worded.join(best.filter("rows > 1"), "component")
     marks = several.select("row", (F.col("row") == F.col("best.row")).alias("stays")).groupBy("row").agg(F.max("stays").alias("stays"), F.count("*").alias("times"))
     marks = stored(marks.filter("NOT stays OR times > 1"), "jaccard-marks")
     keep = keeper(marks, "row")

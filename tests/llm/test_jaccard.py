@@ -108,6 +108,16 @@ def test_keep_one(spark):
     assert sorted((r.doc_id or 0, r.s) for r in kept.collect()) == [(0, 6), (1, 1), (5, 3), (6, 4), (7, 5)]
 
 
+def test_keep_one_goes_by_component_not_by_key(spark):
+    """One key over texts that aren't near each other keeps them all; near copies without key are one."""
+    first, other = " ".join(f"u{i}" for i in range(40)), " ".join(f"v{i}" for i in range(40))
+    lone = " ".join(f"n{i}" for i in range(40))
+    rows = [(1, first), (1, other), (2, first + " more"), (None, lone), (None, lone + " more"), (None, lone), (None, other + " more")]
+    df = spark.createDataFrame([(*r, "x", i, 2) for i, r in enumerate(rows)], SCHEMA)
+    kept = sorted(r.s for r in jaccard.keep_one(df).collect())
+    assert kept[:2] == [0, 1] and len(kept) == 3 and kept[2] in (3, 4)
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).unionByName(spark.createDataFrame([(500, 400), (7, 7), (None, 1)], "a long, b long"))
     found = {r.s: r.c for r in components(links).collect()}
