@@ -43,8 +43,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item, nor one with its values exchanged."""
-    found = decontaminate.leaks(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    """Documents that hold no benchmark item, nor a passage of one, nor either with its values exchanged."""
+    found = decontaminate.leaks(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), run=decontaminate.RUN)
     return decontaminate.clean(docs.select(*COLUMNS), stored(found, "pipeline-leaks"))
 
 

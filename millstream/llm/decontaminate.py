@@ -23,6 +23,8 @@ WINDOW, WORDS = 6, 4
 LEAST_TOKENS = 4
 #: Share of an item's windows that must be in a text.
 SHARE = 0.4
+#: Adjoining tokens of an item that are a passage of it, however long the item is.
+RUN = 13
 #: Units of measure, told as such after a number.
 UNITS = (
     "mm cm dm m km in ft yd mi mile miles inch inches foot feet yard yards meter meters metre metres kilometer kilometers "
@@ -75,9 +77,61 @@ def items(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> Dat
     return each.withColumn("total", F.count("*").over(Window.partitionBy("item", "text")))  # the windows of one item
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", share: float = SHARE) -> DataFrame:
+def _values(found: Column) -> Column:
+    """Tokens in lower case without marks."""
+    return F.transform(found, lambda x: F.rtrim(F.lower(x), F.lit(".!?")))
+
+
+def _copies(docs: DataFrame, benchmark: DataFrame, parts: DataFrame, key: str, text: str, item_key: str, item_text: str) -> DataFrame:
+    """(id, doc, item): texts with an exact copy, up to case, of an item without eligible window.
+
+    Items of fewer than LEAST_TOKENS tokens must be a line of their own, as within a sentence anyone may use these words.
+    """
+    rows = benchmark.select(F.col(item_key).alias("item"), tokens(F.col(item_text)).alias("w")).filter(F.size("w") > 0).withColumn("text", F.xxhash64("w"))
+    rows = rows.join(parts.select("text").distinct(), "text", "left_anti").select("item", _values(F.col("w")).alias("v")).distinct()
+    rows = rows.withColumns({"n": F.least(F.size("v"), F.lit(WINDOW)), "lone": F.size("v") < LEAST_TOKENS})
+    whole = stored(rows.withColumn("h", F.xxhash64(F.slice("v", F.lit(1), F.col("n")))), "benchmark-whole")
+    kinds = whole.groupBy("lone", "n").agg(F.max(F.size("v")).alias("most")).collect()  # no more than WINDOW rows
+    own = docs.select(F.col(key).alias("id"), F.xxhash64(key, text).alias("doc"), F.col(text).alias("t"))
+    made = own.limit(0).select("id", "doc").crossJoin(whole.limit(0).select("item"))
+    if any(not k.lone for k in kinds):
+        sizes, most = sorted(k.n for k in kinds if not k.lone), max(k.most for k in kinds if not k.lone)
+        some = whole.filter("NOT lone")
+        may = sieve(some, "h")
+        near = own.select("id", "doc", _values(tokens(F.col("t"))).alias("c")).withColumn("s", F.flatten(F.array(*[_places(n, may) for n in sizes])))
+        near = near.withColumn("s", F.explode_outer("s")).filter("s IS NOT NULL")
+        near = near.select("id", "doc", F.xxhash64(F.slice("c", F.col("s.at"), F.col("s.n"))).alias("h"), F.slice("c", F.col("s.at"), F.lit(most)).alias("u"))
+        held = near.join(some, "h").filter(F.slice("u", F.lit(1), F.size("v")) == F.col("v"))
+        made = made.unionByName(held.select("id", "doc", "item"))
+    if any(k.lone for k in kinds):
+        some = whole.filter("lone")
+        may = sieve(some, "h")
+        each = F.array_distinct(F.transform(F.split("t", "\n"), lambda x: _values(tokens(x))))
+        near = own.select("id", "doc", F.explode_outer(F.filter(each, lambda u: may(F.xxhash64(u)))).alias("u")).filter("u IS NOT NULL")
+        held = near.withColumn("h", F.xxhash64("u")).join(some, "h").filter(F.col("u") == F.col("v"))
+        made = made.unionByName(held.select("id", "doc", "item"))
+    return made.distinct()
+
+
+def _longest_run(ats: Column, n: Column) -> Column:
+    """Most adjoining tokens that windows of n tokens cover. ats: their distinct places."""
+
+    def step(x: Column, at: Column) -> Column:
+        start = F.when(at <= x["to"] + 1, x["start"]).otherwise(at)
+        return F.struct(start.alias("start"), (at + n - 1).alias("to"), F.greatest(x["most"], at + n - start).alias("most"))
+
+    none = F.struct(F.lit(0).alias("start"), F.lit(-1).alias("to"), F.lit(0).alias("most"))
+    return F.aggregate(F.array_sort(ats), none, step, lambda x: x["most"])
+
+
+def leaks(
+    docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", share: float = SHARE, run: int | None = None
+) -> DataFrame:
     """(key, doc, item, windows, share, changed): each text with each item that it holds, where it holds `share` of it.
 
+    run: with it, texts that hold so many adjoining tokens of an item along one alignment are found too, and exact copies
+    of items without eligible window (see `_copies`), which count as one window.
+
     doc: a hash of key and text, which rows that repeat both have in common; they are one. windows: of the item, found in
     alignments whose values agree; changed: placeholders whose value differs. Null and empty texts hold nothing, and
     neither does a null id keep a text from being found.
@@ -94,20 +148,24 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     near = stored(near.withColumn("h", F.xxhash64("c")), "benchmark-near")
     met = near.join(parts, ["h", "c"]).withColumn("line", F.col("place") - F.col("at"))
     one = ["id", "doc", "item", "text", "line"]
-    met = stored(met.select(*one, "total", "at", F.arrays_zip("c", "v", "u").alias("z")), "benchmark-met")
+    met = stored(met.select(*one, "total", "n", "at", F.arrays_zip("c", "v", "u").alias("z")), "benchmark-met")
     slots = F.filter("z", lambda x: F.startswith(x["c"], F.lit("#")))
     pairs = met.select(*one, F.explode(slots).alias("s")).select(*one, "s.c", "s.v", "s.u").distinct()
     bad = pairs.groupBy(*one).agg(
         F.count("*").alias("pairs"), F.countDistinct("c", "v").alias("vs"), F.countDistinct("c", "u").alias("us"), F.count_if(F.col("v") != F.col("u")).alias("changed")
     )
-    lines = met.groupBy(*one, "total").agg(F.collect_set("at").alias("ats"))
+    lines = met.groupBy(*one, "total", "n").agg(F.collect_set("at").alias("ats"))
     joined = lines.alias("l").join(bad.alias("b"), [F.col(f"l.{c}").eqNullSafe(F.col(f"b.{c}")) for c in one], "left")
     fits = F.col("b.pairs").isNull() | ((F.col("b.pairs") == F.col("b.vs")) & (F.col("b.pairs") == F.col("b.us")))
     good = joined.filter(fits).select("l.*", F.coalesce("b.changed", F.lit(0)).alias("changed"))
     found = good.groupBy("id", "doc", "item", "text", "total").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("windows"), F.max("changed").alias("changed")
+        F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("windows"), F.max("changed").alias("changed"), F.max(_longest_run(F.col("ats"), F.col("n"))).alias("run")
     )
-    found = found.withColumn("share", F.col("windows") / F.col("total")).filter(F.col("share") >= share)
+    found = found.withColumn("share", F.col("windows") / F.col("total"))
+    found = found.filter((F.col("share") >= share) | (F.col("run") >= run if run else F.lit(False))).select("id", "doc", "item", "share", "windows", "changed")
+    if run:
+        copies = _copies(docs, benchmark, parts, key, text, item_key, item_text)
+        found = found.unionByName(copies.select("*", F.lit(1.0).alias("share"), F.lit(1).alias("windows"), F.lit(0).alias("changed")))
     best = found.groupBy("id", "doc", "item").agg(F.max(F.struct("share", "windows", "changed")).alias("m"))
     return best.select(F.col("id").alias(key), "doc", F.col("item").alias(item_key), F.col("m.windows").cast("long").alias("windows"), "m.share", "m.changed")
 

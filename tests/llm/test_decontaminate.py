@@ -36,6 +36,25 @@ def test_odd_rows(spark):
     assert found(spark, docs, []) == {} and found(spark, [], items) == {}
 
 
+def passages(spark, docs, items):
+    df = spark.createDataFrame([(*d, "x", 1) for d in docs], DOCS)
+    bench = spark.createDataFrame(list(items), "item_id long, text string")
+    return {(r.doc_id, r.item_id) for r in decontaminate.leaks(df, bench, run=decontaminate.RUN).collect()}
+
+
+def test_passages_and_items_without_windows(spark):
+    """A passage of a long item is found whatever its share, and so is a copy of an item without plain words enough."""
+    long = " ".join(f"{a}{b}" for a in ("ka", "mo", "ri", "tu", "ve", "so", "ni", "pa", "lo", "de") for b in ("bel", "dor", "fin", "gar", "hol", "jup"))
+    words = long.split()
+    items = [(1, long), (2, "1 2 3 4 5 6 7 8"), (3, "two words")]
+    docs = [
+        (1, "before " + " ".join(words[10:30]) + " after"), (2, "before " + " ".join(words[10:22]) + " after"), (3, "sum of 1 2 3 4 5 6 7 8 here"),
+        (4, "1 2 3 4 5 6 7 9"), (5, "a line\nTwo words.\nmore"), (6, "these two words are common"), (None, "1, 2, 3, 4, 5, 6, 7, 8"), (7, None),
+    ]
+    assert passages(spark, docs, items) == {(1, 1), (3, 2), (None, 2), (5, 3)}
+    assert passages(spark, docs, []) == set()
+
+
 def test_clean_keeps_the_others(spark):
     df = spark.createDataFrame([(1, ITEM, "x", 1), (2, "clean text", "x", 2), (None, None, "x", 3), (None, ITEM, "x", 4), (2, ITEM, "x", 5)], DOCS)
     bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
