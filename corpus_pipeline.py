@@ -30,8 +30,8 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that an earlier line repeats; a document of which nothing is left goes."""
-    made = lines.dedup(docs.select(*COLUMNS))
+    """Documents without lines that an earlier line repeats, however short; a document of which nothing is left goes."""
+    made = lines.dedup(docs.select(*COLUMNS), least_words=1)
     left = made.filter((F.col("n_dropped") == 0) | (F.trim("text") != ""))
     size = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", size.cast(docs.schema["n_chars"].dataType)).select(*COLUMNS)

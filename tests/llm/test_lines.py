@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+import corpus_pipeline
 from millstream.llm import lines
 
 SCHEMA = "doc_id long, text string, n_lines string, h int"
@@ -76,6 +77,16 @@ def test_odd_rows(spark):
     assert run(spark, []) == []
 
 
+def test_pipeline_drops_short_repeats(spark):
+    """Exact repeats of any line that isn't empty go in the pipeline, also of a line without blanks."""
+    link = "https://example.org/" + "x" * 300
+    chinese = "這是一行沒有空格的文字而且重複出現"
+    rows = [(1, f"Les.\n\n{link}"), (2, f"Les.\n\nown words\n{link}"), (3, f"{chinese}\nOf, edti  oner.\n"), (4, f"{chinese}\nOf, edti oner.\nlast"), (5, "Les."), (6, "\n \n")]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id: r.text for r in corpus_pipeline.drop_lines(spark, df, "").collect()}
+    assert kept == {1: rows[0][1], 2: "\nown words", 3: rows[2][1], 4: "last", 6: "\n \n"}
+
+
 def test_long_lines(spark):
     words = [f"w{i}" for i in range(30_000)]
     other = words[:20_000] + ["new"] + words[20_001:]
