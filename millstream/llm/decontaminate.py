@@ -124,13 +124,49 @@ def _longest_run(ats: Column, n: Column) -> Column:
     return F.aggregate(F.array_sort(ats), none, step, lambda x: x["most"])
 
 
+def _consistent(met: DataFrame, one: list[str]) -> DataFrame:
+    """(one, total, n, ats, changed): windows of each alignment whose values stand for each other one to one throughout."""
+    slots = F.filter("z", lambda x: F.startswith(x["c"], F.lit("#")))
+    pairs = met.select(*one, F.explode(slots).alias("s")).select(*one, "s.c", "s.v", "s.u").distinct()
+    bad = pairs.groupBy(*one).agg(
+        F.count("*").alias("pairs"), F.countDistinct("c", "v").alias("vs"), F.countDistinct("c", "u").alias("us"), F.count_if(F.col("v") != F.col("u")).alias("changed")
+    )
+    lines = met.groupBy(*one, "total", "n").agg(F.collect_set("at").alias("ats"))
+    joined = lines.alias("l").join(bad.alias("b"), [F.col(f"l.{c}").eqNullSafe(F.col(f"b.{c}")) for c in one], "left")
+    fits = F.col("b.pairs").isNull() | ((F.col("b.pairs") == F.col("b.vs")) & (F.col("b.pairs") == F.col("b.us")))
+    return joined.filter(fits).select("l.*", F.coalesce("b.changed", F.lit(0)).alias("changed"))
+
+
+def _agreeing(met: DataFrame, one: list[str]) -> DataFrame:
+    """(one, total, n, ats, changed): windows of each alignment that are verbatim, or whose values are the usual ones.
+
+    The usual value is the one that most places of the alignment with this value of the item have, verbatim ones first.
+    Values that differ in the item may have become equal.
+    """
+    met = met.distinct()  # rows that repeat id and text are one
+    slots = F.filter("z", lambda x: F.startswith(x["c"], F.lit("#")))
+    placed = met.select(*one, "at", F.posexplode("z").alias("k", "s")).filter(F.startswith("s.c", F.lit("#")))
+    slot = F.concat_ws(" ", "s.c", "s.v").alias("slot")
+    placed = placed.select(*one, (F.col("at") + F.col("k")).alias("place"), slot, F.col("s.u").alias("u"), (F.col("s.v") == F.col("s.u")).alias("same")).distinct()
+    counts = placed.groupBy(*one, "slot", "u", "same").agg(F.count("*").alias("times"))
+    usual = counts.groupBy(*one, "slot").agg(F.max(F.struct("times", "same", "u")).alias("m"))
+    usual = usual.groupBy(*one).agg(F.map_from_entries(F.collect_list(F.struct("slot", "m.u"))).alias("usual"))
+    joined = met.alias("l").join(usual.alias("b"), [F.col(f"l.{c}").eqNullSafe(F.col(f"b.{c}")) for c in one], "left").select("l.*", "b.usual")
+    verbatim = F.forall(slots, lambda x: x["v"] == x["u"])
+    as_usual = F.forall(slots, lambda x: F.element_at("usual", F.concat_ws(" ", x["c"], x["v"])) == x["u"])
+    differ = F.filter(slots, lambda x: x["v"] != x["u"])
+    good = joined.filter(verbatim | as_usual)
+    return good.groupBy(*one, "total", "n").agg(F.collect_set("at").alias("ats"), F.size(F.array_distinct(F.flatten(F.collect_list(differ)))).alias("changed"))
+
+
 def leaks(
     docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", share: float = SHARE, run: int | None = None
 ) -> DataFrame:
     """(key, doc, item, windows, share, changed): each text with each item that it holds, where it holds `share` of it.
 
     run: with it, texts that hold so many adjoining tokens of an item along one alignment are found too, and exact copies
-    of items without eligible window (see `_copies`), which count as one window.
+    of items without eligible window (see `_copies`), which count as one window. Windows of an alignment are then judged
+    each (see `_agreeing`); without it, one value that disagrees refutes the whole alignment.
 
     doc: a hash of key and text, which rows that repeat both have in common; they are one. windows: of the item, found in
     alignments whose values agree; changed: placeholders whose value differs. Null and empty texts hold nothing, and
@@ -149,15 +185,7 @@ def leaks(
     met = near.join(parts, ["h", "c"]).withColumn("line", F.col("place") - F.col("at"))
     one = ["id", "doc", "item", "text", "line"]
     met = stored(met.select(*one, "total", "n", "at", F.arrays_zip("c", "v", "u").alias("z")), "benchmark-met")
-    slots = F.filter("z", lambda x: F.startswith(x["c"], F.lit("#")))
-    pairs = met.select(*one, F.explode(slots).alias("s")).select(*one, "s.c", "s.v", "s.u").distinct()
-    bad = pairs.groupBy(*one).agg(
-        F.count("*").alias("pairs"), F.countDistinct("c", "v").alias("vs"), F.countDistinct("c", "u").alias("us"), F.count_if(F.col("v") != F.col("u")).alias("changed")
-    )
-    lines = met.groupBy(*one, "total", "n").agg(F.collect_set("at").alias("ats"))
-    joined = lines.alias("l").join(bad.alias("b"), [F.col(f"l.{c}").eqNullSafe(F.col(f"b.{c}")) for c in one], "left")
-    fits = F.col("b.pairs").isNull() | ((F.col("b.pairs") == F.col("b.vs")) & (F.col("b.pairs") == F.col("b.us")))
-    good = joined.filter(fits).select("l.*", F.coalesce("b.changed", F.lit(0)).alias("changed"))
+    good = _agreeing(met, one) if run else _consistent(met, one)
     found = good.groupBy("id", "doc", "item", "text", "total").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("windows"), F.max("changed").alias("changed"), F.max(_longest_run(F.col("ats"), F.col("n"))).alias("run")
     )

@@ -55,6 +55,16 @@ def test_passages_and_items_without_windows(spark):
     assert passages(spark, docs, []) == set()
 
 
+def test_windows_are_judged_each(spark):
+    """One value that disagrees costs its own windows only, and values may become equal."""
+    item = "first we add 5 apples to the box and later we add 5 pears to the same box again today"
+    docs = [
+        (1, item.replace("5 apples", "7 apples")), (2, item.replace("5 apples", "7 apples").replace("5 pears", "9 pears")), (3, ITEM.replace("40", "30").replace("12", "30")),
+        (3, ITEM.replace("40", "30").replace("12", "30")), (4, "first we add 7 apples to the pot and stir"), (None, item.replace("5", "8")),
+    ]
+    assert passages(spark, docs, [(1, item), (2, ITEM)]) == {(1, 1), (2, 1), (3, 2), (None, 1)}
+
+
 def test_clean_keeps_the_others(spark):
     df = spark.createDataFrame([(1, ITEM, "x", 1), (2, "clean text", "x", 2), (None, None, "x", 3), (None, ITEM, "x", 4), (2, ITEM, "x", 5)], DOCS)
     bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
