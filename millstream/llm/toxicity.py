@@ -13,6 +13,7 @@ from __future__ import annotations
 import random
 import re
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,8 @@ NOISE = re.compile(r"[\W\d_]+")
 WINDOW, LEVEL, PREFIX = 32, 15, 5
 ORDINARY_BYTES, TOXIC_BYTES = 16384, 4096
 STEPS = (1, 2, 3, 4, 5, 6)
-#: Likelihood ratio that some 20,000 beginnings don't reach by chance: twice the logarithm of their number.
-CHANCE = 20.0
+#: Chance that any beginning at all passes for a mark in texts that no word marks.
+CHANCE = 0.01
 #: Bounds of the training sample: texts of either class, windows of an ordinary text, bytes of a toxic text's words,
 #: beginnings of toxic words.
 SAMPLE = {1: 4000, 0: 8000}
@@ -126,8 +127,8 @@ class ToxicityModel:
 def _beginnings(sample: DataFrame) -> list[str]:
     """First letters of words that mark toxic texts: with more than 4 times the share of toxic texts, beyond chance.
 
-    Those with less than a tenth of the tenth highest likelihood ratio are left out, as chance finds more of them the
-    more words there are.
+    As chance finds more of them the more there are, the limit of the likelihood ratio goes by the number of beginnings
+    tested (Bonferroni), and by nothing else.
     """
 
     def run(batches):
@@ -141,7 +142,8 @@ def _beginnings(sample: DataFrame) -> list[str]:
 
     each = sample.filter("half").select("label", "text").mapInArrow(run, "label long, b string")
     counts = each.groupBy("b").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("ordinary"))
-    total = counts.filter("b IS NULL").select(F.col("toxic").alias("n1"), F.col("ordinary").alias("n0"))
+    texts = F.col("b").isNull()
+    total = counts.agg(F.max(F.when(texts, F.col("toxic"))).alias("n1"), F.max(F.when(texts, F.col("ordinary"))).alias("n0"), F.count_if(F.length("b") > 3).alias("tested"))
     part = F.col("toxic") + F.col("ordinary")
     e1 = part * F.col("n1") / (F.col("n1") + F.col("n0"))
     e0 = part * F.col("n0") / (F.col("n1") + F.col("n0"))
@@ -152,10 +154,10 @@ def _beginnings(sample: DataFrame) -> list[str]:
     ratio = 2 * (term(F.col("toxic"), e1) + term(F.col("ordinary"), e0))
     share = (F.col("toxic") + 0.5) / (F.col("n1") + 1) / ((F.col("ordinary") + 0.5) / (F.col("n0") + 1))
     marked = counts.filter("b IS NOT NULL AND length(b) > 3 AND toxic > 2").crossJoin(F.broadcast(total))  # one row
-    marked = marked.withColumn("g", ratio).filter((share > 4) & (F.col("g") >= CHANCE))
-    found = marked.orderBy(F.desc("g"), "b").limit(BEGINNINGS).select("b", "g").collect()
-    least = 0.1 * found[9].g if len(found) > 9 else 0.0
-    return [r.b for r in found if r.g >= least]
+    marked = marked.withColumn("g", ratio).filter(share > 4)
+    found = marked.orderBy(F.desc("g"), "b").limit(BEGINNINGS).select("b", "g", "tested").collect()
+    # The ratio is a squared normal number where the word marks nothing.
+    return [r.b for r in found if r.g >= NormalDist().inv_cdf(CHANCE / r.tested / 2) ** 2]
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text") -> DataFrame:

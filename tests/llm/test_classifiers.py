@@ -96,6 +96,23 @@ def test_toxicity_learns_words(spark):
     assert auc([r.score for r in tested], [r.doc_id % 4 == 0 for r in tested]) > 0.97
 
 
+def test_toxicity_learns_rare_words_beside_frequent_ones(spark):
+    """Words in few toxic texts and no ordinary ones count, however frequent ten others are."""
+    rng = random.Random(4)
+    made = lambda n: ["".join(rng.choice("abcdefghijklmnop") for _ in range(8)) for _ in range(n)]
+    words, frequent, rare = made(300), made(10), made(20)
+    rows = []
+    for i in range(2100):
+        own = [rng.choice(words) for _ in range(25)]
+        if i % 3 == 0:
+            own[3:3] = [*rng.sample(frequent, 9), rng.choice(rare)]
+        rows.append((i, " ".join(own), "x"))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.range(2100).select(F.col("id").alias("doc_id"), (F.col("id") % 3 == 0).cast("int").alias("toxic"))
+    marks = toxicity._beginnings(toxicity.training_sample(docs, labels))
+    assert len({w[:5] for w in rare} & set(marks)) >= 16 and not {w[:5] for w in words} & set(marks)
+
+
 @pytest.mark.parametrize("toxic", [None, 0, 1])
 def test_toxicity_of_odd_rows(spark, toxic):
     df = spark.createDataFrame(ODD, SCHEMA)
