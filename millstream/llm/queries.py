@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millstream.llm import decontaminate, jaccard, language, lines, pieces, quality, secrets, sharding, topk, toxicity
+from millstream.llm import decontaminate, jaccard, language, lines, pieces, quality, secrets, sharding, topk, toxicity, vectorcodes
 from millstream.session import stored
 from millstream.sources.readers import table
 
@@ -243,3 +244,50 @@ def op10_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without repeated lines, as a digest."""
     made = lines.dedup(table(spark, folder, "documents").select("doc_id", "text"))
     return made.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
+
+def _sql_near(books: str, parts: str = "p") -> str:
+    """(vec_id, p, j, d): the nearest entry of every part in DuckDB, of equally near ones the lowest."""
+    return f"""
+        SELECT vec_id, p, m.j AS j, m.d AS d FROM (
+            SELECT vec_id, p, min({{'d': list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'j': j}}) AS m
+            FROM {parts} JOIN {books} USING (p) GROUP BY vec_id, p)"""
+
+
+def _sql_moved(books: str, near: str) -> str:
+    """Codebooks with every entry that has parts at their mean in DuckDB."""
+    return f"""
+        SELECT p, j, coalesce(m, c) AS c FROM {books} LEFT JOIN (
+            SELECT p, j, list(m ORDER BY k) AS m FROM (
+                SELECT p, j, k, CAST(floor(sum(x[k]) / count(*)) AS BIGINT) AS m
+                FROM (SELECT p, j, x, unnest(range(1, len(x) + 1)) AS k FROM {near} JOIN p USING (vec_id, p)) GROUP BY p, j, k) GROUP BY p, j) USING (p, j)"""
+
+
+@query(
+    "op11_vectorcodes",
+    f"""
+    WITH e AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+                            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    p AS MATERIALIZED (SELECT vec_id, p, v[p * w + 1:p * w + w] AS x FROM e, (SELECT unnest(range(16)) AS p), (SELECT max(len(v)) // 16 AS w FROM e)),
+    b0 AS MATERIALIZED (SELECT p, row_number() OVER w - 1 AS j, x AS c FROM p WINDOW w AS (PARTITION BY p ORDER BY vec_id) QUALIFY row_number() OVER w <= 64),
+    a0 AS MATERIALIZED ({_sql_near("b0")}), b1 AS MATERIALIZED ({_sql_moved("b0", "a0")}),
+    a1 AS MATERIALIZED ({_sql_near("b1")}), b2 AS MATERIALIZED ({_sql_moved("b1", "a1")}),
+    a2 AS MATERIALIZED ({_sql_near("b2")}),
+    r AS (SELECT vec_id, string_agg(format('{{:02x}}', j), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a2 GROUP BY vec_id),
+    h AS (SELECT sha256(string_agg(CAST(n AS VARCHAR), ',' ORDER BY p, j, k)) AS codebooks_sha256
+          FROM (SELECT p, j, unnest(c) AS n, unnest(range(len(c))) AS k FROM b2))
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+    FROM e JOIN r USING (vec_id), h
+    """,
+)
+def op11_vectorcodes(spark: SparkSession, folder: str) -> DataFrame:
+    """Code and error of every vector, with the error of its label and the digest of the codebooks."""
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    coded, books = vectorcodes.compress(vectors)
+    hexed = F.array_join(F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0")), "")
+    rows = coded.select("vec_id", "label", hexed.alias("code"), F.aggregate("errors", F.lit(0).cast("long"), lambda s, x: s + x).alias("error"))
+    # A label's sum that exceeds a long is null.
+    total = F.expr("try_cast(sum(CAST(error AS DECIMAL(38, 0))) AS BIGINT)")
+    by_label = rows.groupBy(F.col("label").alias("of")).agg(total.alias("label_error"))
+    digest = hashlib.sha256(",".join(map(str, books.ravel().tolist())).encode()).hexdigest()
+    found = rows.join(by_label, F.col("label").eqNullSafe(F.col("of")))
+    return found.select("vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
