@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millstream.llm import decontaminate, jaccard, language, lines, pieces, quality, secrets, sharding, topk, toxicity, vectorcodes
+from millstream.llm import decontaminate, jaccard, language, lines, pieces, quality, secrets, sharding, spelling, topk, toxicity, vectorcodes
 from millstream.session import stored
 from millstream.sources.readers import table
 
@@ -291,3 +292,38 @@ def op11_vectorcodes(spark: SparkSession, folder: str) -> DataFrame:
     digest = hashlib.sha256(",".join(map(str, books.ravel().tolist())).encode()).hexdigest()
     found = rows.join(by_label, F.col("label").eqNullSafe(F.col("of")))
     return found.select("vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
+def _one_in_97(key: str, word: str) -> str:
+    """The word without one code point, if 97 divides the CRC of key and word."""
+    h = zlib.crc32(f"{key}:{word}".encode())
+    at = h % len(word)
+    return word if h % 97 else word[:at] + word[at + 1 :]
+
+
+@query(
+    "op12_spelling",
+    r"""
+    WITH RECURSIVE r AS (SELECT doc_id, run, count(*) AS n, CAST(doc_id AS VARCHAR) || ':' || run AS s FROM (
+             SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run
+             FROM documents) GROUP BY doc_id, run),
+    x AS (SELECT run, n, hex(encode(s)) AS x FROM r),
+    c AS (SELECT run, n, xor(list_reduce([4294967295] || list_transform(range(4 * length(x)), lambda i:
+                 ((strpos('0123456789ABCDEF', substr(x, 2 * (i // 8) + 2 - (i % 8) // 4, 1)) - 1) >> (i % 4)) % 2),
+                 lambda c, b: xor(c // 2, 3988292384 * ((c + b) % 2))), 4294967295) AS h FROM x),
+    w AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+             SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM c)
+         WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+    v AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS v FROM (SELECT *, unnest(range(length(word))) AS i FROM w)),
+    p AS (SELECT a.word, b.word AS near, b.n AS near_n FROM v a JOIN v b ON a.v = b.v AND a.i = b.i AND a.word <> b.word
+          UNION SELECT v.word, w.word, w.n FROM v JOIN w ON v.v = w.word UNION SELECT w.word, v.word, v.n FROM v JOIN w ON v.v = w.word),
+    b AS (SELECT word, count(*) AS n_near, min({'less': -near_n, 'near': near}) AS best FROM p GROUP BY word),
+    f AS MATERIALIZED (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.less >= 2 * n THEN best.near END AS form, CASE WHEN -best.less >= 2 * n THEN -best.less END AS form_n
+          FROM w LEFT JOIN b USING (word)),
+    t AS (SELECT word, word AS root, 0 AS depth FROM f UNION ALL SELECT t.word, f.form, depth + 1 FROM t JOIN f ON t.root = f.word WHERE f.form IS NOT NULL)
+    SELECT word, form, l.root, n, n_near, form_n FROM f JOIN (SELECT word, arg_max(root, depth) AS root FROM t GROUP BY word) l USING (word)
+    """,
+)
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """Usual spelling of every frequent word of the documents, some of whose words lost a letter."""
+    return spelling.group(spelling.vocabulary(table(spark, folder, "documents"), key="doc_id", change=_one_in_97))
