@@ -7,10 +7,12 @@ import zlib
 from collections.abc import Callable
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from millstream.llm import decontaminate, jaccard, language, lines, pieces, quality, secrets, sharding, spelling, topk, toxicity, vectorcodes
+from millstream.llm import decontaminate, digests, jaccard, language, lines, neighbours, pieces, quality, secrets, sharding, spelling, topk, toxicity, vectorcodes
 from millstream.session import stored
 from millstream.sources.readers import table
 
@@ -327,3 +329,31 @@ def _one_in_97(key: str, word: str) -> str:
 def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
     """Usual spelling of every frequent word of the documents, some of whose words lost a letter."""
     return spelling.group(spelling.vocabulary(table(spark, folder, "documents"), key="doc_id", change=_one_in_97))
+
+
+def _edited(own: str | None, following: str | None) -> str:
+    """A text whose last third is replaced by as much of the beginning of the next one."""
+    own, following = own or "", following or ""
+    n = len(own) // 3
+    return own[: len(own) - n] + following[:n]
+
+
+@query("op13_digests")
+def op13_digests(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text, and how like the next document is."""
+    docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    ordered = neighbours.in_order(docs, F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
+    ordered = digests.fingerprint(ordered.withColumn("n_chars", F.length("text").cast("long")))
+
+    def start():
+        def work(own, following):
+            edited = [_edited(a, b) for a, b in zip(own[0].to_pylist(), following[0].to_pylist())]
+            shas = [hashlib.sha256(t.encode()).hexdigest() for t in edited]
+            return [pa.array(shas, pa.string()), pa.array(digests.digests(edited), pa.string()), following[1]]
+
+        return work
+
+    fields = [T.StructField(c, T.StringType()) for c in ("edited_sha256", "edited_fingerprint", "next_fingerprint")]
+    found = neighbours.add_from_next(ordered, ["text", "fingerprint"], fields, start, ["doc_id", "n_chars", "fingerprint"])
+    found = digests.likeness(found, "fingerprint", "edited_fingerprint", "near_edited")
+    return digests.likeness(found, "fingerprint", "next_fingerprint", "near_next").drop("next_fingerprint")
