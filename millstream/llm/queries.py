@@ -349,11 +349,12 @@ def op13_digests(spark: SparkSession, folder: str) -> DataFrame:
         def work(own, following):
             edited = [_edited(a, b) for a, b in zip(own[0].to_pylist(), following[0].to_pylist())]
             shas = [hashlib.sha256(t.encode()).hexdigest() for t in edited]
-            return [pa.array(shas, pa.string()), pa.array(digests.digests(edited), pa.string()), following[1]]
+            prints, changed = own[1].to_pylist(), digests.digests(edited)
+            likes = [digests.alike(prints, other).data for other in (changed, following[1].to_pylist())]
+            return [pa.array(shas, pa.string()), pa.array(changed, pa.string()), *[pa.array(x, pa.float64()) for x in likes]]
 
         return work
 
-    fields = [T.StructField(c, T.StringType()) for c in ("edited_sha256", "edited_fingerprint", "next_fingerprint")]
-    found = neighbours.add_from_next(ordered, ["text", "fingerprint"], fields, start, ["doc_id", "n_chars", "fingerprint"])
-    found = digests.likeness(found, "fingerprint", "edited_fingerprint", "near_edited")
-    return digests.likeness(found, "fingerprint", "next_fingerprint", "near_next").drop("next_fingerprint")
+    kinds = {"edited_sha256": "string", "edited_fingerprint": "string", "near_edited": "double", "near_next": "double"}
+    fields = T.StructType.fromDDL(", ".join(f"{c} {kind}" for c, kind in kinds.items())).fields
+    return neighbours.add_from_next(ordered, ["text", "fingerprint"], fields, start, ["doc_id", "n_chars", "fingerprint"])
