@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millstream.functions.cleaning import bitstring_alarm
@@ -9,7 +10,9 @@ from millstream.functions.timekeys import as_ntz
 from millstream.plans import alerts as alert_plans
 from millstream.plans import cycles as cycle_plans
 from millstream.plans.registry import ORACLES, Tables, query
+from millstream.session import shared_path
 from millstream.streaming import streams as st
+from millstream.streaming.ordered import SETTINGS
 
 
 def events(spark, sf):
@@ -55,8 +58,6 @@ def stream_session_segments(spark, sf):
 
 def with_closing_rows(spark, sf):
     """The event stream, then a second file with one reading per user far after the last one."""
-    from millstream.session import shared_path
-
     table = Tables(spark, sf).events
     folder = shared_path(spark, "closing")
     table.select("user_id", "ts").write.parquet(f"{folder}/part=1")
@@ -73,15 +74,33 @@ def stream_dedup(spark, sf):
     return st.run_append(deduped, "dedup").select("user_id", "event_type")
 
 
+LATE = "(event_id % 10 = 0 AND ts < TIMESTAMP '2024-01-21')"
+
+
 @query(
     "stream_late_data",
-    "SELECT CASE WHEN user_id % 120 > 60 THEN 'rerun' ELSE 'on_time' END AS route, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1",
+    f"""WITH w AS (SELECT max(ts) - INTERVAL 1 HOUR AS closed FROM events WHERE ts < TIMESTAMP '2024-01-21' AND NOT {LATE}),
+        e AS (SELECT event_type, value, time_bucket(INTERVAL 1 HOUR, ts) AS bucket_ts, {LATE} AND time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= closed AS late FROM events, w)
+        SELECT bucket_ts, event_type, count(*) AS n, round(sum(value), 4) AS total, min(value) AS least, max(value) AS most, count(*) FILTER (late) AS n_late FROM e GROUP BY 1, 2""",
 )
 def stream_late_data(spark, sf):
-    late = F.make_dt_interval(F.lit(0), F.lit(0), (F.col("user_id") % 120).cast("int"))
-    routed = st.stream_late_data(events(spark, sf).withColumn("upd_ts", F.col("ts") + late), "ts", "upd_ts", "1 hour")
-    rows = st.run_append(routed.select("route", "value"), "late")
-    return rows.groupBy("route").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    # Three runs with one place; a tenth of the rows of the first twenty days arrive with the last one.
+    table = Tables(spark, sf).events.select("event_id", "event_type", "ts", "value")
+    late = (F.col("event_id") % 10 == 0) & (F.col("ts") < as_ntz("2024-01-21"))
+    day = F.when(late, 3).when(F.col("ts") < as_ntz("2024-01-11"), 1).when(F.col("ts") < as_ntz("2024-01-21"), 2).otherwise(3)
+    folder, place = shared_path(spark, "arrivals"), shared_path(spark, "late")
+    for arrival in (1, 2, 3):
+        table.filter(day == arrival).write.parquet(f"{folder}/arrival={arrival}")
+        stream = spark.readStream.schema(table.schema).parquet(f"{folder}/arrival=*")
+        stream = stream.withColumn("ts", F.col("ts").cast("timestamp"))
+        windows, rows = st.stream_late_data(stream, "event_type", "ts", "value", "1 hour", "1 hour", "late", place)
+    whole = table.withColumn("ts", F.col("ts").cast("timestamp"))
+    found = st.rerun_windows(windows, rows, whole, "event_type", "ts", "value", "1 hour")
+    counts = rows.groupBy("bucket_ts", "event_type").agg(F.count(F.lit(1)).alias("n_late"))
+    return found.join(counts, ["bucket_ts", "event_type"], "left").select(
+        F.col("bucket_ts").cast("timestamp_ntz").alias("bucket_ts"), "event_type", "n", F.round("total", 4).alias("total"), "least", "most",
+        F.coalesce("n_late", F.lit(0)).alias("n_late"),
+    )
 
 
 @query(
@@ -110,30 +129,56 @@ def stream_alerts(spark, sf):
     return st.stream_alerts(shaped, alert_plans.subscriptions(spark, sf), "alerts")
 
 
+def arriving(spark, table: DataFrame) -> DataFrame:
+    """The table as a stream in three batches, each row up to half an hour before or after its turn, and a last reading that closes all.
+
+    The rows of a batch are thus out of order with those of the one before, by less than the watermark.
+    """
+    folder = shared_path(spark, "arriving")
+    turn = F.unix_micros(F.col("ts").cast("timestamp")) + (F.xxhash64("event_id") % 1_800_000_000)
+    cut = [F.unix_micros(as_ntz(t).cast("timestamp")) for t in ("2024-01-11", "2024-01-21")]
+    batches = [turn < cut[0], (turn >= cut[0]) & (turn < cut[1]), turn >= cut[1]]
+    for i, batch in enumerate(batches):
+        table.filter(batch).coalesce(1).write.parquet(f"{folder}/batch={i}")
+    closing = {"ts": as_ntz("2100-01-01"), "user_id": F.lit(-1)}
+    row = spark.range(1).select(*[closing.get(c, F.lit(0)).cast(table.schema[c].dataType).alias(c) for c in table.columns])
+    row.write.parquet(f"{folder}/batch=9")
+    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/batch=*")
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 @query(
     "stream_spc",
-    """WITH x AS (SELECT user_id, event_id, ts, value - lag(value) OVER w AS mr FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
-       y AS (SELECT *, mr - lag(mr) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS d FROM x),
-       z AS (SELECT *, min(d) OVER r AS lo, max(d) OVER r AS hi, count(d) OVER r AS n FROM y WINDOW r AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))
-       SELECT user_id, event_id, CASE WHEN lo > 0 THEN 'increasing' ELSE 'decreasing' END AS direction FROM z WHERE n = 5 AND (lo > 0 OR hi < 0)""",
+    """WITH x AS (SELECT user_id, event_id, ts, value, value - lag(value) OVER w AS mr FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+       y AS (SELECT *, mr - lag(mr) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS d, count(*) OVER b AS before, avg(value) OVER b AS center, 3 / 1.128 * avg(abs(mr)) OVER b AS spread
+             FROM x WINDOW b AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+       z AS (SELECT *, min(d) OVER r AS lo, max(d) OVER r AS hi, count(d) OVER r AS n FROM y WINDOW r AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)),
+       e AS (SELECT *, unnest(['increasing', 'decreasing', 'above', 'below']) AS event, unnest([n = 5 AND lo > 0, n = 5 AND hi < 0, before >= 14 AND value > center + spread, before >= 14 AND value < center - spread]) AS hit FROM z)
+       SELECT user_id, event_id, event, CASE WHEN before >= 14 THEN round(center, 9) END AS center, CASE WHEN before >= 14 THEN round(center - spread, 9) END AS lower,
+              CASE WHEN before >= 14 THEN round(center + spread, 9) END AS upper FROM e WHERE hit""",
 )
 def stream_spc(spark, sf):
-    return st.run_append(st.stream_spc(events(spark, sf), "user_id", "ts", "value", "event_id"), "spc")
+    table = Tables(spark, sf).events.select("user_id", "event_id", "ts", "value")
+    found = st.run_append(st.stream_spc(arriving(spark, table), "user_id", "ts", "value", "event_id"), "spc", settings=SETTINGS)
+    limits = [F.round(F.nanvl(c, F.lit(None)), 9).alias(c) for c in ("center", "lower", "upper")]
+    return found.select("user_id", "event_id", "event", *limits)
 
 
 @query(
     "stream_cycle_detect",
-    f"""WITH {cycle_plans.MARKS} SELECT user_id, event_id, 'door_opened' AS transition FROM m WHERE door_opened UNION ALL SELECT user_id, event_id, 'run_start' FROM m WHERE run_start
-        UNION ALL SELECT user_id, event_id, 'run_stop' FROM m WHERE run_stop""",
+    f"""WITH {cycle_plans.MARKS}, c AS (SELECT *, max(ts) FILTER (door_opened) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS cycle_start FROM m)
+        SELECT user_id, event_id, 'door_opened' AS transition, cycle_start FROM c WHERE door_opened UNION ALL SELECT user_id, event_id, 'run_start', cycle_start FROM c WHERE run_start
+        UNION ALL SELECT user_id, event_id, 'run_stop', cycle_start FROM c WHERE run_stop""",
 )
 def stream_cycle_detect(spark, sf):
     from millstream.functions.cleaning import labelled
 
+    table = Tables(spark, sf).events.select("user_id", "event_id", "ts", "event_type")
     kind = F.col("event_type")
-    signals = events(spark, sf).select(
+    signals = arriving(spark, table).select(
         "user_id", "event_id", "ts", labelled(kind, cycle_plans.DOOR).alias("door"), labelled(kind, cycle_plans.MIXER).alias("mixer")
     )
-    return st.run_append(st.stream_cycle_detect(signals, "user_id", "ts", "door", "mixer", "event_id"), "cycles")
+    return st.run_append(st.stream_cycle_detect(signals, "user_id", "ts", "door", "mixer", "event_id"), "cycles", settings=SETTINGS)
 
 
 @query(
