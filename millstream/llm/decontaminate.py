@@ -2,9 +2,9 @@
 
 Numbers, names and units of measure are replaced by typed placeholders, so that a question and a re-parameterised copy of
 it have one template. Windows of the templates of texts and benchmark items are joined by hash. What stands in the
-placeholders must then agree: along one alignment of a text and an item, every value of the item must stand for one
-value of the text and the other way round, so that the copy is the question with its values exchanged throughout, and
-not another text of like form.
+placeholders must then agree: along one alignment of a text and an item, a window counts if its values are the item's, or
+those that usually stand for them in this alignment, so that a copy is the question with its values exchanged throughout,
+and not another text of like form. A value out of step costs its own windows only.
 
 A bit table of the items' windows, of fixed size, tells within a row which windows of a text are worth joining, so that
 texts are never shuffled, and only rows near the benchmark are.
@@ -124,19 +124,6 @@ def _longest_run(ats: Column, n: Column) -> Column:
     return F.aggregate(F.array_sort(ats), none, step, lambda x: x["most"])
 
 
-def _consistent(met: DataFrame, one: list[str]) -> DataFrame:
-    """(one, total, n, ats, changed): windows of each alignment whose values stand for each other one to one throughout."""
-    slots = F.filter("z", lambda x: F.startswith(x["c"], F.lit("#")))
-    pairs = met.select(*one, F.explode(slots).alias("s")).select(*one, "s.c", "s.v", "s.u").distinct()
-    bad = pairs.groupBy(*one).agg(
-        F.count("*").alias("pairs"), F.countDistinct("c", "v").alias("vs"), F.countDistinct("c", "u").alias("us"), F.count_if(F.col("v") != F.col("u")).alias("changed")
-    )
-    lines = met.groupBy(*one, "total", "n").agg(F.collect_set("at").alias("ats"))
-    joined = lines.alias("l").join(bad.alias("b"), [F.col(f"l.{c}").eqNullSafe(F.col(f"b.{c}")) for c in one], "left")
-    fits = F.col("b.pairs").isNull() | ((F.col("b.pairs") == F.col("b.vs")) & (F.col("b.pairs") == F.col("b.us")))
-    return joined.filter(fits).select("l.*", F.coalesce("b.changed", F.lit(0)).alias("changed"))
-
-
 def _agreeing(met: DataFrame, one: list[str]) -> DataFrame:
     """(one, total, n, ats, changed): windows of each alignment that are verbatim, or whose values are the usual ones.
 
@@ -160,13 +147,13 @@ def _agreeing(met: DataFrame, one: list[str]) -> DataFrame:
 
 
 def leaks(
-    docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", share: float = SHARE, run: int | None = None
+    docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", share: float = SHARE, run: int = RUN
 ) -> DataFrame:
-    """(key, doc, item, windows, share, changed): each text with each item that it holds, where it holds `share` of it.
+    """(key, doc, item, windows, share, changed): each text with each item that it holds.
 
-    run: with it, texts that hold so many adjoining tokens of an item along one alignment are found too, and exact copies
-    of items without eligible window (see `_copies`), which count as one window. Windows of an alignment are then judged
-    each (see `_agreeing`); without it, one value that disagrees refutes the whole alignment.
+    A text holds an item if it has `share` of its windows, or `run` adjoining tokens of it along one alignment, however long
+    the item is, or an exact copy of an item without eligible window (see `_copies`), which counts as one window. The
+    windows of an alignment are judged each (see `_agreeing`).
 
     doc: a hash of key and text, which rows that repeat both have in common; they are one. windows: of the item, found in
     alignments whose values agree; changed: placeholders whose value differs. Null and empty texts hold nothing, and
@@ -185,15 +172,14 @@ def leaks(
     met = near.join(parts, ["h", "c"]).withColumn("line", F.col("place") - F.col("at"))
     one = ["id", "doc", "item", "text", "line"]
     met = stored(met.select(*one, "total", "n", "at", F.arrays_zip("c", "v", "u").alias("z")), "benchmark-met")
-    good = _agreeing(met, one) if run else _consistent(met, one)
+    good = _agreeing(met, one)
     found = good.groupBy("id", "doc", "item", "text", "total").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("windows"), F.max("changed").alias("changed"), F.max(_longest_run(F.col("ats"), F.col("n"))).alias("run")
     )
     found = found.withColumn("share", F.col("windows") / F.col("total"))
-    found = found.filter((F.col("share") >= share) | (F.col("run") >= run if run else F.lit(False))).select("id", "doc", "item", "share", "windows", "changed")
-    if run:
-        copies = _copies(docs, benchmark, parts, key, text, item_key, item_text)
-        found = found.unionByName(copies.select("*", F.lit(1.0).alias("share"), F.lit(1).alias("windows"), F.lit(0).alias("changed")))
+    found = found.filter((F.col("share") >= share) | (F.col("run") >= run)).select("id", "doc", "item", "share", "windows", "changed")
+    copies = _copies(docs, benchmark, parts, key, text, item_key, item_text)
+    found = found.unionByName(copies.select("*", F.lit(1.0).alias("share"), F.lit(1).alias("windows"), F.lit(0).alias("changed")))
     best = found.groupBy("id", "doc", "item").agg(F.max(F.struct("share", "windows", "changed")).alias("m"))
     return best.select(F.col("id").alias(key), "doc", F.col("item").alias(item_key), F.col("m.windows").cast("long").alias("windows"), "m.share", "m.changed")
 

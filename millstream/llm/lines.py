@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from millstream.llm.sieve import keeper
 from millstream.session import stored
 
-#: Lines of fewer words are never dropped; from this many on, equal lines are.
-LEAST_WORDS = 5
+#: Lines of fewer words are never dropped; from this many on, equal lines are. Empty lines always stay.
+LEAST_WORDS = 1
 #: Pairs whose longer line has fewer words must be equal; from this many on, one word may differ.
 NEAR_WORDS = 8
 #: Hashes of words are cut to so many values that their sum over a line can't overflow.

@@ -183,6 +183,12 @@ def op8_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar(docs, 3, 90).select("doc_id", "n_shingles", "component_id")
 
 
+def _sql_values(column: str) -> str:
+    """Tokens of a text in lower case without marks in DuckDB."""
+    token = decontaminate.TOKEN.replace("'", "''")
+    return f"list_transform(regexp_extract_all({column}, '{token}'), lambda x: rtrim(lower(x), '.!?'))"
+
+
 def _sql_template(table: str, key: str) -> str:
     """(key, w, c, v): tokens, template and values in DuckDB."""
     units = ", ".join(f"'{u}'" for u in decontaminate.UNITS)
@@ -208,13 +214,28 @@ def _sql_template(table: str, key: str) -> str:
     t AS (SELECT item_id, count(*) AS total FROM bw GROUP BY item_id),
     dw AS (SELECT doc_id, i AS place, c[i:i + n - 1] AS c, v[i:i + n - 1] AS u
            FROM (SELECT doc_id, c, v, n, unnest(range(1, len(c) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw) WHERE len(c) >= n)),
-    m AS (SELECT doc_id, item_id, place - pos AS line, pos, bw.c, v, u FROM dw JOIN bw ON dw.c = bw.c),
-    s AS (SELECT DISTINCT doc_id, item_id, line, c[k] AS c, v[k] AS v, u[k] AS u FROM (SELECT *, unnest(range(1, len(c) + 1)) AS k FROM m) WHERE c[k][1] = '#'),
-    x AS (SELECT doc_id, item_id, line, count(*) = count(DISTINCT (c, v)) AND count(*) = count(DISTINCT (c, u)) AS good, count(*) FILTER (v <> u) AS changed
-          FROM s GROUP BY ALL),
-    f AS (SELECT m.doc_id, m.item_id, count(DISTINCT pos) AS windows, max(coalesce(changed, 0)) AS changed
-          FROM m LEFT JOIN x USING (doc_id, item_id, line) WHERE coalesce(good, true) GROUP BY ALL)
-    SELECT doc_id, item_id, windows, windows / total AS share, changed FROM f JOIN t USING (item_id) WHERE windows / total >= 0.4
+    m AS MATERIALIZED (SELECT doc_id, item_id, place - pos AS line, pos, n, bw.c, v, u FROM dw JOIN bw ON dw.c = bw.c),
+    s AS (SELECT doc_id, item_id, line, pos, pos + k AS place, c[k] || ' ' || v[k] AS slot, c[k] AS c, v[k] AS v, u[k] AS u
+          FROM (SELECT *, unnest(range(1, len(c) + 1)) AS k FROM m) WHERE c[k][1] = '#'),
+    y AS (SELECT doc_id, item_id, line, slot, max({{'times': times, 'same': same, 'u': u}}).u AS usual FROM (
+              SELECT doc_id, item_id, line, slot, u, u = v AS same, count(DISTINCT place) AS times FROM s GROUP BY ALL) GROUP BY ALL),
+    j AS (SELECT doc_id, item_id, line, pos, bool_and(v = u) OR bool_and(u = usual) AS good FROM s JOIN y USING (doc_id, item_id, line, slot) GROUP BY ALL),
+    g AS MATERIALIZED (SELECT m.* FROM m LEFT JOIN j USING (doc_id, item_id, line, pos) WHERE coalesce(good, true)),
+    x AS (SELECT doc_id, item_id, line, count(DISTINCT (c, v, u)) AS changed FROM s SEMI JOIN g USING (doc_id, item_id, line, pos) WHERE v <> u GROUP BY ALL),
+    r AS (SELECT doc_id, item_id, line, max(pos) + any_value(n) - min(pos) AS run FROM (
+              SELECT *, sum(CAST(fresh AS INTEGER)) OVER (PARTITION BY doc_id, item_id, line ORDER BY pos) AS island FROM (
+                  SELECT doc_id, item_id, line, pos, n, coalesce(pos > lag(pos) OVER (PARTITION BY doc_id, item_id, line ORDER BY pos) + n, false) AS fresh FROM g))
+          GROUP BY doc_id, item_id, line, island),
+    f AS (SELECT g.doc_id, g.item_id, count(DISTINCT g.pos) AS windows, max(coalesce(changed, 0)) AS changed
+          FROM g LEFT JOIN x USING (doc_id, item_id, line) GROUP BY ALL),
+    l AS (SELECT doc_id, item_id, max(run) AS run FROM r GROUP BY ALL),
+    o AS (SELECT item_id, len(v) AS n, v FROM (SELECT item_id, {_sql_values("text")} AS v FROM benchmark) ANTI JOIN bw USING (item_id) WHERE len(v) > 0),
+    e AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, text FROM documents SEMI JOIN (SELECT 1 FROM o) ON true),
+    q AS (SELECT doc_id, item_id FROM o JOIN (SELECT doc_id, {_sql_values("text")} AS u FROM documents SEMI JOIN (SELECT 1 FROM o) ON true)
+              ON n >= 4 AND contains(' ' || array_to_string(u, ' ') || ' ', ' ' || array_to_string(v, ' ') || ' ')
+          UNION SELECT doc_id, item_id FROM o JOIN (SELECT doc_id, {_sql_values("raw")} AS u FROM e) ON n < 4 AND u = v)
+    SELECT doc_id, item_id, windows, windows / total AS share, changed FROM f JOIN t USING (item_id) JOIN l USING (doc_id, item_id) WHERE windows / total >= 0.4 OR run >= 13
+    UNION ALL SELECT doc_id, item_id, 1, 1.0, 0 FROM q
     """,
 )
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
@@ -228,7 +249,7 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     r"""
     WITH l AS (SELECT doc_id, n, raw, trim(regexp_replace(raw, '[ \t\r]+', ' ', 'g'), ' ') AS line FROM (
                    SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, unnest(range(len(string_split(text, chr(10))))) AS n FROM documents WHERE text IS NOT NULL)),
-    d AS (SELECT line, min((doc_id, n)) AS first, string_split(line, ' ') AS w, len(string_split(line, ' ')) AS m FROM l GROUP BY line HAVING len(string_split(line, ' ')) >= 5),
+    d AS (SELECT line, min((doc_id, n)) AS first, string_split(line, ' ') AS w, len(string_split(line, ' ')) AS m FROM l WHERE line <> '' GROUP BY line),
     k AS (SELECT d.*, big, unnest([0, 1]) AS last, unnest([w[:big // 2], w[m - big // 2 + 1:]]) AS half FROM d, (SELECT unnest([0, 1]) AS more), (SELECT m + more AS big) WHERE big >= 8),
     p AS (SELECT DISTINCT b.line, b.w, a.w AS v FROM k a JOIN k b ON a.big = b.big AND a.last = b.last AND a.half = b.half AND a.first < b.first
           WHERE greatest(a.m, b.m) = a.big),

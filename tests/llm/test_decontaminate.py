@@ -21,18 +21,18 @@ def test_found_with_other_values(spark):
 
 
 def test_values_must_agree(spark):
-    """One value of the item for two of the text is another text of like form."""
+    """Values that are neither the item's nor the usual ones for it cost their windows; few windows are no copy."""
     item = "first we add 5 apples to the box and later we add 5 pears to the same box again today"
-    docs = [(1, item.replace("5", "9")), (2, item.replace("5 apples", "7 apples"))]
+    docs = [(1, item.replace("5", "9")), (2, item.replace("5 apples", "7 apples")), (3, "first we add 7 apples to the pot and stir")]
     got = found(spark, docs, [(1, item)])
-    assert (1, 1) in got and (2, 1) not in got
+    assert (1, 1) in got and (2, 1) in got and (3, 1) not in got
 
 
 def test_odd_rows(spark):
     items = [(1, None), (2, ""), (3, "two words"), (4, "one two three four"), (None, "an item that has no id but words"), (4, "one two three four"), (5, "1 2 3 4 5 6 7 8")]
     docs = [(1, None), (2, ""), (3, "one two three four"), (3, "one two three four"), (None, "here is one two three four"), (6, "an item that has no id but words"), (7, "1 2 3 4 5 6 7 8"), (8, "word " * 30_000 + "one two three four")]
     got = found(spark, docs, items)
-    assert set(got) == {(3, 4), (None, 4), (6, None), (8, 4)}
+    assert set(got) == {(3, 4), (None, 4), (6, None), (7, 5), (8, 4)}
     assert found(spark, docs, []) == {} and found(spark, [], items) == {}
 
 
