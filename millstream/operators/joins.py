@@ -87,40 +87,33 @@ def lateral_latest(
 def wo_period_join(orders: DataFrame, production: DataFrame, keys, prev: str, cur: str, day: str, qty: str) -> DataFrame:
     """Production between the previous and the current work order (both days included) and after the current one.
 
-    Days are dates. Running totals per key and calendar day replace the many-to-many join:
-    total(prev..cur) = C(cur) - C(prev - 1). A key has one row per calendar day there, whatever its volume.
+    Days are dates. Running totals per key replace the many-to-many join: total(prev..cur) = C(cur) - C(prev - 1). C is
+    worked out on the days that production or orders have, and on no others, so a key has a row for each of these.
     Repeated work orders count once each, as in the joined form.
     """
     keys = names(keys)
-    span = production.agg(F.min(day).alias("__lo"), F.max(day).alias("__hi"))
-    daily = production.groupBy(*keys, F.col(day).alias("__day")).agg(F.sum(qty).alias("__qty"))
-    calendar = F.explode(F.sequence(F.date_sub("__lo", 1), F.col("__hi"))).alias("__day")
-    spine = production.select(*keys).distinct().crossJoin(F.broadcast(span)).select(*keys, calendar)  # span: one row
-    filled = join_null_safe(spine, daily, [*keys, "__day"], "left")
+    made = production.filter(F.col(day).isNotNull()).select(*keys, F.col(day).alias("__day"), F.col(qty).alias("__qty"))
+    grouped = orders.groupBy(*orders.columns).agg(F.count(F.lit(1)).alias("__times"))
+    grouped = grouped.withColumns({"__at_cur": F.col(cur), "__at_prev": F.date_sub(prev, 1)})
+    asked = grouped.select(*keys, F.explode(F.array("__at_cur", "__at_prev")).alias("__day")).filter(F.col("__day").isNotNull())
+    # Sums go through the shuffle a row for each key and day; days that are only asked for add nothing.
+    asked = asked.distinct().withColumn("__qty", F.lit(0).cast(made.schema["__qty"].dataType))
+    days = made.unionByName(asked).groupBy(*keys, "__day").agg(F.sum("__qty").alias("__qty"))
     w = Window.partitionBy(*keys).orderBy("__day")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    totals = filled.select(
+    totals = days.select(
         *keys,
         "__day",
         F.coalesce(F.sum("__qty").over(w.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0)).alias("__run"),
         F.coalesce(F.sum("__qty").over(whole), F.lit(0)).alias("__all"),
     )
-    grouped = orders.groupBy(*orders.columns).agg(F.count(F.lit(1)).alias("__times"))
-
-    def clipped(d: Column) -> Column:
-        return F.when(d.isNotNull(), F.least(F.greatest(d, F.date_sub("__lo", 1)), F.col("__hi")))
-
-    grouped = grouped.crossJoin(F.broadcast(span)).withColumns(  # one row
-        {"__at_cur": clipped(F.col(cur)), "__at_prev": clipped(F.date_sub(prev, 1))}
-    )
     at_cur = totals.select(*keys, F.col("__day").alias("__at_cur"), F.col("__run").alias("__upto"), "__all")
     at_prev = totals.select(*keys, F.col("__day").alias("__at_prev"), F.col("__run").alias("__before"))
     grouped = join_null_safe(grouped, at_cur, [*keys, "__at_cur"], "left")
     grouped = join_null_safe(grouped, at_prev, [*keys, "__at_prev"], "left")
-    both = F.col(prev).isNotNull() & F.col(cur).isNotNull()
-    between = F.when(both, F.coalesce(F.col("__upto") - F.col("__before"), F.lit(0))).otherwise(0)
+    between = F.when(F.col(prev) <= F.col(cur), F.coalesce(F.col("__upto") - F.col("__before"), F.lit(0))).otherwise(0)
     after = F.coalesce(F.col("__all") - F.col("__upto"), F.lit(0))
-    helpers = ["__times", "__at_cur", "__at_prev", "__upto", "__before", "__all", "__lo", "__hi"]
+    helpers = ["__times", "__at_cur", "__at_prev", "__upto", "__before", "__all"]
     return grouped.withColumns(
         {"total_qty": between * F.col("__times"), "total_qty_recent": after * F.col("__times")}
     ).drop(*helpers)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millstream.functions.cleaning import safe_divide
 from millstream.functions.timekeys import month_start
-from millstream.functions.wallclock import bucket_no, seconds_between
+from millstream.functions.wallclock import seconds_between
 from millstream.operators import aggregates, joins, temporal
 from millstream.operators.chunked import join_null_safe, names
 from millstream.session import settle
@@ -85,27 +85,23 @@ def oee_kpi(
 
     shifts(equip_id, shift_id, shift_start, shift_end), status(equip_id, status_code, start_time, end_time),
     production(equip_id, time, total_cnt, good_cnt), alarms(equip_id, time), maintenance(equip_id, start_time,
-    end_time), config(equip_id, std_cycle_time). Intervals and shifts meet in time buckets, not per machine.
+    end_time), config(equip_id, std_cycle_time). Intervals and shifts meet in the nodes of a time tree, however long they are.
     """
     keys = ["equip_id", "shift_id", "shift_start", "shift_end"]
 
-    def spread(df: DataFrame, first: str, last: str) -> DataFrame:
-        lo, hi = bucket_no(first, bucket), bucket_no(last, bucket)
-        return df.filter(F.col(last) >= F.col(first)).withColumn("__b", F.explode(F.sequence(lo, hi)))
-
-    slots = spread(shifts, "shift_start", "shift_end")
+    slots = shifts.select(*keys)
 
     def shared(df: DataFrame, out: str) -> DataFrame:
-        """Overlap seconds and count of intervals per shift; a pair found in several buckets counts in its first."""
-        pairs = spread(df, "start_time", "end_time").join(slots, ["equip_id", "__b"], "inner")
-        first_shared = bucket_no(F.greatest("start_time", "shift_start"), bucket)
-        pairs = pairs.filter((F.col("__b") == first_shared) & (F.col("start_time") < F.col("shift_end")))
-        pairs = pairs.filter(F.col("end_time") > F.col("shift_start"))
+        """Overlap seconds and count of intervals per shift: those that start in it, and those that it starts in."""
+        spans = df.select("equip_id", "start_time", "end_time").filter(F.col("end_time") >= F.col("start_time"))
+        starting = temporal.tree_pairs(spans, slots, "equip_id", "start_time", "shift_start", "shift_end", bucket, "left")
+        running_on = temporal.tree_pairs(slots, spans, "equip_id", "shift_start", "start_time", "end_time", bucket, "neither")
+        pairs = starting.filter(F.col("end_time") > F.col("shift_start")).unionByName(running_on.filter(F.col("shift_end") >= F.col("shift_start")))
         seconds = overlap_seconds(F.col("start_time"), F.col("end_time"), F.col("shift_start"), F.col("shift_end"))
         return pairs.groupBy(*keys).agg(F.sum(seconds).alias(f"{out}_sec"), F.count(F.lit(1)).alias(f"{out}_cnt"))
 
     def counted(df: DataFrame, aggs: Sequence[Column]) -> DataFrame:
-        pairs = temporal.range_pairs(df, shifts, "equip_id", "time", "shift_start", "shift_end", bucket, "left")
+        pairs = temporal.tree_pairs(df, slots, "equip_id", "time", "shift_start", "shift_end", bucket)
         return pairs.groupBy(*keys).agg(*aggs)
 
     running = shared(status.filter(F.col("status_code") == run_status), "run")

@@ -187,6 +187,58 @@ def range_pairs(
     return joined.drop("__bucket", "__p_bucket", *[f"__p_{k}" for k in keys])
 
 
+#: Each node of the time tree has 4 children; a node of this level is longer than all times together.
+_CHILD_BITS, _TOP_LEVEL = 2, 20
+
+
+def _nodes(first: Column, last: Column) -> Column:
+    """(level, node): the fewest whole nodes of the time tree that make up the buckets first to last."""
+    kind = "array<struct<level:int,node:bigint>>"
+    children = 1 << _CHILD_BITS
+
+    def run(level: Column, lo: Column, hi: Column) -> Column:
+        """Nodes lo to hi - 1 of a level."""
+        each = F.transform(F.sequence(lo, hi - 1), lambda n: F.struct(level.cast("int").alias("level"), n.alias("node")))
+        return F.when(lo < hi, each).otherwise(F.array().cast(kind))
+
+    def step(x: Column, level: Column) -> Column:
+        up = F.call_function("shiftright", x["lo"] + (children - 1), F.lit(_CHILD_BITS))
+        down = F.call_function("shiftright", x["hi"], F.lit(_CHILD_BITS))
+        # Parents that lie wholly inside go up; what is left of them and right of them stays on this level.
+        inner = up < down
+        left = run(level, x["lo"], F.when(inner, up * children).otherwise(x["hi"]))
+        right = run(level, F.when(inner, down * children).otherwise(x["hi"]), x["hi"])
+        return F.struct(F.when(inner, up).otherwise(F.lit(0)).cast("long").alias("lo"), F.when(inner, down).otherwise(F.lit(0)).cast("long").alias("hi"), F.concat(x["nodes"], left, right).alias("nodes"))
+
+    begin = F.struct(first.cast("long").alias("lo"), (last + 1).cast("long").alias("hi"), F.array().cast(kind).alias("nodes"))
+    made = F.aggregate(F.sequence(F.lit(0), F.lit(_TOP_LEVEL)), begin, step, lambda x: x["nodes"])
+    return F.when(last >= first, made)
+
+
+def tree_pairs(
+    points: DataFrame, spans: DataFrame, keys, ts: str, start: str, finish: str, bucket: str, closed: str = "both"
+) -> DataFrame:
+    """All (span, point) pairs with the point inside the span, as `range_pairs`, for spans of any length.
+
+    A span is cut into nodes of a time tree over buckets, whose number grows as the logarithm of its length: one that is
+    open until the year 9999 has under 100. A point looks up the node that holds it on each level that spans of its key
+    use. closed: both, left (without the finish) or neither.
+    """
+    keys = names(keys)
+    own = [f"__s_{k}" for k in keys]
+    nodes = spans.withColumn("__n", F.explode(_nodes(bucket_no(start, bucket), bucket_no(finish, bucket))))
+    nodes = nodes.select("*", F.col("__n.level").alias("__level"), F.col("__n.node").alias("__node")).drop("__n").withColumnsRenamed(dict(zip(keys, own)))
+    levels = nodes.select(*own, F.col("__level").alias("__at")).distinct()
+    rows = points.join(levels, [points[k] == levels[o] for k, o in zip(keys, own)]).drop(*own)
+    rows = rows.withColumn("__place", F.call_function("shiftright", bucket_no(ts, bucket).cast("long"), F.col("__at") * _CHILD_BITS))
+    condition = (F.col("__level") == F.col("__at")) & (F.col("__node") == F.col("__place"))
+    condition &= (F.col(ts) > F.col(start)) if closed == "neither" else (F.col(ts) >= F.col(start))
+    condition &= (F.col(ts) <= F.col(finish)) if closed == "both" else (F.col(ts) < F.col(finish))
+    for k, o in zip(keys, own):
+        condition &= rows[k] == nodes[o]
+    return nodes.join(rows, condition).drop("__level", "__node", "__at", "__place", *own)
+
+
 def lookback_interval_join(
     events: DataFrame,
     series: DataFrame,
@@ -235,8 +287,11 @@ def cycle_window_join(
     series: DataFrame, cycles: DataFrame, entity, ts: str, start: str, end: str, closed: str = "both",
     bucket: str = "10 minutes",
 ) -> DataFrame:
-    """Readings inside each cycle; with `closed='both'` a reading on a shared boundary is in two cycles."""
-    return range_pairs(series, cycles, entity, ts, start, end, bucket, closed)
+    """Readings inside each cycle; with `closed='both'` a reading on a shared boundary is in two cycles.
+
+    Cycles may be as long as they like, also open until a far time; `bucket` is best near the length of a short one.
+    """
+    return tree_pairs(series, cycles, entity, ts, start, end, bucket, closed)
 
 
 def overlap_trim(
