@@ -13,16 +13,19 @@ has in a fragment is its segment.
   similarity), which any similar set that has the same lack must share.
 * Partial overlaps bound a pair's overlap from above: the counts of both sets in 128 ranges, the smaller of each summed.
   Pairs that stay below the threshold go, and of the others the overlaps are counted fragment by fragment and summed.
-* A group that meets is not listed as pairs. First each of its members is compared with one of them; links made so far
-  give components, and only members of different components are compared further. Groups of more than BLOCK members
-  are cut into blocks that are compared two by two in tasks of their own.
+* A group that meets is not listed as pairs. First each of its members is compared with one of them, that which meets most
+  others in all its groups (of a text and its variants, usually the text); links made so far give components, and those
+  that are not in the centre's have a second round with a centre of theirs. What is left in different components is
+  compared within tasks, in cells of two blocks: members that the bound leaves a partner get their sets, overlaps are
+  counted fragment by fragment and summed, and a cell gives no more links than join its members. So all that is
+  written grows with the members of the groups, not with their pairs.
 
 Sets whose hashes of all n-grams agree are taken as equal, and so are n-grams; both are 64-bit hashes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +39,8 @@ from millstream.llm.components import components
 from millstream.llm.sieve import keeper
 from millstream.session import stored
 
-BLOCK = 2048
+#: Members of a block and n-grams of its sets, about at most; rounds of stars.
+BLOCK, GRAMS, STARS = 2048, 4_000_000, 2
 #: Ranges of the upper bound, and fragments in which overlaps are counted.
 RANGES, FRAGMENTS = 128, 16
 WORDS_KEPT = 100_000
@@ -167,10 +171,11 @@ def _close(ranges: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray, num:
     return _may_reach(least, n[i][:, None] + n[j][None, :], cut, num)
 
 
-def _stars(met: DataFrame, nodes: DataFrame, num: int) -> DataFrame:
-    """(a, b): members of each group with the group's smallest, where they can be linked."""
-    smallest = met.groupBy("key").agg(F.min("s").alias("a"))
-    pairs = met.join(smallest, "key").filter("s <> a").select("a", F.col("s").alias("b")).distinct()
+def _stars(rest: DataFrame, nodes: DataFrame, num: int) -> tuple[DataFrame, DataFrame]:
+    """(centres, pairs): the member of each group (key, s, degree) with the largest degree, and (a, b), the others with it
+    where they can be linked."""
+    centres = stored(rest.groupBy("key").agg(F.max(F.struct("degree", "s")).alias("m")).select("key", F.col("m.s").alias("a")), "jaccard-centres")
+    pairs = rest.join(centres, "key").filter("s <> a").select("a", F.col("s").alias("b")).distinct()
     of = nodes.select("s", "n", "ranges")
     both = pairs.join(of.withColumnsRenamed({"s": "a", "n": "na", "ranges": "ra"}), "a").join(of.withColumnsRenamed({"s": "b", "n": "nb", "ranges": "rb"}), "b")
 
@@ -183,69 +188,129 @@ def _stars(met: DataFrame, nodes: DataFrame, num: int) -> DataFrame:
                 ok = _may_reach(np.minimum(a, b).sum(axis=1, dtype=np.int64), sizes, cut, num)
                 yield batch.select(["a", "b"]).filter(pa.array(ok))
 
-    bound_batches(met.sparkSession)
-    return both.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long")
+    bound_batches(rest.sparkSession)
+    return centres, both.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long")
 
 
 def _cells(met: DataFrame, nodes: DataFrame) -> DataFrame:
     """Members of each group that meets, in cells (key, i, j) of two blocks at most; i = j is a block by itself."""
-    sizes = met.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = met.join(sizes, "key").join(nodes, "s").withColumn("block", F.pmod(F.xxhash64("s"), F.col("blocks")).cast("int"))
+    rows = met.join(nodes.select("s", "c", "n", "ranges"), "s")
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / GRAMS)).cast("int")
+    rows = rows.join(rows.groupBy("key").agg(blocks.alias("blocks")), "key").withColumn("block", F.pmod(F.xxhash64("s"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    return rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "s", "c", "n", "ranges")
 
 
-def _pairs(cells: DataFrame, num: int) -> DataFrame:
-    """(a, b): pairs of a cell (key, i, j, block, s, c, n, ranges) that can be linked and lie in different components.
-
-    A cell (i, j) stands for the pairs between blocks i and j, or within one block.
-    """
-
-    def of_cell(s, c, n, ranges, block, two: bool) -> Iterator[np.ndarray]:
-        for at in range(0, len(s), 256):
-            part = slice(at, at + 256)
-            may = (c[part, None] != c[None, :]) & (s[part, None] < s[None, :])
-            if two:
-                may &= block[part, None] != block[None, :]
-            near, far = np.flatnonzero(may.any(axis=1)), np.flatnonzero(may.any(axis=0))
-            if len(near):
-                p, q = np.nonzero(_close(ranges, n, near + at, far, num) & may[np.ix_(near, far)])
-                yield np.stack([s[near[p] + at], s[far[q]]])
+def _by_cell(cells: DataFrame, columns: list[str], of_cell: Callable[[pa.Table, bool], list[np.ndarray]], out: list[str]) -> DataFrame:
+    """What of_cell(members, between two blocks) gives for each cell, as long columns `out`. One cell is held at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
 
-        def cut(table: pa.Table, last: bool) -> tuple[pa.Table, list[np.ndarray]]:
-            """What the whole cells of a sorted table give, and the rows of its last cell, which may go on."""
-            key, i, j, block, s, c, n = (np.array(table[x], np.int64) for x in ("key", "i", "j", "block", "s", "c", "n"))
+        def cut(table: pa.Table, last: bool) -> tuple[pa.Table, list[list[np.ndarray]]]:
+            """The rows of the last cell of a sorted table, which may go on, and what the cells before give."""
+            key, i, j = (np.array(table[x], np.int64) for x in ("key", "i", "j"))
             new = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
             bounds = [0, *new.tolist(), len(key)] if last else [0, *new.tolist()]
-            ranges, found = _matrix(table["ranges"].slice(0, bounds[-1])), []
-            for x, y in zip(bounds, bounds[1:]):
-                if y - x > 1:
-                    found += of_cell(s[x:y], c[x:y], n[x:y], ranges[x:y], block[x:y], i[x] != j[x])
+            found = [of_cell(table.slice(x, y - x), bool(i[x] != j[x])) for x, y in zip(bounds, bounds[1:]) if y - x > 1]
             return table.slice(bounds[-1]), found
 
-        def rows(found: list[np.ndarray]) -> list[pa.RecordBatch]:
-            a, b = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-            return [pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])]
+        def rows(found: list[list[np.ndarray]]) -> pa.RecordBatch:
+            made = [np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in range(len(out))]
+            return pa.RecordBatch.from_arrays([pa.array(m, pa.int64()) for m in made], names=out)
 
         for batch in batches:
             if batch.num_rows:
                 table = pa.Table.from_batches([batch])
                 held, found = cut(pa.concat_tables([held, table]) if held is not None else table, False)
-                yield from rows(found)
+                yield rows(found)
         if held is not None and held.num_rows:
-            yield from rows(cut(held, True)[1])
+            yield rows(cut(held, True)[1])
 
     bound_batches(cells.sparkSession)
     cell = ["key", "i", "j"]
-    dealt = cells.select(*cell, "block", "s", "c", "n", "ranges").repartition(*cell).sortWithinPartitions(*cell)
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    dealt = cells.select(*cell, *columns).repartition(*cell).sortWithinPartitions(*cell)
+    return dealt.mapInArrow(run, ", ".join(f"{c} long" for c in out))
+
+
+def _candidates(c: np.ndarray, block: np.ndarray, n: np.ndarray, ranges: np.ndarray, two: bool, num: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(p, qs): for members p of a cell the later members of other components that they can be linked with by the bound."""
+    for at in range(0, len(c), 256):
+        part = np.arange(at, min(at + 256, len(c)))
+        may = (c[part, None] != c[None, :]) & (part[:, None] < np.arange(len(c))[None, :])
+        if two:
+            may &= block[part, None] != block[None, :]
+        near, far = np.flatnonzero(may.any(axis=1)), np.flatnonzero(may.any(axis=0))
+        if len(near):
+            ok = _close(ranges, n, near + at, far, num) & may[np.ix_(near, far)]
+            for p in np.flatnonzero(ok.any(axis=1)):
+                yield int(near[p]) + at, far[ok[p]]
+
 
+def _survivors(cells: DataFrame, num: int) -> DataFrame:
+    """(key, i, j, s): members of each cell that can be linked with one of another component there, by counts in ranges.
+
+    Cells that are left with the same members say the same, and one of them is kept.
+    """
+
+    def of_cell(cell: pa.Table, two: bool) -> list[np.ndarray]:
+        s, c, n, block = (np.array(cell[x], np.int64) for x in ("s", "c", "n", "block"))
+        hit = np.zeros(len(s), bool)
+        for p, qs in _candidates(c, block, n, _matrix(cell["ranges"]), two, num):
+            hit[p] = hit[qs] = True
+        size = int(hit.sum())
+        return [np.full(size, cell[x][0].as_py(), np.int64) for x in ("key", "i", "j")] + [s[hit]]
+
+    found = stored(_by_cell(cells, ["block", "s", "c", "n", "ranges"], of_cell, ["key", "i", "j", "s"]), "jaccard-survivors")
+    cell = ["key", "i", "j"]
+    # Hashes of two seeds, summed with wide numbers, tell the member lists apart.
+    parts = [F.sum(F.xxhash64(F.lit(seed), "s", F.col("i") == F.col("j")).cast("decimal(38,0)")).alias(f"h{seed}") for seed in (1, 2)]
+    lists = found.groupBy(*cell).agg(F.count("*").alias("n"), *parts)
+    once = lists.groupBy("n", "h1", "h2").agg(F.min(F.struct(*cell)).alias("m")).select("m.*")
+    return found.join(once, cell, "left_semi")
 
-def _segments(docs: DataFrame, rows: DataFrame, n: int, key: str, text: str) -> DataFrame:
-    """(row, f, grams): the segments in FRAGMENTS even ranges of the sets of these rows, and of few others."""
+
+def _forest(members: DataFrame, num: int) -> DataFrame:
+    """(a, b): of the links between the components in each cell as many as join what is linked there, and no more.
+
+    members: (key, i, j, block, s, c, lists). Overlaps are counted fragment by fragment and summed for a pair; pairs that
+    are connected already by links found in the cell are passed over, so a cell has fewer links than members.
+    """
+
+    def of_cell(cell: pa.Table, two: bool) -> list[np.ndarray]:
+        s, c, block = (np.array(cell[x], np.int64) for x in ("s", "c", "block"))
+        lists = pa.concat_arrays(cell["lists"].chunks) if cell["lists"].num_chunks > 1 else cell["lists"].chunk(0)
+        inner = lists.flatten()
+        grams = np.asarray(inner.flatten(), np.int64).view(_U)
+        ends = np.concatenate([[0], np.cumsum(np.diff(np.asarray(inner.offsets)))]).reshape(-1)
+        starts = ends[:-1].reshape(len(s), FRAGMENTS)
+        stops = ends[1:].reshape(len(s), FRAGMENTS)
+        n = stops[:, -1] - starts[:, 0]
+        of = np.repeat(np.arange(len(s)), n)
+        ranges = np.bincount(of * RANGES + (grams >> _U(57)).astype(np.int64), minlength=len(s) * RANGES).reshape(-1, RANGES)
+        ranges = np.minimum(ranges, 65535).astype(np.uint16)
+        known, at = np.unique(grams, return_inverse=True)
+        mark = np.zeros(len(known), bool)
+        label, found = c.copy(), []
+        for p, qs in _candidates(c, block, n, ranges, two, num):
+            own = at[starts[p, 0] : stops[p, -1]]
+            mark[own] = True
+            for q in qs:
+                if label[p] != label[q]:
+                    shared = [int(mark[at[x:y]].sum()) for x, y in zip(starts[q], stops[q])]
+                    both = sum(shared)
+                    if both * 100 >= num * (n[p] + n[q] - both):
+                        found.append((s[p], s[q]))
+                        label[label == label[q]] = label[p]
+            mark[own] = False
+        made = np.array(found, np.int64).reshape(-1, 2)
+        return [made[:, 0], made[:, 1]]
+
+    return _by_cell(members, ["block", "s", "c", "lists"], of_cell, ["a", "b"]).distinct()
+
+
+def _sets(docs: DataFrame, rows: DataFrame, n: int, key: str, text: str) -> DataFrame:
+    """(row, lists): the segments in FRAGMENTS even ranges of the sets of these rows. Rows that repeat key and text are one."""
     asked = keeper(rows, "row")(docs.select(F.xxhash64(key, text).alias("row"), F.col(text).alias("text")), F.col("row"))
 
     def start():
@@ -262,7 +327,7 @@ def _segments(docs: DataFrame, rows: DataFrame, n: int, key: str, text: str) ->
         return work
 
     lists = add_columns(asked, ["text"], [T.StructField("lists", T.ArrayType(T.ArrayType(T.LongType())))], start)
-    return lists.select("row", F.posexplode("lists").alias("f", "grams")).filter(F.size("grams") > 0)
+    return lists.join(rows, "row", "left_semi").groupBy("row").agg(F.first("lists").alias("lists"))
 
 
 def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, num: int, key: str, text: str) -> DataFrame:
@@ -270,17 +335,40 @@ def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, num: int
     size = nodes.select("s", "n", "row")
     sized = pairs.join(size.withColumnsRenamed({"s": "a", "n": "na", "row": "x"}), "a").join(size.withColumnsRenamed({"s": "b", "n": "nb", "row": "y"}), "b")
     sized = stored(sized, "jaccard-sized")
-    rows = sized.select(F.explode(F.array("x", "y")).alias("row")).distinct()
-    # Rows that repeat key and text have equal segments, of which one is taken.
-    segments = _segments(docs, rows, n, key, text).groupBy("row", "f").agg(F.first("grams").alias("grams"))
-    each = sized.withColumn("f", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))))
-    left, right = segments.withColumnsRenamed({"row": "x", "grams": "gx"}), segments.withColumnsRenamed({"row": "y", "grams": "gy"})
-    # Sorted joins: by the size of its files Spark would take the sixteenfold list of pairs for small.
-    parts = each.hint("merge").join(left, ["x", "f"]).join(right.hint("merge"), ["y", "f"]).select("a", "b", "na", "nb", F.size(F.array_intersect("gx", "gy")).alias("part"))
-    whole = parts.groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("both"))
+    sets = _sets(docs, sized.select(F.explode(F.array("x", "y")).alias("row")).distinct(), n, key, text)
+    left, right = sets.withColumnsRenamed({"row": "x", "lists": "gx"}), sets.withColumnsRenamed({"row": "y", "lists": "gy"})
+    # Sorted joins: by the size of its files Spark would take the list of pairs for small.
+    both = sized.hint("merge").join(left, "x").join(right.hint("merge"), "y")
+    parts = F.zip_with("gx", "gy", lambda g, h: F.size(F.array_intersect(g, h)))
+    whole = both.select("a", "b", "na", "nb", F.aggregate(parts, F.lit(0), lambda t, part: t + part).alias("both"))
     return whole.filter(F.col("both") * 100 >= num * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
 
 
+def _linked(met: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, num: int, key: str, text: str) -> DataFrame:
+    """(s, c): the sets that are linked with others, with the smallest of their component."""
+    sizes = met.groupBy("key").agg(F.count("*").alias("size"))
+    degree = met.join(sizes, "key").groupBy("s").agg(F.sum("size").alias("degree"))
+    rest, links = stored(met.join(degree, "s").select("key", "s", "degree"), "jaccard-degrees"), None
+    for _ in range(STARS):
+        centres, pairs = _stars(rest, nodes, num)
+        new = stored(_links(pairs, nodes, docs, n, num, key, text), "jaccard-links")
+        links = new if links is None else links.unionByName(new)
+        found = components(links)
+        if new.isEmpty():
+            break
+        label = found.select(F.col("s").alias("a"), F.col("c").alias("of"))
+        apart = rest.join(centres, "key").join(found, "s", "left").join(label, "a", "left").filter(F.coalesce("c", "s") != F.coalesce("of", "a"))
+        rest = stored(apart.select("key", "s", "degree"), "jaccard-rest")
+    labelled = stored(nodes.join(found, "s", "left").withColumn("c", F.coalesce("c", "s")), "jaccard-labelled")
+    split = met.join(labelled.select("s", "c"), "s").groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y")
+    cells = stored(_cells(met.join(split.select("key"), "key", "left_semi"), labelled), "jaccard-cells")
+    kept = stored(_survivors(cells, num), "jaccard-kept")
+    rows = kept.select("s").distinct().join(nodes.select("s", "row"), "s")
+    sets = _sets(docs, rows.select("row"), n, key, text).join(rows, "row").select("s", "lists")
+    members = cells.select("key", "i", "j", "block", "s", "c").join(kept, ["key", "i", "j", "s"], "left_semi").join(sets, "s")
+    return components(links.unionByName(stored(_forest(members, num), "jaccard-forest")))
+
+
 def similar(docs: DataFrame, n: int = 5, num: int = 80, key: str = "doc_id", text: str = "text", store_keys: bool = True) -> DataFrame:
     """(key, row, n_shingles, component_id, component): a row for each row of `docs`, with the smallest key that it is linked to.
 
@@ -305,13 +393,7 @@ def similar(docs: DataFrame, n: int = 5, num: int = 80, key: str = "doc_id", tex
     sets = some.groupBy("s").agg(F.min("row").alias("row"), F.min("id").alias("id"), F.first("n").alias("n"), F.first("ranges").alias("ranges"))
     sets = stored(sets, "jaccard-sets")
     nodes = stored(sets.drop("id").join(met.select("s").distinct(), "s", "left_semi"), "jaccard-nodes")
-    first = stored(_links(_stars(met, nodes, num), nodes, docs, n, num, key, text), "jaccard-links")
-    found = components(first)
-    labelled = stored(nodes.join(found, "s", "left").withColumn("c", F.coalesce("c", "s")), "jaccard-labelled")
-    split = met.join(labelled.select("s", "c"), "s").groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y")
-    open_ = met.join(split.select("key"), "key")
-    second = _links(_pairs(_cells(open_, labelled), num), nodes, docs, n, num, key, text)
-    found = components(first.unionByName(second))
+    found = _linked(met, nodes, docs, n, num, key, text)
     classes = sets.select("s", "id").join(found, "s", "left").select("s", "id", F.coalesce("c", "s").alias("c"))
     smallest = classes.groupBy("c").agg(F.min("id").alias("component_id"))
     of = classes.select("s", "c").join(smallest, "c").select("s", "component_id", F.col("c").alias("component"))

@@ -122,3 +122,47 @@ def test_components_of_a_long_chain(spark):
     links = spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).unionByName(spark.createDataFrame([(500, 400), (7, 7), (None, 1)], "a long, b long"))
     found = {r.s: r.c for r in components(links).collect()}
     assert found == {i: 0 for i in range(201)} | {500: 400, 400: 400}
+
+
+def family(n, seed=5, words=300, edits=4):
+    """One text and its variants, which are near it, and mostly not near each other."""
+    rng = random.Random(seed)
+    first = [f"o{i}" for i in range(words)]
+    rows = [(0, " ".join(first))]
+    for i in range(1, n):
+        own = list(first)
+        for at in rng.sample(range(words), edits):
+            own[at] = f"v{i}x{at}"
+        rows.append((i, " ".join(own)))
+    return rows
+
+
+def test_rows_grow_with_the_members_of_a_group(spark, monkeypatch):
+    """A text and 800 variants: what is compared and linked stays a small multiple of them, not of their pairs."""
+    written, plain = {}, jaccard.stored
+
+    def counted(df, label):
+        made = plain(df, label)
+        written[label] = written.get(label, 0) + made.count()
+        return made
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    rows = family(801)
+    df = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], SCHEMA)
+    assert {r.component_id for r in jaccard.similar(df, 3, 90).collect()} == {0}
+    assert written["jaccard-sized"] <= 3 * 801 and written["jaccard-forest"] < 801 and written["jaccard-survivors"] <= 2 * 801
+
+
+def test_left_over_members_are_linked_in_cells(spark, monkeypatch):
+    """Without rounds of stars beyond the first, and with small blocks, the cells find what the stars left."""
+    monkeypatch.setattr(jaccard, "STARS", 1)
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    rng = random.Random(9)
+    rows = corpus(11, 150) + [(1000 + i, t) for i, (_, t) in enumerate(family(30, 6, 60, 1))]
+    # Chains: each text is near the one before only.
+    words = [f"c{i}" for i in range(100)]
+    for i in range(40):
+        at = rng.randrange(len(words))
+        words = [*words[:at], f"d{i}", *words[at + 1 :]]
+        rows.append((2000 + i, " ".join(words)))
+    assert run(spark, rows, 3, 90) == brute(rows, 3, 90)
