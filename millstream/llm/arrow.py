@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -9,7 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
+
+
+def release() -> None:
+    """Gives memory that a finished task no longer uses back to the system; its worker lives on for other tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def bound_batches(spark: SparkSession, limit: int = BATCH_BYTES) -> None:
@@ -40,6 +49,8 @@ def add_columns(
         for batch in batches:
             made = work([batch.column(i) for i in range(n)])
             yield pa.RecordBatch.from_arrays([*batch.columns[n:], *made], names=[*kept, *names])
+        del work
+        release()
 
     bound_batches(df.sparkSession)
     return sent.mapInArrow(run, schema)
