@@ -34,7 +34,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="millstream-")
-        spark.conf.set("spark.checkpoint.dir", named)
+    # The context remembers the folder; a running session's setting can't be changed.
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(named)
     return named
