@@ -10,7 +10,7 @@ from millstream.operators import aggregates as a
 from millstream.operators import joins, marts, quantiles, sequences, temporal
 from millstream.plans.registry import Tables, query
 from millstream.session import shared_path
-from millstream.sources import writers
+from millstream.sources import snapshots, writers
 
 R = 6  # digits that survive summation in another order
 
@@ -25,7 +25,7 @@ def hourly_sensor_stats(spark, sf):
     stats = a.hourly_sensor_stats(raw, "user_id", "ts", ["value"])
     path = shared_path(spark, "hourly")
     writers.upsert(spark, path, stats, ["ymd", "hour", "user_id"], [F.col("value_max").desc()], ["ymd"])
-    return spark.read.schema(stats.schema).parquet(path).select("ymd", "hour", "user_id", "value_max", "value_min", "value_avg")
+    return snapshots.read(spark, path).select("ymd", "hour", "user_id", "value_max", "value_min", "value_avg")
 
 
 @query(

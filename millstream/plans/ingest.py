@@ -12,7 +12,7 @@ from millstream.operators import sets
 from millstream.operators.quality import load_count_validation
 from millstream.plans.registry import Tables, query
 from millstream.session import shared_path
-from millstream.sources import progress, readers, writers
+from millstream.sources import progress, readers, snapshots, writers
 
 UPDATED = "ts + make_dt_interval(0, cast(user_id % 5 as int), 0, 0)"
 UPDATED_SQL = "ts + to_hours(CAST(user_id % 5 AS INTEGER))"
@@ -232,7 +232,7 @@ def upsert(spark, sf):
     writers.upsert(spark, path, events.select("event_id", ymd(), "value"), ["event_id", "ymd"], order, ["ymd"])
     late = events.filter("event_type = 'error'").select("event_id", ymd(), (F.col("value") * 2).alias("value"))
     writers.upsert(spark, path, late, ["event_id", "ymd"], order, ["ymd"])
-    return spark.read.schema(late.schema).parquet(path).select("event_id", "ymd", "value")
+    return snapshots.read(spark, path).select("event_id", "ymd", "value")
 
 
 @query(

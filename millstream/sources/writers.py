@@ -1,7 +1,7 @@
 """Writing tables: append, replace, upsert, CSV, several targets.
 
-Tables are Parquet folders. A partitioned table is rewritten partition by partition, so an upsert touches only the
-partitions that hold incoming keys.
+Tables are Parquet folders. Those that are upserted have versions (see `snapshots`): an upsert touches only the partitions
+that hold incoming keys, and readers see the old version until the new one is whole.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millstream.operators import joins
+from millstream.sources import snapshots
 from millstream.session import stored
 
 DYNAMIC = "dynamic"
@@ -65,33 +66,8 @@ def _stored_table(spark: SparkSession, path: str, new: DataFrame) -> DataFrame:
     return spark.read.schema(T.StructType([given.get(f.name, f) for f in found])).parquet(path)
 
 
-def upsert(
-    spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str], order: Sequence[Column],
-    partition_by: Sequence[str] = (),
-) -> None:
-    """New rows replace stored rows of the same keys; within `new` the first by `order` counts.
-
-    Only the columns of `new` are replaced: stored columns that it lacks keep their values, and are null in added rows;
-    columns that the table lacks are added. Keys must contain the partition columns, so that a key never moves between
-    partitions. The merged rows are made durable in the shared folder before anything is overwritten; after a crash
-    they are found there.
-    """
-    new = joins.distinct_on(new, keys, order)
-    if not exists(spark, path):
-        replace_table(new, path, partition_by)
-        return
-    old = _stored_table(spark, path, new)
-    if partition_by:
-        touched = new.select(*partition_by).distinct()
-        old = old.join(touched, list(partition_by), "left_semi")
-    more = [c for c in old.columns if c not in new.columns]
-    fresh = new.join(old.select(*keys, *more), list(keys), "left") if more else new
-    kept = old.join(new.select(*keys), list(keys), "left_anti")
-    merged = stored(fresh.unionByName(kept, allowMissingColumns=True), "merged")
-    if partition_by:
-        replace_slice(merged, path, partition_by)
-    else:
-        replace_table(merged, path)
+#: An upsert makes a new version of a table in one step; `snapshots.read` reads the current one.
+upsert = snapshots.upsert
 
 
 def upsert_do_nothing(

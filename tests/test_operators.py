@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millstream.operators import alerts, joins, observability, quality, quantiles, sequences, sets, spc, temporal
-from millstream.sources import progress, readers, writers
+from millstream.sources import progress, readers, snapshots, writers
 from millstream.session import shared_path
 
 
@@ -203,10 +203,10 @@ def test_upsert_keeps_columns_that_are_not_given(spark, tmp_path):
     path = str(tmp_path / "t")
     first = spark.createDataFrame([(1, "a", 10, "x"), (2, "b", 20, "x")], "id int, name string, qty int, part string")
     for by in ((), ("part",)):
-        writers.replace_table(first, path + str(len(by)), by)
+        snapshots.replace(spark, path + str(len(by)), first, by)
         later = spark.createDataFrame([(2, 21, "x", 1.5), (3, 30, "x", 2.5)], "id int, qty int, part string, extra double")
         writers.upsert(spark, path + str(len(by)), later, ["id", "part"], [F.col("qty")], by)
-        got = {r["id"]: (r["name"], r["qty"], r["extra"]) for r in spark.read.parquet(path + str(len(by))).collect()}
+        got = {r["id"]: (r["name"], r["qty"], r["extra"]) for r in snapshots.read(spark, path + str(len(by))).collect()}
         assert got == {1: ("a", 10, None), 2: ("b", 21, 1.5), 3: (None, 30, 2.5)}
 
 
@@ -235,7 +235,7 @@ def test_upsert_replaces_and_keeps(spark):
     schema = "k int, day string, v int"
     writers.upsert(spark, path, spark.createDataFrame([(1, "a", 1), (2, "a", 2), (3, "b", 3)], schema), ["k", "day"], [F.col("v")], ["day"])
     writers.upsert(spark, path, spark.createDataFrame([(2, "a", 20), (2, "a", 21), (4, "a", 4)], schema), ["k", "day"], [F.col("v").desc()], ["day"])
-    rows = {(r["k"], r["v"]) for r in spark.read.parquet(path).collect()}
+    rows = {(r["k"], r["v"]) for r in snapshots.read(spark, path).collect()}
     assert rows == {(1, 1), (2, 21), (3, 3), (4, 4)}
 
 
