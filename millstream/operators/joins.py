@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millstream.functions.timekeys import as_ntz, interval
 from millstream.functions.wallclock import seconds_between
+from millstream.operators import temporal
 from millstream.operators.chunked import join_null_safe, names
 
 
@@ -240,13 +241,33 @@ def wildcard_match_join(
 
 
 def effective_dated_join(
-    fact: DataFrame, mapping: DataFrame, key: str, ts: str, valid_from: str, valid_to: str
+    fact: DataFrame, mapping: DataFrame, key: str, ts: str, valid_from: str, valid_to: str, width: str = "30 days"
 ) -> DataFrame:
-    """Join to the mapping rows in force at the fact's time; an open end is null."""
-    inside = (F.col(valid_from).isNull() | (F.col(valid_from) <= F.col(ts))) & (
-        F.col(valid_to).isNull() | (F.col(valid_to) >= F.col(ts))
+    """Join to the mapping rows in force at the fact's time, both ends included; an open end is null.
+
+    The versions of a key are cut at all their bounds into elementary ranges, each with the versions in force there, which
+    are one where versions don't overlap. A fact finds its range by one scan in the order of time, so it meets no version
+    but its own. Facts without time match only versions that are open at both ends. `width` is best near the usual time
+    between the facts of a key or longer.
+    """
+    rest = [c for c in mapping.columns if c != key]
+    low, high = F.col(valid_from).cast("timestamp_ntz"), F.col(valid_to).cast("timestamp_ntz")
+    far = [F.lit(t).cast("timestamp_ntz") for t in ("0001-01-01 00:00:00", "9999-12-31 23:59:59.999999")]
+    spans = mapping.filter(F.col(key).isNotNull()).select(
+        F.col(key), F.struct(*rest).alias("__version"), F.coalesce(low, far[0]).alias("__low"), F.coalesce(high, far[1]).alias("__high"), high.alias("__end")
     )
-    return fact.join(mapping, key, "inner").filter(inside)
+    spans = spans.filter("__low <= __high")
+    ends = F.array("__low", F.col("__end") + F.expr("interval 1 microsecond"))
+    cuts = spans.select(key, F.explode(ends).alias("__cut")).filter(F.col("__cut").isNotNull()).distinct()
+    held = temporal.tree_pairs(cuts, spans, key, "__cut", "__low", "__high", "1 day").groupBy(key, "__cut").agg(F.collect_list("__version").alias("__versions"))
+    ranges = cuts.join(held, [key, "__cut"], "left")
+    timed = fact.withColumn("__at", F.col(ts).cast("timestamp_ntz"))
+    found = temporal.asof_join(timed, ranges, key, "__at", "__cut", ["__versions"], "__range", strict=False, width=width)
+    rows = found.select(*fact.columns, F.explode("__range.__versions").alias("__version"))
+    always = mapping.filter(F.col(valid_from).isNull() & F.col(valid_to).isNull())
+    untimed = fact.filter(F.col(ts).isNull()).join(always, key)
+    names_ = [key, *[c for c in fact.columns if c != key]]
+    return rows.select(*names_, "__version.*").unionByName(untimed.select(*names_, *rest))
 
 
 def distinct_on(df: DataFrame, keys, order: Sequence[Column]) -> DataFrame:

@@ -79,3 +79,27 @@ def test_work_order_periods_have_no_calendar(spark):
     o = spark.createDataFrame([("x", dt.date(1000, 1, 1), dt.date(2023, 1, 1))], "k string, prev date, cur date")
     made = joins.wo_period_join(o, m, "k", "prev", "cur", "d", "q")
     assert made.first()[3:] == (1, 2) and "sequence" not in made._jdf.queryExecution().executedPlan().toString()
+
+
+def dated(spark, facts, versions):
+    f = spark.createDataFrame(facts, "k string, id long, t timestamp_ntz")
+    v = spark.createDataFrame(versions, "k string, version long, st timestamp_ntz, fi timestamp_ntz")
+    return joins.effective_dated_join(f, v, "k", "t", "st", "fi")
+
+
+def test_versions_in_force_equal_a_nested_loop(spark):
+    facts, versions = some(8, 150, 40)
+    rng = random.Random(8)
+    versions = [(k, i, rng.choice([None, a, a]), b) for k, i, a, b in versions] + [("a", 900, None, None), (None, 901, None, None)]
+    facts += [("a", 500 + i, v) for i, (_, _, a, b) in enumerate(versions) for v in (a, b)]
+    got = dated(spark, facts, versions)
+    assert got.columns == ["k", "id", "t", "version", "st", "fi"]
+    expected = [(j, i) for k, i, a, b in versions for q, j, t in facts if k is not None and k == q and (a is None or t is not None and a <= t) and (b is None or t is not None and b >= t)]
+    assert sorted((r.id, r.version) for r in got.collect()) == sorted(expected)
+
+
+def test_many_versions_of_one_key(spark):
+    """Ten thousand versions, one after the other: each fact meets its own."""
+    versions = [("a", i, at(i * 10), T0 + dt.timedelta(minutes=i * 10 + 10, microseconds=-1)) for i in range(10_000)]
+    facts = [("a", i, at(i * 500 + 3)) for i in range(200)] + [("a", 999, at(-1))]
+    assert sorted((r.id, r.version) for r in dated(spark, facts, versions).collect()) == [(i, i * 50) for i in range(200)]
