@@ -32,10 +32,9 @@ ORDINARY_BYTES, TOXIC_BYTES = 16384, 4096
 STEPS = (1, 2, 3, 4, 5, 6)
 #: Chance that any beginning at all passes for a mark in texts that no word marks.
 CHANCE = 0.01
-#: Bounds of the training sample: texts of either class, windows of an ordinary text, bytes of a toxic text's words,
-#: beginnings of toxic words.
+#: Bounds of the training sample: texts of either class, and windows of an ordinary text.
 SAMPLE = {1: 4000, 0: 8000}
-TEXT_WINDOWS, TEXT_BYTES, BEGINNINGS = 20, 4096, 5000
+TEXT_WINDOWS = 20
 
 
 def plain(text: str | None) -> str:
@@ -73,10 +72,10 @@ def _compressor(content: bytes) -> zstandard.ZstdCompressor:
 
 
 def _trained(samples: list[bytes], size: int) -> bytes:
-    """Dictionary content; where there is too little text to train on, the text itself."""
+    """Dictionary content; where there is too little text to train on, all of the text itself."""
     whole = b"".join(samples)
     if len(whole) <= 8 * size:
-        return whole[:size]
+        return whole
     return zstandard.train_dictionary(size, samples, k=32, d=6).as_bytes()
 
 
@@ -155,9 +154,10 @@ def _beginnings(sample: DataFrame) -> list[str]:
     share = (F.col("toxic") + 0.5) / (F.col("n1") + 1) / ((F.col("ordinary") + 0.5) / (F.col("n0") + 1))
     marked = counts.filter("b IS NOT NULL AND length(b) > 3 AND toxic > 2").crossJoin(F.broadcast(total))  # one row
     marked = marked.withColumn("g", ratio).filter(share > 4)
-    found = marked.orderBy(F.desc("g"), "b").limit(BEGINNINGS).select("b", "g", "tested").collect()
-    # The ratio is a squared normal number where the word marks nothing.
-    return [r.b for r in found if r.g >= NormalDist().inv_cdf(CHANCE / r.tested / 2) ** 2]
+    tested = max(1, total.first()["tested"] or 0)
+    # The ratio is a squared normal number where the word marks nothing. The sample bounds how many beginnings there are.
+    found = marked.filter(F.col("g") >= NormalDist().inv_cdf(CHANCE / tested / 2) ** 2)
+    return [r.b for r in found.select("b").collect()]
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -185,7 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
             kinds, made = [], []
             for kind, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if kind:
-                    words = f" {' '.join(w for w in plain(t).split() if w[:PREFIX] in marks)} ".encode()[:TEXT_BYTES]
+                    words = f" {' '.join(w for w in plain(t).split() if w[:PREFIX] in marks)} ".encode()
                     own = [words[i : i + 400] for i in range(0, len(words), 400)] if len(words) > 8 else []
                 else:
                     own = windows(plain(t))
