@@ -107,11 +107,15 @@ def tumbling_10min_avg(spark, sf):
 SUFFIX = 12  # digits of a sensor number in these queries, enough for any id
 
 
-def hourly_by_location(spark, sf):
-    """Hourly rows of numbered sensors, and one location per sensor suffix."""
+def hourly_by_location(spark, sf, start_key, end_key):
+    """Hourly rows of numbered sensors from the days of two keys, and one location per sensor suffix.
+
+    The range is tested on the time itself, before the aggregation, so that the scan can use it.
+    """
     t = Tables(spark, sf)
+    events = t.events.filter((F.col("ts") >= tk.date_key_range(F.lit(start_key))[0]) & (F.col("ts") < tk.date_key_range(F.lit(end_key))[1]))
     sensor = F.concat(F.lit("SENSOR-"), F.lpad(F.col("user_id").cast("string"), SUFFIX, "0"))
-    hourly = a.hourly_sensor_stats(t.events.withColumn("sensor_id", sensor), "sensor_id", "ts", ["value"])
+    hourly = a.hourly_sensor_stats(events.withColumn("sensor_id", sensor), "sensor_id", "ts", ["value"])
     key = F.lpad(F.col("c_custkey").cast("string"), SUFFIX, "0")
     nations = t.nation.withColumnRenamed("n_nationkey", "c_nationkey").join(t.region.withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey")
     locations = t.customer.join(nations, "c_nationkey").select(
@@ -131,7 +135,7 @@ HOURLY_SQL = """h AS (SELECT strftime(ts, '%Y%m%d') AS ymd, CAST(hour(ts) AS INT
         FROM h JOIN l ON user_id = c_custkey WHERE factory = 'ASIA' AND building = 'NATION_12' AND substr(ymd, 1, 6) BETWEEN '202401' AND '202402' GROUP BY 1, 3, 4""",
 )
 def multi_level_time_agg(spark, sf):
-    hourly, locations = hourly_by_location(spark, sf)
+    hourly, locations = hourly_by_location(spark, sf, "202401", "202402")
     return a.multi_level_time_agg(hourly, locations, "202401", "202402", ["value"], factory="ASIA", building="NATION_12", suffix=SUFFIX)
 
 
@@ -141,7 +145,7 @@ def multi_level_time_agg(spark, sf):
         FROM h JOIN l ON user_id = c_custkey WHERE factory = 'AFRICA' AND building = 'NATION_5' AND floor = 1 AND ymd BETWEEN '20240105' AND '20240125' AND hour BETWEEN 6 AND 18 GROUP BY ALL""",
 )
 def multi_level_hourly_floor(spark, sf):
-    hourly, locations = hourly_by_location(spark, sf)
+    hourly, locations = hourly_by_location(spark, sf, "20240105", "20240125")
     return a.multi_level_time_agg(
         hourly, locations, "20240105", "20240125", ["value"], factory="AFRICA", building="NATION_5", floor=1,
         start_hour=6, end_hour=18, suffix=SUFFIX,
