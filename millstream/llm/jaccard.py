@@ -16,8 +16,9 @@ has in a fragment is its segment.
 * A group that meets is not listed as pairs. First each of its members is compared with one of them, that which meets most
   others in all its groups (of a text and its variants, usually the text); links made so far give components, and those
   that are not in the centre's have a second round with a centre of theirs. What is left in different components is
-  compared within tasks, in cells of two blocks: members that the bound leaves a partner get their sets, overlaps are
-  counted fragment by fragment and summed, and a cell gives no more links than join its members. So all that is
+  compared within tasks, in cells of two blocks: members that the bound leaves a partner get sketches of their sets, which
+  bound overlaps nearly exactly, and a cell proposes no more pairs than join its members. For these overlaps are counted
+  fragment by fragment and summed; a cell that proposed a pair in vain is worked out from whole sets. So all that is
   written grows with the members of the groups, not with their pairs.
 
 Sets whose hashes of all n-grams agree are taken as equal, and so are n-grams; both are 64-bit hashes.
@@ -33,6 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from millstream.llm.arrow import add_columns, bound_batches
 from millstream.llm.components import components
@@ -270,6 +272,40 @@ def _survivors(cells: DataFrame, num: int) -> DataFrame:
     return found.join(once, cell, "left_semi")
 
 
+def _proposed(members: DataFrame, num: int) -> DataFrame:
+    """(key, i, j, a, b): pairs of each cell that are links as far as their sketches tell, and join what they connect there.
+
+    members: (key, i, j, block, s, c, sketch). Pairs that are connected already by pairs of the cell are passed over, so a
+    cell has fewer pairs than members.
+    """
+
+    def of_cell(cell: pa.Table, two: bool) -> list[np.ndarray]:
+        s, c, block = (np.array(cell[x], np.int64) for x in ("s", "c", "block"))
+        sketches = [np.frombuffer(x, np.uint16) for x in cell["sketch"].to_pylist()]
+        n = np.fromiter(map(len, sketches), np.int64, len(s))
+        of = np.repeat(np.arange(len(s)), n) * RANGES
+        ranges = np.bincount(of + (np.concatenate(sketches) >> 9), minlength=len(s) * RANGES).reshape(-1, RANGES)
+        ranges = np.minimum(ranges, 65535).astype(np.uint16)
+        counted: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        label, found = c.copy(), []
+        for p, qs in _candidates(c, block, n, ranges, two, num):
+            qs = qs[label[qs] != label[p]]
+            own = np.bincount(sketches[p], minlength=1 << 16) if len(qs) else None
+            for q in qs.tolist():
+                if label[p] != label[q]:
+                    if q not in counted:
+                        counted[q] = np.unique(sketches[q], return_counts=True)
+                    values, times = counted[q]
+                    both = int(np.minimum(own[values], times).sum())
+                    if both * 100 >= num * (n[p] + n[q] - both):
+                        found.append((s[p], s[q]))
+                        label[label == label[q]] = label[p]
+        made = np.array(found, np.int64).reshape(-1, 2)
+        return [np.full(len(made), cell[x][0].as_py(), np.int64) for x in ("key", "i", "j")] + [made[:, 0], made[:, 1]]
+
+    return _by_cell(members, ["block", "s", "c", "sketch"], of_cell, ["key", "i", "j", "a", "b"])
+
+
 def _forest(members: DataFrame, num: int) -> DataFrame:
     """(a, b): of the links between the components in each cell as many as join what is linked there, and no more.
 
@@ -309,25 +345,35 @@ def _forest(members: DataFrame, num: int) -> DataFrame:
     return _by_cell(members, ["block", "s", "c", "lists"], of_cell, ["a", "b"]).distinct()
 
 
-def _sets(docs: DataFrame, rows: DataFrame, n: int, key: str, text: str) -> DataFrame:
-    """(row, lists): the segments in FRAGMENTS even ranges of the sets of these rows. Rows that repeat key and text are one."""
+def _sets(docs: DataFrame, rows: DataFrame, n: int, key: str, text: str, field: T.StructField, of: Callable[[np.ndarray], object]) -> DataFrame:
+    """(row, field): what `of` makes of the sorted set of each of these rows. Rows that repeat key and text are one."""
     asked = keeper(rows, "row")(docs.select(F.xxhash64(key, text).alias("row"), F.col(text).alias("text")), F.col("row"))
 
     def start():
         shingles = Shingles(n)
 
         def work(columns: list[pa.Array]) -> list[pa.Array]:
-            made = []
-            for t in columns[0].to_pylist():
-                grams = shingles.of(t)
-                cuts = np.searchsorted(grams >> _U(60), np.arange(FRAGMENTS + 1, dtype=_U))
-                made.append([grams[x:y].view(np.int64) for x, y in zip(cuts, cuts[1:])])
-            return [pa.array(made, pa.list_(pa.list_(pa.int64())))]
+            return [pa.array([of(shingles.of(t)) for t in columns[0].to_pylist()], to_arrow_type(field.dataType))]
 
         return work
 
-    lists = add_columns(asked, ["text"], [T.StructField("lists", T.ArrayType(T.ArrayType(T.LongType())))], start)
-    return lists.join(rows, "row", "left_semi").groupBy("row").agg(F.first("lists").alias("lists"))
+    made = add_columns(asked, ["text"], [field], start)
+    return made.join(rows, "row", "left_semi").groupBy("row").agg(F.first(field.name).alias(field.name))
+
+
+LISTS = T.StructField("lists", T.ArrayType(T.ArrayType(T.LongType())))
+SKETCH = T.StructField("sketch", T.BinaryType())
+
+
+def _fragments(grams: np.ndarray) -> list[np.ndarray]:
+    """The segments of a sorted set in FRAGMENTS even ranges."""
+    cuts = np.searchsorted(grams >> _U(60), np.arange(FRAGMENTS + 1, dtype=_U))
+    return [grams[x:y].view(np.int64) for x, y in zip(cuts, cuts[1:])]
+
+
+def _sketch(grams: np.ndarray) -> bytes:
+    """The first 16 bits of each n-gram. What two sketches have in common is never less than what the sets have."""
+    return (grams >> _U(48)).astype(np.uint16).tobytes()
 
 
 def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, num: int, key: str, text: str) -> DataFrame:
@@ -335,7 +381,7 @@ def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, num: int
     size = nodes.select("s", "n", "row")
     sized = pairs.join(size.withColumnsRenamed({"s": "a", "n": "na", "row": "x"}), "a").join(size.withColumnsRenamed({"s": "b", "n": "nb", "row": "y"}), "b")
     sized = stored(sized, "jaccard-sized")
-    sets = _sets(docs, sized.select(F.explode(F.array("x", "y")).alias("row")).distinct(), n, key, text)
+    sets = _sets(docs, sized.select(F.explode(F.array("x", "y")).alias("row")).distinct(), n, key, text, LISTS, _fragments)
     left, right = sets.withColumnsRenamed({"row": "x", "lists": "gx"}), sets.withColumnsRenamed({"row": "y", "lists": "gy"})
     # Sorted joins: by the size of its files Spark would take the list of pairs for small.
     both = sized.hint("merge").join(left, "x").join(right.hint("merge"), "y")
@@ -364,9 +410,24 @@ def _linked(met: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, num: int,
     cells = stored(_cells(met.join(split.select("key"), "key", "left_semi"), labelled), "jaccard-cells")
     kept = stored(_survivors(cells, num), "jaccard-kept")
     rows = kept.select("s").distinct().join(nodes.select("s", "row"), "s")
-    sets = _sets(docs, rows.select("row"), n, key, text).join(rows, "row").select("s", "lists")
-    members = cells.select("key", "i", "j", "block", "s", "c").join(kept, ["key", "i", "j", "s"], "left_semi").join(sets, "s")
-    return components(links.unionByName(stored(_forest(members, num), "jaccard-forest")))
+    cell = ["key", "i", "j"]
+    kept = stored(cells.select(*cell, "block", "s", "c").join(kept, [*cell, "s"], "left_semi"), "jaccard-members")
+
+    def with_sets(of: DataFrame, field: T.StructField, make) -> DataFrame:
+        wanted = rows.join(of.select("s").distinct(), "s", "left_semi")
+        sets = _sets(docs, wanted.select("row"), n, key, text, field, make).join(wanted, "row").select("s", field.name)
+        return of.join(sets, "s")
+
+    proposed = stored(_proposed(with_sets(kept, SKETCH, _sketch), num), "jaccard-proposed")
+    pairs = proposed.select("a", "b").distinct()
+    forest = stored(_links(pairs, nodes, docs, n, num, key, text), "jaccard-forest")
+    links = links.unionByName(forest)
+    # Sketches may say too much: cells that proposed a pair which is none are worked out from whole sets.
+    wrong = proposed.join(forest, ["a", "b"], "left_anti").select(*cell).distinct()
+    if not wrong.isEmpty():
+        again = kept.join(wrong, cell, "left_semi")
+        links = links.unionByName(stored(_forest(with_sets(again, LISTS, _fragments), num), "jaccard-exact"))
+    return components(links)
 
 
 def similar(docs: DataFrame, n: int = 5, num: int = 80, key: str = "doc_id", text: str = "text", store_keys: bool = True) -> DataFrame:

@@ -166,3 +166,11 @@ def test_left_over_members_are_linked_in_cells(spark, monkeypatch):
         words = [*words[:at], f"d{i}", *words[at + 1 :]]
         rows.append((2000 + i, " ".join(words)))
     assert run(spark, rows, 3, 90) == brute(rows, 3, 90)
+
+
+def test_sketches_that_say_too_much_are_corrected(spark, monkeypatch):
+    """With sketches that make all sets of a size alike, cells are worked out from whole sets."""
+    monkeypatch.setattr(jaccard, "_sketch", lambda grams: bytes(2 * len(grams)))
+    monkeypatch.setattr(jaccard, "STARS", 1)
+    rows = corpus(12, 120)
+    assert run(spark, rows, 3, 90) == brute(rows, 3, 90)
