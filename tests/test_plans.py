@@ -43,6 +43,11 @@ def test_range_reaches_the_scan(spark):
     assert "GreaterThanOrEqual(ts" in text.split("PushedFilters")[1] and "props" not in text.split("ReadSchema")[1]
 
 
+def test_hourly_range_reaches_the_scan(spark):
+    text = plan(queries()["multi_level_time_agg"](spark, SMALL))
+    assert "GreaterThanOrEqual(ts" in text and "LessThan(ts" in text
+
+
 def test_latest_needs_no_sort_of_the_key(spark):
     assert "Window" not in plan(queries()["latest_per_key"](spark, SMALL))
     assert "WindowGroupLimit" in plan(queries()["topk_per_group"](spark, SMALL))
