@@ -60,4 +60,4 @@ def test_empty_tables(spark, tmp_path):
 def test_registered():
     assert queries()["pipeline"] is corpus_pipeline.run and "pipeline" not in oracle_sql()
     numbers = sorted(int(q[2:].split("_")[0]) for q in queries() if q.startswith("op") and q[2].isdigit())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
