@@ -54,6 +54,35 @@ def test_repeated_rows_count_once_and_short_vectors_are_filled(spark):
     assert run(spark, rows, 2, 5) == [(0, 1, 1, 65536), (0, 2, 2, 65536), (2, 1, 0, 65536), (2, 2, 1, 32768)]
 
 
+def by_rows(rows, every, k):
+    """`brute` over rows, of which several may share an id: all but the query's own are candidates."""
+    good = [(i, [math.floor(256 * x) for x in v]) for i, v, _ in rows]
+    found = []
+    for at, (q, w) in enumerate(good):
+        if q % every == 0:
+            scores = sorted((-sum(a * b for a, b in zip(w, v)), i) for n, (i, v) in enumerate(good) if n != at)
+            found += [(q, r, i, -s) for r, (s, i) in enumerate(scores[:k], 1)]
+    return sorted(found)
+
+
+@pytest.mark.parametrize("shared", [[4, 4, 8, 11], [5, 10, 10]])
+def test_rows_that_share_an_id_are_rows_of_their_own(spark, shared):
+    rows = vectors(30, 6)
+    rows += [(i, v, "again") for (_, v, _), i in zip(vectors(len(shared), 6, seed=2), shared)]  # another vector
+    numbers = topk.whole_numbers(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 5 == 0)
+    assert sorted(tuple(r) for r in topk.nearest(numbers, 5).collect()) == by_rows(rows, 5, 5)
+
+
+def test_query_takes_every_row_but_its_own(spark, tmp_path):
+    from millstream.llm.queries import QUERIES
+
+    rows = vectors(120, 6)
+    rows += [rows[i] for i in (3, 3, 7, 50, 50, 99)] + [(7, rows[9][1], "other"), (100, rows[11][1], "other")]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = sorted(tuple(r) for r in QUERIES["op7_topk"](spark, str(tmp_path)).collect())
+    assert got == by_rows(rows, 50, 5)
+
+
 def test_few_and_no_rows(spark):
     assert run(spark, vectors(1, 3), 1, 5) == []
     assert run(spark, vectors(3, 3), 1, 5) == brute(vectors(3, 3), 1, 5)
