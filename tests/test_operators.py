@@ -86,6 +86,26 @@ def test_anti_join_keeps_null_keys(spark):
     assert {r["k"] for r in joins.anti_join_null_safe(df, bad, "k").collect()} == {2, None}
 
 
+@pytest.fixture
+def shuffled(spark):
+    """Joins with a shuffle, as on tables too large to broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield spark
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def largest_task(df):
+    return df.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+
+
+def test_null_keys_of_anti_joins_do_not_meet_in_a_task(shuffled):
+    df = shuffled.range(0, 4000, 1, 8).select("id", F.when(F.col("id") % 10 == 0, F.col("id")).alias("k"))
+    bad = shuffled.range(0, 4000, 20, 8).select(F.col("id").alias("k"))
+    for kept in (joins.anti_join_null_safe(df, bad, "k"), joins.orphan_rows(df, bad, "k")):
+        assert kept.columns == ["k", "id"] and kept.count() == 3800 and kept.filter("k is null").count() == 3600
+        assert largest_task(kept) < 1000
+
+
 def test_wildcards_equal_nested_loop(spark):
     rng = random.Random(5)
     fields = ["factory", "building", "floor"]
