@@ -106,6 +106,16 @@ def test_null_keys_of_anti_joins_do_not_meet_in_a_task(shuffled):
         assert largest_task(kept) < 1000
 
 
+def test_unreadable_keys_of_left_joins_do_not_meet_in_a_task(shuffled):
+    key = F.when(F.col("id") % 10 == 0, F.concat(F.lit(" "), "id")).otherwise("x")
+    left = shuffled.range(0, 4000, 1, 8).select("id", key.alias("k"))
+    right = shuffled.range(0, 4000, 20, 8).select(F.concat(F.lit("0"), "id").alias("r"), (F.col("id") + 1).alias("v"))
+    joined = joins.left_join_numeric_key(left, right, "k", "r")
+    assert joined.columns == ["id", "k", "v"] and joined.count() == 4000
+    assert joined.filter("v = id + 1").count() == 200 and joined.filter("v is null").count() == 3800
+    assert largest_task(joined) < 1000
+
+
 def test_wildcards_equal_nested_loop(spark):
     rng = random.Random(5)
     fields = ["factory", "building", "floor"]
