@@ -110,3 +110,18 @@ def test_boundaries_and_features(spark):
     assert (first["mix_duration_sec"], first["max_temp"], first["run_mode_start"]) == (70.0, 106.0, "Auto")
     assert first["peak_count"] == 1 and first["is_3_stage"] is True
     assert by_start[130]["mix_duration_sec"] == 20.0 and by_start[130]["run_mode_start"] == "Semi"
+
+
+def test_peaks_of_many_cycles_are_counted_in_one_stream(spark, at):
+    rng = random.Random(8)
+    long_, rows = {}, []
+    for k in [None, *range(60)]:
+        long_[k] = [float(rng.randint(0, 9)) for _ in range(200 if k == 7 else rng.randint(1, 20))]
+        rows += [(k, at(i), x) for i, x in enumerate(long_[k])]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # cycles end inside batches and go on over several
+    try:
+        got = cycles.peak_count(spark.createDataFrame(rows, "k long, ts timestamp_ntz, v double"), "k", "ts", "v", 3, 4)
+        assert "FlatMapGroups" not in got._jdf.queryExecution().executedPlan().toString()
+        assert {r["k"]: r["peak_count"] for r in got.collect()} == {k: len(walk_peaks(v, 3, 4)) for k, v in long_.items()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
