@@ -125,3 +125,10 @@ def test_peaks_of_many_cycles_are_counted_in_one_stream(spark, at):
         assert {r["k"]: r["peak_count"] for r in got.collect()} == {k: len(walk_peaks(v, 3, 4)) for k, v in long_.items()}
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_features_make_no_python_group_per_cycle(spark):
+    schema = "k long, ts timestamp_ntz, temp double, motor double, stage string, mode string"
+    found = spark.createDataFrame([], "k long, start timestamp_ntz, end timestamp_ntz")
+    got = cycles.cycle_features(spark.createDataFrame([], schema), found, "k", "ts", "temp", "motor", "stage", "mode")
+    assert "FlatMapGroups" not in got._jdf.queryExecution().executedPlan().toString() and got.collect() == []
