@@ -452,7 +452,10 @@ def oee_kpi(spark, sf):
     equipment = events.select("equip_id").distinct()
     # The shift map: every machine works three shifts on every day of the data.
     first, last = (events.agg(f(F.col("ts").cast("date"))).scalar() for f in (F.min, F.max))
-    days = equipment.withColumns({"lo": first, "hi": last}).select("equip_id", F.explode(F.sequence("lo", "hi")).alias("d"))
+    # A machine makes many shifts, so the machines are dealt over a fixed number of tasks, which adaptive execution keeps;
+    # by a hash of their own, as the plan would leave out a second shuffle by the same key.
+    dealt = equipment.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("equip_id"))
+    days = dealt.withColumns({"lo": first, "hi": last}).select("equip_id", F.explode(F.sequence("lo", "hi")).alias("d"))
     shift_map = days.withColumn("shift_id", F.explode(F.sequence(F.lit(0), F.lit(2))))
     begin = F.col("d").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), (F.col("shift_id") * 8).cast("int"))
     shifts = shift_map.select("equip_id", F.col("shift_id").cast("long").alias("shift_id"), begin.alias("shift_start"))

@@ -103,3 +103,23 @@ def test_many_versions_of_one_key(spark):
     versions = [("a", i, at(i * 10), T0 + dt.timedelta(minutes=i * 10 + 10, microseconds=-1)) for i in range(10_000)]
     facts = [("a", i, at(i * 500 + 3)) for i in range(200)] + [("a", 999, at(-1))]
     assert sorted((r.id, r.version) for r in dated(spark, facts, versions).collect()) == [(i, i * 50) for i in range(200)]
+
+
+def test_short_spans_take_few_levels_of_the_tree(spark):
+    """A step of the walk for each level is the cost of a span; a short one must not pay for the longest."""
+    rows = spark.createDataFrame([(5, 5), (5, 6), (-3, 2)], "a long, b long").select(temporal._nodes(F.col("a"), F.col("b")).alias("n"))
+    plan = rows._jdf.queryExecution().analyzed().toString()
+    assert f"sequence(0, {temporal._TOP_LEVEL}," not in plan.lower()
+    assert [[tuple(x) for x in r.n] for r in rows.collect()] == [[(0, 5)], [(0, 5), (0, 6)], [(0, -3), (0, -2), (0, -1), (0, 0), (0, 1), (0, 2)]]
+
+
+def test_the_shift_map_is_made_in_many_tasks(spark, tmp_path, monkeypatch, at):
+    from millstream.operators import marts
+    from millstream.plans import aggregates
+
+    rows = [(i, at(600 * (i % 9)), i % 40, ("view", "purchase", "error")[i % 3], 1.0) for i in range(400)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double").write.parquet(f"{tmp_path}/events.parquet")
+    seen, real = [], marts.oee_kpi
+    monkeypatch.setattr(aggregates.marts, "oee_kpi", lambda shifts, *a: (seen.append(shifts), real(shifts, *a))[1])
+    aggregates.oee_kpi(spark, str(tmp_path))
+    assert seen[0].select(F.spark_partition_id()).distinct().count() > 4
