@@ -312,26 +312,26 @@ def stream_cycle_detect(
     def step(k: tuple, held: tuple | None, rows: pd.DataFrame) -> tuple[tuple, pd.DataFrame | None]:
         held_door, held_mixer, held_start = held or (None, None, None)
 
-        def before(column: pd.Series, known: object) -> tuple[pd.Series, object]:
-            """The last value before each row, and after all of them."""
-            values = column.to_numpy(object)
-            at = np.maximum.accumulate(np.where(pd.notna(values), np.arange(1, len(values) + 1), 0))
+        def before(values: np.ndarray, valid: np.ndarray, known: object) -> tuple[np.ndarray, object]:
+            """The last valid value before each row, and after all of them."""
+            at = np.maximum.accumulate(np.where(valid, np.arange(1, len(values) + 1), 0))
             filled = np.concatenate([np.array([known], object), values])[np.concatenate([[0], at])]
-            return pd.Series(filled[:-1], column.index), filled[-1]
-
-        doors = rows[door].where(rows[door].isin(["open", "close"]), None)
-        mixers = rows[mixer].where(rows[mixer].isin(["RUN", "STOP"]), None)
-        old_door, held_door = before(doors, held_door)
-        old_mixer, held_mixer = before(mixers, held_mixer)
-        opened = (doors == "open") & (old_door == "close")
-        old_start, held_start = before(rows["event_us"].astype(object).where(opened, None), held_start)
-        started = (mixers == "RUN") & (old_mixer.isna() | (old_mixer == "STOP"))
-        stopped = (mixers == "STOP") & (old_mixer == "RUN")
+            return filled[:-1], filled[-1]
+
+        # Plain arrays: a key has few rows at a time, and a pandas operation costs more than its rows.
+        doors, mixers = rows[door].to_numpy(object), rows[mixer].to_numpy(object)
+        opens, runs, stops = doors == "open", mixers == "RUN", mixers == "STOP"
+        old_door, held_door = before(doors, opens | (doors == "close"), held_door)
+        old_mixer, held_mixer = before(mixers, runs | stops, held_mixer)
+        opened = opens & (old_door == "close")
+        old_start, held_start = before(rows["event_us"].to_numpy().astype(object), opened, held_start)
+        started = runs & ((old_mixer == None) | (old_mixer == "STOP"))  # noqa: E711
+        stopped = stops & (old_mixer == "RUN")
         kind, at = np.nonzero(np.stack([opened, started, stopped]))
         held = (held_door, held_mixer, held_start)
         if not len(at):
             return held, None
-        cycles = pd.array(old_start.to_numpy(object)[at], dtype="Int64")
+        cycles = pd.array(old_start[at], dtype="Int64")
         return held, pd.DataFrame({key: k[0], tiebreak: rows[tiebreak].to_numpy()[at], "transition": np.array(TRANSITIONS, object)[kind], "cycle_us": cycles})
 
     columns = stream.select(key, ts, tiebreak, door, mixer)

@@ -240,3 +240,18 @@ def test_rows_without_time_are_late(spark):
 def test_blocks_keep_their_rows():
     rows = pd.DataFrame({"event_us": [3, 1], "id": ["a", None], "x": [1.5, None]})
     assert ordered._unpacked(ordered._packed(rows)).equals(rows)
+
+
+def test_cycle_step_makes_no_pandas_columns(spark, monkeypatch):
+    """A key has few rows in a batch; what the step costs then is pandas operations, not rows."""
+    import pandas as pd
+
+    kept = []
+    monkeypatch.setattr(st, "in_time_order", lambda stream, keys, ts, tie, columns, step, *a: (kept.append(step), stream.selectExpr("k", "id", "'' transition", "0L cycle_us"))[1])
+    st.stream_cycle_detect(spark.createDataFrame([], "k long, ts timestamp, id long, door string, mixer string"), "k", "ts", "door", "mixer", "id")
+    rows = pd.DataFrame({"event_us": [1, 2, 3, 4, 5, 6], "id": range(6), "door": ["close", None, "open", "x", "open", "close"], "mixer": [None, "RUN", None, "STOP", "RUN", "?"]})
+    monkeypatch.setattr(pd.Series, "isin", None)
+    held, made = kept[0]((7,), None, rows)
+    assert held == ("close", "RUN", 3)
+    assert [tuple(r) for r in made[["id", "transition"]].to_numpy()] == [(2, "door_opened"), (1, "run_start"), (4, "run_start"), (3, "run_stop")]
+    assert made["cycle_us"].isna().tolist() == [True, True, False, False]
