@@ -132,3 +132,40 @@ def test_features_make_no_python_group_per_cycle(spark):
     found = spark.createDataFrame([], "k long, start timestamp_ntz, end timestamp_ntz")
     got = cycles.cycle_features(spark.createDataFrame([], schema), found, "k", "ts", "temp", "motor", "stage", "mode")
     assert "FlatMapGroups" not in got._jdf.queryExecution().executedPlan().toString() and got.collect() == []
+
+
+def machine_rows(n=400, seed=4):
+    """(k, id, ts, door, mixer, stage, motor, temp, mode) with null keys and readings, and rows at one time."""
+    rng = random.Random(seed)
+    t0 = dt.datetime(2024, 1, 1)
+    pick = rng.choice
+    return [
+        (pick([1, 2, 3, None]), i, t0 + dt.timedelta(minutes=7 * (i // 2)), pick(["open", "close", None]), pick(["RUN", "STOP", None]),
+         pick(["mix", "load", None]), pick([None, float(rng.randrange(400))]), float(rng.randrange(90, 120)), pick(["Auto", None]))
+        for i in range(n)
+    ]
+
+
+def machine_results(spark):
+    schema = "k int, id int, ts timestamp_ntz, door string, mixer string, stage string, motor double, temp double, mode string"
+    df = spark.createDataFrame(machine_rows(), schema)
+    marked = cycles.mark_transitions(df, "k", "ts", "door", "mixer", ["id"])
+    found = cycles.cycle_boundaries(marked, "k", "ts")
+    made = [marked, found, cycles.in_cycles(df, found, "k", "ts"), cycles.state_duration(df, "k", "ts", "stage", tiebreak=["id"])]
+    made.append(cycles.peak_count(df, "k", "ts", "motor", 100.0, 2, ["id"]))
+    made.append(cycles.cycle_features(df, found, "k", "ts", "temp", "motor", "stage", "mode", tiebreak=["id"], distance=2, min_peaks=1))
+    return [sorted(map(str, m.collect())) for m in made]
+
+
+def test_whole_keys_equal_chunks(spark, monkeypatch):
+    whole = machine_results(spark)
+    monkeypatch.setattr(cycles.chunked, "WHOLE_ROWS", 0)
+    assert machine_results(spark) == whole and all(whole)
+
+
+def test_short_keys_take_one_shuffle(spark):
+    """Keys with few rows aren't cut into chunks, of which each row would be one."""
+    df = spark.createDataFrame(machine_rows(40), "k int, id int, ts timestamp_ntz, door string, mixer string, stage string, motor double, temp double, mode string")
+    marked = cycles.mark_transitions(df, "k", "ts", "door", "mixer", ["id"])
+    assert marked._jdf.queryExecution().sparkPlan().toString().count("Window") == 1
+    assert "Join" not in marked._jdf.queryExecution().sparkPlan().toString()
