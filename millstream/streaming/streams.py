@@ -23,7 +23,7 @@ from millstream.functions.wallclock import width_us
 from millstream.operators import alerts as al
 from millstream.operators.chunked import names
 from millstream.session import shared_path
-from millstream.streaming.ordered import in_time_order
+from millstream.streaming.ordered import Columns, in_time_order
 
 
 def file_stream(
@@ -266,9 +266,9 @@ def stream_spc(stream: DataFrame, key: str, ts: str, value: str, tiebreak: str,
     """
     width = spc_coefficients(2).d2
 
-    def step(k: tuple, held: tuple | None, rows: pd.DataFrame) -> tuple[tuple, pd.DataFrame | None]:
+    def step(k: tuple, held: tuple | None, rows: Columns) -> tuple[tuple, Columns | None]:
         last, ranges, n, total, moves, moved = held or (None, [], 0, 0.0, 0, 0.0)
-        x = rows[value].to_numpy(float)
+        x = np.asarray(rows[value], float)
         change = np.diff(x, prepend=np.nan if last is None else last)
         known = np.concatenate([np.array(ranges, float), change[np.isfinite(change)]])
         rises = np.sign(np.diff(known))
@@ -290,7 +290,7 @@ def stream_spc(stream: DataFrame, key: str, ts: str, value: str, tiebreak: str,
         kept = (float(x[-1]), known[-RANGES_KEPT:].tolist(), int(counts[-1]), float(sums[-1]), int(steps[-1]), float(moving[-1]))
         if not len(at):
             return kept, None
-        return kept, pd.DataFrame({key: k[0], tiebreak: rows[tiebreak].to_numpy()[at], "event": np.array(SPC_EVENTS, object)[kind], **limits})
+        return kept, {key: np.full(len(at), k[0], object), tiebreak: rows[tiebreak][at], "event": np.array(SPC_EVENTS, object)[kind], **limits}
 
     columns = stream.select(key, ts, tiebreak, F.col(value).cast("double").alias(value)).filter(F.col(value).isNotNull())
     output = f"{key} {_ddl(stream, key)}, {tiebreak} {_ddl(stream, tiebreak)}, event string, center double, lower double, upper double"
@@ -309,7 +309,7 @@ def stream_cycle_detect(
     State per key: last door, last mixer state and the start of the cycle.
     """
 
-    def step(k: tuple, held: tuple | None, rows: pd.DataFrame) -> tuple[tuple, pd.DataFrame | None]:
+    def step(k: tuple, held: tuple | None, rows: Columns) -> tuple[tuple, pd.DataFrame | None]:
         held_door, held_mixer, held_start = held or (None, None, None)
 
         def before(values: np.ndarray, valid: np.ndarray, known: object) -> tuple[np.ndarray, object]:
@@ -319,12 +319,12 @@ def stream_cycle_detect(
             return filled[:-1], filled[-1]
 
         # Plain arrays: a key has few rows at a time, and a pandas operation costs more than its rows.
-        doors, mixers = rows[door].to_numpy(object), rows[mixer].to_numpy(object)
+        doors, mixers = np.asarray(rows[door], object), np.asarray(rows[mixer], object)
         opens, runs, stops = doors == "open", mixers == "RUN", mixers == "STOP"
         old_door, held_door = before(doors, opens | (doors == "close"), held_door)
         old_mixer, held_mixer = before(mixers, runs | stops, held_mixer)
         opened = opens & (old_door == "close")
-        old_start, held_start = before(rows["event_us"].to_numpy().astype(object), opened, held_start)
+        old_start, held_start = before(np.asarray(rows["event_us"]).astype(object), opened, held_start)
         started = runs & ((old_mixer == None) | (old_mixer == "STOP"))  # noqa: E711
         stopped = stops & (old_mixer == "RUN")
         kind, at = np.nonzero(np.stack([opened, started, stopped]))
@@ -332,7 +332,7 @@ def stream_cycle_detect(
         if not len(at):
             return held, None
         cycles = pd.array(old_start[at], dtype="Int64")
-        return held, pd.DataFrame({key: k[0], tiebreak: rows[tiebreak].to_numpy()[at], "transition": np.array(TRANSITIONS, object)[kind], "cycle_us": cycles})
+        return held, pd.DataFrame({key: k[0], tiebreak: np.asarray(rows[tiebreak])[at], "transition": np.array(TRANSITIONS, object)[kind], "cycle_us": cycles})
 
     columns = stream.select(key, ts, tiebreak, door, mixer)
     output = f"{key} {_ddl(stream, key)}, {tiebreak} {_ddl(stream, tiebreak)}, transition string, cycle_us long"

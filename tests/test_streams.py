@@ -255,3 +255,22 @@ def test_cycle_step_makes_no_pandas_columns(spark, monkeypatch):
     assert held == ("close", "RUN", 3)
     assert [tuple(r) for r in made[["id", "transition"]].to_numpy()] == [(2, "door_opened"), (1, "run_start"), (4, "run_start"), (3, "run_stop")]
     assert made["cycle_us"].isna().tolist() == [True, True, False, False]
+
+
+def test_keys_share_a_state(spark, monkeypatch):
+    """The state has rows for groups of keys, not for keys, and each key its own results; null is a key too."""
+    monkeypatch.setattr(ordered, "GROUPS", 4)
+    monkeypatch.setattr(ordered, "BLOCK", 50)
+    folder, place = shared_path(spark, "arrivals"), shared_path(spark, "place")
+    rows = readings(900, keys=30)
+    for n, batch in enumerate([*cut(rows, "unordered", 3), CLOSING]):
+        arrive(spark, folder, n, [(None if k == 29 else k, *rest) for k, *rest in batch])
+    made = st.stream_spc(stream(spark, folder), "k", "ts", "value", "id", idle="100000 days")
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    spark.conf.set(*next(iter(ordered.SETTINGS.items())))
+    query = made.writeStream.format("parquet").trigger(availableNow=True).option("checkpointLocation", f"{place}/_chk").start(f"{place}/data")
+    spark.conf.unset("spark.sql.streaming.stateStore.providerClass") if before is None else spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    query.awaitTermination()
+    found = spark.read.schema(made.schema).parquet(f"{place}/data").collect()
+    assert sorted((29 if r.k is None else r.k, r.id, r.event) for r in found) == plain_chart(rows) and any(r.k is None for r in found)
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] < 30
