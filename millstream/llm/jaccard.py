@@ -48,6 +48,8 @@ RANGES, FRAGMENTS = 128, 16
 WORDS_KEPT = 100_000
 #: Bits of the table of shared meeting places, of which there are many: 8 MB at most.
 KEY_BITS = 25
+#: Bits of a meeting place that are counted first where places aren't kept.
+CUT_BITS = 40
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _U = np.uint64
 
@@ -430,6 +432,12 @@ def _linked(met: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, num: int,
     return components(links)
 
 
+def _shared(keys: DataFrame) -> DataFrame:
+    """(key): meeting places of several sets."""
+    several = keys.groupBy("key").agg(F.min("s").alias("x"), F.max("s").alias("y")).filter("x <> y")
+    return stored(several.select("key"), "jaccard-keys")
+
+
 def similar(docs: DataFrame, n: int = 5, num: int = 80, key: str = "doc_id", text: str = "text", store_keys: bool = True) -> DataFrame:
     """(key, row, n_shingles, component_id, component): a row for each row of `docs`, with the smallest key that it is linked to.
 
@@ -447,9 +455,18 @@ def similar(docs: DataFrame, n: int = 5, num: int = 80, key: str = "doc_id", tex
     each = stored(made if store_keys else made.drop("keys"), "jaccard-signatures")
     some = each.filter("n > 0")
     keys = (some if store_keys else made.filter("n > 0")).select("s", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("s").alias("x"), F.max("s").alias("y")).filter("x <> y").select("key")
-    shared = stored(shared, "jaccard-keys")
-    met = stored(keeper(shared, "key", KEY_BITS)(keys, F.col("key")).join(shared, "key").distinct(), "jaccard-met")
+    if store_keys:
+        shared = _shared(keys)
+        met = keeper(shared, "key", KEY_BITS)(keys, F.col("key")).join(shared, "key").distinct()
+        met = stored(met, "jaccard-met")
+    else:
+        # The beginnings of meeting places, with a count that packs to nothing, take half the bytes of whole ones with two sets.
+        # What comes through by copies or equal beginnings alone goes afterwards, when it is little.
+        cut = F.pmod("key", F.lit(1 << CUT_BITS))
+        often = keys.groupBy(cut.alias("cut")).agg(F.count("*").alias("rows")).filter("rows > 1").select("cut")
+        often = stored(often, "jaccard-cut")
+        met = stored(keeper(often, "cut", KEY_BITS)(keys, cut).join(often, cut == F.col("cut")).select("s", "key").distinct(), "jaccard-maybe")
+        met = stored(met.join(_shared(met), "key"), "jaccard-met")
     # Copies are counted down to one row a task before they are shuffled.
     sets = some.groupBy("s").agg(F.min("row").alias("row"), F.min("id").alias("id"), F.first("n").alias("n"), F.first("ranges").alias("ranges"))
     sets = stored(sets, "jaccard-sets")

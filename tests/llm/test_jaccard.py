@@ -174,3 +174,15 @@ def test_sketches_that_say_too_much_are_corrected(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "STARS", 1)
     rows = corpus(12, 120)
     assert run(spark, rows, 3, 90) == brute(rows, 3, 90)
+
+
+@pytest.mark.parametrize("bits", [3, 40])
+def test_cut_meeting_places_lose_and_add_nothing(spark, monkeypatch, bits):
+    """Where places aren't kept, their beginnings are counted first; however many of these are equal, the rows are the same."""
+    rng = random.Random(8)
+    base = [" ".join(rng.choice("abcdefghij") + str(rng.randrange(40)) for _ in range(40)) for _ in range(6)]
+    texts = base + [t + " more" for t in base] + base[:2] + ["", None, "short one"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    monkeypatch.setattr(jaccard, "CUT_BITS", bits)
+    of = lambda kept: sorted(map(tuple, jaccard.similar(df, store_keys=kept).drop("row").collect()), key=str)
+    assert of(False) == of(True)
