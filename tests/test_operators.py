@@ -297,3 +297,15 @@ def test_incremental_range_waits_at_margin(spark):
     got = progress.incremental_range(state, "job", "marker", "2024-01-01 12:20:00", "1 hour", "10 minutes", align="10 minutes").collect()
     assert [(r["range_start"].minute, r["range_end"].hour, r["range_end"].minute) for r in got] == [(50, 12, 10)]
     assert progress.incremental_range(state, "job", "marker", "2024-01-01 11:58:00", align="10 minutes").isEmpty()
+
+
+def test_pairs_of_one_file_are_made_in_many_tasks(spark):
+    alerts_ = spark.range(2000).selectExpr("cast(id as int) a", "cast(null as string) sensor", "'f1' factory").coalesce(1)
+    subs = spark.createDataFrame([(i, None, "f1" if i % 2 else None) for i in range(10)], "s int, sensor string, factory string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = joins.wildcard_match_join(alerts_, subs, "a", "s", "sensor", ["factory"])
+        shares = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(shares) == 20_000 and max(shares) < 10_000
