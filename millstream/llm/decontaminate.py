@@ -12,6 +12,8 @@ texts are never shuffled, and only rows near the benchmark are.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,8 +72,11 @@ def items(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> Dat
     rows = benchmark.select(F.col(key).alias("item"), tokens(F.col(text)).alias("w")).distinct().withColumn("c", template("w"))
     rows = rows.withColumn("v", F.transform("w", lambda x: F.rtrim(F.lower(x), F.lit(".!?")))).filter(F.size("c") >= LEAST_TOKENS)
     rows = rows.withColumn("n", F.least(F.size("c"), F.lit(WINDOW))).withColumn("text", F.xxhash64("w"))
-    each = rows.select("item", "text", "n", "c", "v", F.explode(F.sequence(F.lit(1), F.size("c") - F.col("n") + 1)).alias("at"))
-    each = each.select("item", "text", "n", "at", F.slice("c", F.col("at"), F.col("n")).alias("c"), F.slice("v", F.col("at"), F.col("n")).alias("v"))
+    windows = F.transform(
+        F.sequence(F.lit(1), F.size("c") - F.col("n") + 1),
+        lambda i: F.struct(i.alias("at"), F.slice("c", i, F.col("n")).alias("c"), F.slice("v", i, F.col("n")).alias("v")),
+    )
+    each = rows.select("item", "text", "n", F.explode_outer(windows).alias("s")).select("item", "text", "n", "s.*")
     plain_words = F.size(F.filter("c", lambda x: ~F.startswith(x, F.lit("#"))))
     each = each.filter(plain_words >= F.greatest(F.col("n") - (WINDOW - WORDS), F.lit(1))).withColumn("h", F.xxhash64("c"))
     return each.withColumn("total", F.count("*").over(Window.partitionBy("item", "text")))  # the windows of one item
@@ -98,9 +103,13 @@ def _copies(docs: DataFrame, benchmark: DataFrame, parts: DataFrame, key: str, t
         sizes, most = sorted(k.n for k in kinds if not k.lone), max(k.most for k in kinds if not k.lone)
         some = whole.filter("NOT lone")
         may = sieve(some, "h")
-        near = own.select("id", "doc", _values(tokens(F.col("t"))).alias("c")).withColumn("s", F.flatten(F.array(*[_places(n, may) for n in sizes])))
-        near = near.withColumn("s", F.explode_outer("s")).filter("s IS NOT NULL")
-        near = near.select("id", "doc", F.xxhash64(F.slice("c", F.col("s.at"), F.col("s.n"))).alias("h"), F.slice("c", F.col("s.at"), F.lit(most)).alias("u"))
+
+        def window(n: int, i: Column) -> Column:
+            return F.struct(F.xxhash64(F.slice("c", i, F.lit(n))).alias("h"), F.slice("c", i, F.lit(most)).alias("u"))
+
+        cut = F.flatten(F.array(*[_places(n, may, window) for n in sizes]))  # before the explode, as in `leaks`
+        near = own.select("id", "doc", _values(tokens(F.col("t"))).alias("c")).select("id", "doc", F.explode_outer(cut).alias("s"))
+        near = near.filter("s IS NOT NULL").select("id", "doc", "s.*")
         held = near.join(some, "h").filter(F.slice("u", F.lit(1), F.size("v")) == F.col("v"))
         made = made.unionByName(held.select("id", "doc", "item"))
     if any(k.lone for k in kinds):
@@ -163,11 +172,16 @@ def leaks(
     sizes = sorted(r.n for r in parts.select("n").distinct().collect())  # no more than WINDOW values
     may = sieve(parts, "h")
     rows = docs.select(F.col(key).alias("id"), F.xxhash64(key, text).alias("doc"), tokens(F.col(text)).alias("w")).withColumn("c", template("w"))
-    near = rows.withColumn("at", F.flatten(F.array(*[_places(n, may) for n in sizes])) if sizes else F.array().cast("array<struct<n:int,at:int>>"))
-    # An outer explode: for a plain one Spark would test the list's size first, and make it anew for that.
-    near = near.select("id", "doc", "w", "c", F.explode_outer("at").alias("s")).filter("s IS NOT NULL").select("id", "doc", "w", "c", "s.n", "s.at")
-    values = F.transform(F.slice("w", F.col("at"), F.col("n")), lambda x: F.rtrim(F.lower(x), F.lit(".!?")))
-    near = near.select("id", "doc", F.col("at").alias("place"), F.slice("c", F.col("at"), F.col("n")).alias("c"), values.alias("u"))
+    kind = "array<struct<place:int,c:array<string>,u:array<string>>>"
+
+    def window(n: int, i: Column) -> Column:
+        return F.struct(i.alias("place"), F.slice("c", i, F.lit(n)).alias("c"), _values(F.slice("w", i, F.lit(n))).alias("u"))
+
+    # Windows are cut out before the explode, since Spark holds all rows that it makes of a text at once: with the whole
+    # text on each, they would grow with its length times its windows. An outer explode: for a plain one Spark would test
+    # the list's size first, and make it anew for that.
+    cut = F.flatten(F.array(*[_places(n, may, window) for n in sizes])) if sizes else F.array().cast(kind)
+    near = rows.select("id", "doc", F.explode_outer(cut).alias("s")).filter("s IS NOT NULL").select("id", "doc", "s.*")
     near = stored(near.withColumn("h", F.xxhash64("c")), "benchmark-near")
     met = near.join(parts, ["h", "c"]).withColumn("line", F.col("place") - F.col("at"))
     one = ["id", "doc", "item", "text", "line"]
@@ -184,11 +198,11 @@ def leaks(
     return best.select(F.col("id").alias(key), "doc", F.col("item").alias(item_key), F.col("m.windows").cast("long").alias("windows"), "m.share", "m.changed")
 
 
-def _places(n: int, may) -> Column:
-    """(n, at) of the windows of n tokens that may be in the benchmark."""
+def _places(n: int, may, window: Callable[[int, Column], Column]) -> Column:
+    """`window` of n and of the place of each window of n tokens that may be in the benchmark."""
     every = F.when(F.size("c") >= n, F.sequence(F.lit(1), F.size("c") - (n - 1))).otherwise(F.array().cast("array<int>"))
     kept = F.filter(every, lambda i: may(F.xxhash64(F.slice("c", i, F.lit(n)))))
-    return F.transform(kept, lambda i: F.struct(F.lit(n).alias("n"), i.alias("at")))
+    return F.transform(kept, lambda i: window(n, i))
 
 
 def clean(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,5 +1,7 @@
 """Items are found with other numbers, names and units, and texts of like form are not."""
 
+import re
+
 from millstream.llm import decontaminate
 
 ITEM = "A train leaves the old station at 40 km and then Anna walks 12 km more before she meets Paul at the gate."
@@ -70,3 +72,23 @@ def test_clean_keeps_the_others(spark):
     bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     kept = decontaminate.clean(df, decontaminate.leaks(df, bench))
     assert kept.columns == df.columns and sorted(r.c for r in kept.collect()) == [2, 3]
+
+
+def test_windows_do_not_carry_their_text(spark, monkeypatch):
+    """All windows of a text are held at once, so that one dense text would take its length times its windows."""
+    kept = {}
+    plain = decontaminate.stored
+
+    def stored(df, label):
+        kept[label] = df._jdf.queryExecution().executedPlan().toString()
+        return plain(df, label)
+
+    monkeypatch.setattr(decontaminate, "stored", stored)
+    dense = " ".join(f"{ITEM} {OTHER} now five words make it" for _ in range(40))
+    docs = spark.createDataFrame([(1, dense), (2, "nothing of the kind")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, ITEM), (2, OTHER), (3, "5 6 7 8 9 10")], "item_id long, text string")
+    made = decontaminate.leaks(docs, items)
+    plans = kept["benchmark-near"] + made._jdf.queryExecution().executedPlan().toString()
+    beside = [re.findall(r"(\w+)#", x) for x in re.findall(r"Generate explode\(.*\), \[([^\]]*)\], true", plans)]
+    assert len(beside) == 2 and all(x == ["id", "doc"] for x in beside)
+    assert {r.item_id for r in made.collect()} == {1, 2}
