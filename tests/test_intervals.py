@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from millstream.operators import joins, temporal
+from millstream.operators import chunked, joins, temporal
 
 T0 = dt.datetime(2024, 1, 1)
 FAR = dt.datetime(9999, 12, 31, 23, 59, 59)
@@ -123,3 +123,16 @@ def test_the_shift_map_is_made_in_many_tasks(spark, tmp_path, monkeypatch, at):
     monkeypatch.setattr(aggregates.marts, "oee_kpi", lambda shifts, *a: (seen.append(shifts), real(shifts, *a))[1])
     aggregates.oee_kpi(spark, str(tmp_path))
     assert seen[0].select(F.spark_partition_id()).distinct().count() > 4
+
+
+def test_exploded_sides_and_summaries_are_not_broadcast(spark):
+    """Spark takes rows that were exploded to be as few as before, and would send them all through the driver."""
+    days = spark.range(40).select((F.col("id") % 4).alias("k"), F.explode(F.sequence(F.lit(0), F.lit(29))).alias("d"))
+    begin = F.lit(T0).cast("timestamp_ntz") + F.make_dt_interval(F.col("d"))
+    slots = days.select("k", "d", begin.alias("st"), (begin + F.make_dt_interval(F.lit(0), F.lit(8))).alias("fi"))
+    points = days.select("k", begin.alias("t")).distinct()
+    pairs = temporal.tree_pairs(points, slots, "k", "t", "st", "fi", "8 hours")
+    series = chunked.following(chunked.with_time_chunk(points, "t"), "k", ["t"], ["t"], "next")
+    for df, rows in ((pairs, 40 * 30), (series, 4 * 30)):
+        assert df.count() == rows
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
