@@ -167,6 +167,40 @@ def test_best_subscription_prefers_level(spark):
     assert got == {("u", 12), ("w", 14)}
 
 
+ALERT = "alert_id int, sensor_id string, alert_level string, threshold_type int, factory string, floor int"
+SUB = "subscription_id int, subscriber string, notify_id int, min_level string, threshold_type int, sensor_id string, factory string, floor int, enabled boolean"
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_best_by_place_equals_best_of_all_pairs(spark, seed):
+    rng = random.Random(seed)
+
+    def pick(*values):
+        return rng.choice(values)
+
+    raised = [(i, pick("s1", "s2", None), pick("green", "yellow", "critical", "odd", None), pick(0, 1), pick("f1", "f2", None), pick(0, 1, None)) for i in range(70)]
+    raised += raised[:5] + [(None, None, "red", 0, "f1", 1)]
+    subs = [(i, pick("u", "w"), pick(0, 1, None), pick("yellow", "RED", "Medium", "", None), pick(0, 1), pick(None, None, "s1", "s9"), pick("f1", None), pick(0, 1, None), pick(True, True, False, None)) for i in range(90)]
+    found = spark.createDataFrame(raised, ALERT), spark.createDataFrame(subs, SUB)
+    recipient, fields = ["subscriber", "notify_id"], ["factory", "floor"]
+    all_pairs = alerts.alert_candidates(*found, fields=fields)
+    few = alerts.alert_candidates(*found, fields=fields, best_only=recipient)
+    rows = [sorted(map(str, alerts.alert_best_per_recipient(x).select("alert_id", *recipient, "subscription_id", "min_level").collect())) for x in (all_pairs, few)]
+    assert rows[0] == rows[1] and len(rows[0]) > 100
+
+
+def test_pairs_for_the_best_do_not_grow_with_sensors(spark):
+    """Alerts without sensor meet the subscriptions of all sensors, of which one a recipient can be the best."""
+    raised = spark.range(50).selectExpr("cast(id as int) alert_id", "cast(null as string) sensor_id", "'red' alert_level", "0 threshold_type", "'f1' factory", "1 floor")
+    subs = spark.range(200).selectExpr(
+        "cast(id as int) subscription_id", "'u' subscriber", "cast(id % 2 as int) notify_id", "if(id % 4 < 2, 'red', 'yellow') min_level", "0 threshold_type",
+        "concat('s', id) sensor_id", "if(id % 3 = 0, 'f1', null) factory", "cast(null as int) floor", "true enabled",
+    )
+    pairs = alerts.alert_candidates(raised, subs, fields=["factory", "floor"], best_only=["subscriber", "notify_id"])
+    assert pairs.count() == 50 * 2
+    assert {r.subscription_id for r in pairs.collect()} == {0, 1}
+
+
 def daily(spark, counts, first=dt.date(2024, 1, 1)):
     rows = [(dt.datetime.combine(first + dt.timedelta(days=i), dt.time(1)), j) for i, n in enumerate(counts) for j in range(n)]
     return spark.createDataFrame(rows, "ts timestamp_ntz, j int")
