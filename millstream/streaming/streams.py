@@ -99,11 +99,13 @@ def committed(spark: SparkSession, out: str, folder: str) -> DataFrame:
 
 
 def run_updates(
-    stream: DataFrame, keys: Sequence[str], label: str, each: Callable[[DataFrame], DataFrame] | None = None, place: str | None = None
+    stream: DataFrame, keys: Sequence[str], label: str, each: Callable[[DataFrame], DataFrame] | None = None, place: str | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Process all available input of an aggregating stream in update mode; the latest version per key.
 
     `each` transforms a batch, for example to join it with dimension tables. place: as in `run_append`.
+    unique: a batch has each key once at most, so that the rows of a single batch are the latest as they are.
     """
     spark = stream.sparkSession
     out = place or shared_path(spark, label)
@@ -113,9 +115,11 @@ def run_updates(
         shaped.write.mode("overwrite").parquet(f"{out}/data/epoch={epoch}")
         return {"written": True}
 
-    run_batches(stream, write, out, "update", "written boolean")
+    commits = run_batches(stream, write, out, "update", "written boolean")
     found = committed(spark, out, "data")
     rest = [c for c in found.columns if c not in (*keys, "epoch")]
+    if unique and commits.count() == 1:
+        return found.select(*keys, *rest)
     latest = found.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col("epoch")).alias("__row"))
     return latest.select(*keys, "__row.*")
 
@@ -239,14 +243,17 @@ def stream_latest_state(stream: DataFrame, entity, ts: str, cols: Sequence[str],
     return stream.groupBy(*names(entity)).agg(latest).select(*names(entity), "__l.*")
 
 
-def stream_alerts(stream: DataFrame, subs: DataFrame, label: str) -> DataFrame:
-    """Notifications of an alert stream: each batch is matched with the subscriptions and cut to one per recipient."""
+def stream_alerts(stream: DataFrame, subs: DataFrame, label: str, place: str | None = None) -> DataFrame:
+    """Notifications of an alert stream: each batch is matched with the subscriptions and cut to one per recipient.
+
+    An alert that comes again in a later batch is routed anew. place: as in `run_append`.
+    """
 
     def notify(batch: DataFrame) -> DataFrame:
         best = al.alert_best_per_recipient(al.alert_candidates(batch, subs, best_only=["subscriber", "notify_id"]))
         return best.select("alert_id", "subscriber", "notify_id", "subscription_id")
 
-    return run_updates(stream, ["alert_id", "subscriber", "notify_id"], label, notify)
+    return run_updates(stream, ["alert_id", "subscriber", "notify_id"], label, notify, place, unique=True)
 
 
 RANGES_KEPT = 6

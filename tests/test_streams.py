@@ -153,6 +153,34 @@ FORMS = {
 }
 
 
+def test_alerts_are_matched_once_a_place_and_the_latest_count(spark, monkeypatch):
+    """Alerts without sensor meet the subscriptions of all sensors; one batch needs no search for the latest."""
+    folder, place, pairs = shared_path(spark, "arrivals"), shared_path(spark, "place"), []
+    plain = st.al.alert_best_per_recipient
+
+    def best(candidates, *more):
+        if "alert_id" in candidates.columns:
+            pairs.append(candidates.count())
+        return plain(candidates, *more)
+
+    monkeypatch.setattr(st.al, "alert_best_per_recipient", best)
+    schema = "alert_id long, sensor_id string, alert_level string, threshold_type int, factory string, building string, floor int, area string"
+
+    def run(n, ids, first):
+        spark.createDataFrame([(i, None, "red", 0, "f", "b", 1, "a") for i in ids], schema).coalesce(1).write.parquet(f"{folder}/n={n}")
+        subs = spark.range(first, first + 100).selectExpr(
+            "id subscription_id", "'u' subscriber", "cast(id % 2 as int) notify_id", "'red' min_level", "0 threshold_type", "concat('s', id) sensor_id",
+            "'f' factory", "cast(null as string) building", "cast(null as int) floor", "cast(null as string) area", "true enabled",
+        )
+        return st.stream_alerts(spark.readStream.schema(schema).parquet(f"{folder}/*"), subs, "x", place)
+
+    one = run(0, range(6), 100)
+    assert "Aggregate" not in one._jdf.queryExecution().executedPlan().toString() and one.count() == 12
+    two = run(1, range(4, 9), 50)
+    assert sorted((r.alert_id, r.notify_id, r.subscription_id) for r in two.collect()) == [(i, k, (100 if i < 4 else 50) + k) for i in range(9) for k in (0, 1)]
+    assert pairs == [12, 10]
+
+
 def numbers(df):
     return sorted((tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in df.select(*sorted(df.columns)).collect()), key=str)
 
