@@ -169,3 +169,14 @@ def test_short_keys_take_one_shuffle(spark):
     marked = cycles.mark_transitions(df, "k", "ts", "door", "mixer", ["id"])
     assert marked._jdf.queryExecution().sparkPlan().toString().count("Window") == 1
     assert "Join" not in marked._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_the_distance_of_the_query_drops_peaks(spark, monkeypatch):
+    from millstream.plans import cycles as plan
+
+    folder = "/root/testdata/sf0.001"
+    apart = {(r["user_id"], r["start"]): r["peak_count"] for r in plan.peak_count(spark, folder).collect()}
+    monkeypatch.setattr(plan, "APART", 1, raising=False)
+    every = {(r["user_id"], r["start"]): r["peak_count"] for r in plan.peak_count(spark, folder).collect()}
+    assert apart.keys() == every.keys() and all(apart[k] <= every[k] for k in every)
+    assert 0 < sum(apart.values()) < sum(every.values()) and max(apart.values()) > 1
