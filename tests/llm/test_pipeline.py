@@ -1,5 +1,7 @@
 """The pipeline's stages keep their columns, take effect, and leave clean documents alone."""
 
+import re
+
 import public_tokenizers
 import sentencepiece
 
@@ -61,3 +63,22 @@ def test_registered():
     assert queries()["pipeline"] is corpus_pipeline.run and "pipeline" not in oracle_sql()
     numbers = sorted(int(q[2:].split("_")[0]) for q in queries() if q.startswith("op") and q[2].isdigit())
     assert numbers == list(range(1, 14))
+
+
+def test_decontamination_explodes_no_whole_texts(spark, tmp_path, monkeypatch):
+    from millstream.llm import decontaminate
+
+    item = "A train leaves the old station at 40 km and then Anna walks 12 km more before she meets Paul at the gate."
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(1, f"{item} " * 30, "en", "x", 1), (2, "nothing of the kind is in here", "en", "x", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    plans, plain = {}, decontaminate.stored
+
+    def stored(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return plain(df, label)
+
+    monkeypatch.setattr(decontaminate, "stored", stored)
+    assert [r.doc_id for r in corpus_pipeline.drop_benchmark(spark, docs, str(tmp_path)).collect()] == [2]
+    beside = re.findall(r"Generate explode\(.*\), \[([^\]]*)\], true", plans["benchmark-near"])
+    assert [re.findall(r"(\w+)#", x) for x in beside] == [["id", "doc"]]
